@@ -65,20 +65,22 @@ def mutated_select(table: str, columns: list[str]) -> tuple[str | None, list[str
     return pred, [f"{new[c]} AS {c}" if c in new else c for c in columns]
 
 
-def source_tables(spark: SparkSession, sf_dir: str, with_all: bool = False) -> TableSet:
+def typed_tables(raw: TableSet) -> TableSet:
+    return {n: df.selectExpr(*typed_select(n, df.columns)) for n, df in raw.items()}
+
+
+def source_tables(spark: SparkSession, sf_dir: str, with_all: bool = False,
+                  typed: TableSet | None = None) -> TableSet:
     """S: typed test tables (without ``benchmark`` unless ``with_all``)."""
-    out = {}
-    for n, df in raw_tables(spark, sf_dir).items():
-        if n == SOURCE_OMITS and not with_all:
-            continue
-        out[n] = df.selectExpr(*typed_select(n, df.columns))
-    return out
+    typed = typed if typed is not None else typed_tables(raw_tables(spark, sf_dir))
+    return {n: df for n, df in typed.items() if with_all or n != SOURCE_OMITS}
 
 
-def target_tables(spark: SparkSession, sf_dir: str) -> TableSet:
+def target_tables(spark: SparkSession, sf_dir: str, typed: TableSet | None = None) -> TableSet:
     """T: S with the seeded defects (without ``labels``, with ``benchmark``)."""
+    typed = typed if typed is not None else typed_tables(raw_tables(spark, sf_dir))
     out = {}
-    for n, df in source_tables(spark, sf_dir, with_all=True).items():
+    for n, df in typed.items():
         if n == TARGET_OMITS:
             continue
         pred, cols = mutated_select(n, df.columns)
@@ -92,45 +94,49 @@ def fk(cols, parent, pcols) -> ForeignKey:
     return ForeignKey(tuple(cols), parent, tuple(pcols))
 
 
+# Keys and rules of the test tables.
+RULES = {
+    "region": dict(primary_key=("r_regionkey",), max_len={"r_name": 25}),
+    "nation": dict(primary_key=("n_nationkey",),
+                   foreign_keys=(fk(["n_regionkey"], "region", ["r_regionkey"]),),
+                   max_len={"n_name": 25}),
+    "customer": dict(primary_key=("c_custkey",), identity="c_custkey",
+                     foreign_keys=(fk(["c_nationkey"], "nation", ["n_nationkey"]),),
+                     unique=(UniqueKey(("c_name",)),),
+                     max_len={"c_name": 25, "c_mktsegment": 10}),
+    "supplier": dict(primary_key=("s_suppkey",), identity="s_suppkey",
+                     foreign_keys=(fk(["s_nationkey"], "nation", ["n_nationkey"]),),
+                     max_len={"s_name": 25}),
+    "part": dict(primary_key=("p_partkey",), identity="p_partkey",
+                 max_len={"p_name": 55, "p_brand": 10, "p_type": 25}),
+    "orders": dict(primary_key=("o_orderkey",), identity="o_orderkey",
+                   foreign_keys=(fk(["o_custkey"], "customer", ["c_custkey"]),),
+                   max_len={"o_orderstatus": 1, "o_orderpriority": 15}),
+    "lineitem": dict(foreign_keys=(fk(["l_orderkey"], "orders", ["o_orderkey"]),
+                                   fk(["l_partkey"], "part", ["p_partkey"]),
+                                   fk(["l_suppkey"], "supplier", ["s_suppkey"])),
+                     max_len={"l_returnflag": 1, "l_linestatus": 1}),
+    "events": dict(primary_key=("event_id",),
+                   foreign_keys=(fk(["user_id"], "customer", ["c_custkey"]),)),
+    "documents": dict(primary_key=("doc_id",), max_len={"text": 10000}),
+    "embeddings": dict(primary_key=("vec_id",)),
+    "pages": dict(primary_key=("page_id",)),
+    "benchmark": dict(primary_key=("item_id",)),
+    "labels": dict(primary_key=("doc_id",),
+                   foreign_keys=(fk(["doc_id"], "documents", ["doc_id"]),)),
+    "conversations": dict(primary_key=("conv_id", "turn")),
+}
+
+
 def fixture_manifest(tables: TableSet) -> Manifest:
     """Keys and rules of the test tables (schemas taken from ``tables``)."""
-    rules = {
-        "region": dict(primary_key=("r_regionkey",), max_len={"r_name": 25}),
-        "nation": dict(primary_key=("n_nationkey",),
-                       foreign_keys=(fk(["n_regionkey"], "region", ["r_regionkey"]),),
-                       max_len={"n_name": 25}),
-        "customer": dict(primary_key=("c_custkey",), identity="c_custkey",
-                         foreign_keys=(fk(["c_nationkey"], "nation", ["n_nationkey"]),),
-                         unique=(UniqueKey(("c_name",)),),
-                         max_len={"c_name": 25, "c_mktsegment": 10}),
-        "supplier": dict(primary_key=("s_suppkey",), identity="s_suppkey",
-                         foreign_keys=(fk(["s_nationkey"], "nation", ["n_nationkey"]),),
-                         max_len={"s_name": 25}),
-        "part": dict(primary_key=("p_partkey",), identity="p_partkey",
-                     max_len={"p_name": 55, "p_brand": 10, "p_type": 25}),
-        "orders": dict(primary_key=("o_orderkey",), identity="o_orderkey",
-                       foreign_keys=(fk(["o_custkey"], "customer", ["c_custkey"]),),
-                       max_len={"o_orderstatus": 1, "o_orderpriority": 15}),
-        "lineitem": dict(foreign_keys=(fk(["l_orderkey"], "orders", ["o_orderkey"]),
-                                       fk(["l_partkey"], "part", ["p_partkey"]),
-                                       fk(["l_suppkey"], "supplier", ["s_suppkey"])),
-                         max_len={"l_returnflag": 1, "l_linestatus": 1}),
-        "events": dict(primary_key=("event_id",),
-                       foreign_keys=(fk(["user_id"], "customer", ["c_custkey"]),)),
-        "documents": dict(primary_key=("doc_id",), max_len={"text": 10000}),
-        "embeddings": dict(primary_key=("vec_id",)),
-        "pages": dict(primary_key=("page_id",)),
-        "benchmark": dict(primary_key=("item_id",)),
-        "labels": dict(primary_key=("doc_id",),
-                       foreign_keys=(fk(["doc_id"], "documents", ["doc_id"]),)),
-        "conversations": dict(primary_key=("conv_id", "turn")),
-    }
-    return Manifest(spec_from_frame(n, df, **rules.get(n, {})) for n, df in tables.items())
+    return Manifest(spec_from_frame(n, df, **RULES.get(n, {})) for n, df in tables.items())
 
 
 def fixture(spark: SparkSession, sf_dir: str) -> tuple[TableSet, TableSet, Manifest]:
     """(S, T, manifest) with the manifest covering every table of either side."""
-    s, t = source_tables(spark, sf_dir), target_tables(spark, sf_dir)
+    typed = typed_tables(raw_tables(spark, sf_dir))
+    s, t = source_tables(spark, sf_dir, typed=typed), target_tables(spark, sf_dir, typed=typed)
     schemas = dict(s)
     schemas.update({n: df for n, df in t.items() if n not in schemas})
     return s, t, fixture_manifest(schemas)
