@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", driver_memory)
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ferry-warehouse-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
