@@ -84,14 +84,19 @@ def orphan_count(child: DataFrame, cols, parent: DataFrame | None, parent_cols)
     """One row (orphans): child rows whose non-null foreign key has no parent.
 
     Child keys are counted per distinct value first (partial aggregation
-    absorbs hot values), then anti-joined with the parent keys; the join
-    size is bounded by the number of distinct keys, not child rows."""
+    absorbs hot values) and parent keys are made distinct; the two keyed
+    sides then meet in a left outer join whose unmatched rows are the
+    orphans. Both aggregates hash-partition by the key, so the join adds no
+    exchange and its size is bounded by distinct keys, not child rows. (An
+    anti join would be pushed below the child aggregate by the optimizer,
+    shuffling every child row instead.)"""
     cols = list(cols)
     keyed = (child.where(~_any_null(cols)).groupBy(*cols)
              .agg(F.count(F.lit(1)).alias("_n")))
     if parent is not None:
-        pk = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, cols)])
-        keyed = keyed.join(pk, cols, "left_anti")
+        pk = (parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, cols)])
+              .where(~_any_null(cols)).distinct().withColumn("_hit", F.lit(True)))
+        keyed = keyed.join(pk, cols, "left").where(F.col("_hit").isNull())
     return keyed.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans"))
 
 

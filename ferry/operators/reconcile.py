@@ -41,6 +41,12 @@ class Reconciliation:
 
 def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest: Manifest,
               strings: bool = True, parallelism: int = 8) -> Reconciliation:
+    """Compare ``source`` with ``target``.
+
+    Metric reports and parity are evaluated per table (isolated, concurrent)
+    and collected as bounded rows (one per planned metric or text column).
+    The small comparison frames built from them are cached, because the
+    summary and verdict reuse the detail and mismatches."""
     plan = build_plan(target, manifest)
     if not plan:
         raise ValueError("empty validation plan: the target has no tables")
@@ -50,10 +56,10 @@ def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest:
     tgt = collect_metrics(spark, target, plan, parallelism)
     names = compare.table_set_diff(spark, source.keys(), target.keys())
     common = sorted(set(source) & set(target))
-    det = compare.detail(metrics, src, tgt)
-    mis = compare.mismatches(metrics, src, tgt, common, scales)
-    par = collect_parity(spark, source, target, manifest, parallelism) if strings else None
-    summary = compare.table_summary(det, source.keys(), par)
+    det = compare.detail(metrics, src, tgt).cache()
+    mis = compare.mismatches(metrics, src, tgt, common, scales).cache()
+    par = collect_parity(spark, source, target, manifest, parallelism).cache() if strings else None
+    summary = compare.table_summary(det, source.keys(), par).cache()
     return Reconciliation(
         plan=plan_frame(spark, target, manifest), source_report=src, target_report=tgt,
         tables=names, detail=det, mismatches=mis, parity=par, table_summary=summary,
