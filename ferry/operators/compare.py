@@ -122,6 +122,7 @@ def table_summary(detail_df: DataFrame, source_names, parity: DataFrame | None =
         F.count_if(is_sum).alias("sums_total"),
         F.max((F.col("status") != OK).cast("int")).alias("_bad"),
     )
+    g = g.join(key_ranges(detail_df), "table_name", "left")
     in_source = F.col("table_name").isin(sorted(source_names)) if source_names else F.lit(False)
     if parity is None:
         g = g.withColumn("parity_status", F.lit("OFF"))
@@ -132,7 +133,25 @@ def table_summary(detail_df: DataFrame, source_names, parity: DataFrame | None =
               .when((F.col("_bad") == 1) | (F.col("parity_status") == DIFF), DIFF)
               .otherwise(OK))
     return g.select("table_name", "source_rows", "target_rows", "sums_ok", "sums_total",
-                    "parity_status", status.alias("status"))
+                    "key_range", "parity_status", status.alias("status"))
+
+
+def key_ranges(detail_df: DataFrame) -> DataFrame:
+    """Per table, the target's range of every integer key column as
+    ``col=min..max`` joined by ", " in column-name order; null when the
+    table has no such key or the target is empty."""
+    m = F.col("metric")
+    per_col = (detail_df.where(m.startswith("pkmin:") | m.startswith("pkmax:"))
+               .select("table_name", F.substring_index(m, ":", -1).alias("_c"),
+                       F.substring_index(m, ":", 1).alias("_k"), "target_value")
+               .groupBy("table_name", "_c")
+               .agg(F.max(F.when(F.col("_k") == "pkmin", F.col("target_value"))).alias("_lo"),
+                    F.max(F.when(F.col("_k") == "pkmax", F.col("target_value"))).alias("_hi")))
+    text = F.when(~F.col("_lo").isin(EMPTY, ABSENT),
+                  F.concat(F.col("_c"), F.lit("="), F.col("_lo"), F.lit(".."), F.col("_hi")))
+    parts = per_col.groupBy("table_name").agg(F.array_sort(F.collect_list(text)).alias("_r"))
+    return parts.select("table_name", F.when(F.size("_r") > 0, F.concat_ws(", ", "_r"))
+                        .alias("key_range"))
 
 
 def verdict(summary: DataFrame, names: DataFrame, mismatch_rows: DataFrame) -> DataFrame:

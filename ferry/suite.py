@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .fixtures import fixture, raw_tables, source_tables
+from .fixtures import ORDERS_KEPT_FOR_TOTALS, fixture, raw_tables, source_tables
 from .functions.exprs import guid_from_le_bytes
 from .manifest import Manifest, TableSet
 from .operators import audit, load as loadop, views
@@ -20,7 +20,6 @@ from .session import fresh_dir
 
 # Fixed values of the fixture (see FIXTURES.md).
 LINEITEM_CANDIDATE_KEY = ("l_orderkey", "l_linenumber")
-ORDERS_KEPT_FOR_TOTALS = "o_custkey % 10 <> 3"   # leaves some customers without orders
 SUBSET_REQUEST = ["customer", "orders", "no_such_table"]
 WORD_SPLIT = r"[ \t\n\r\f]+"
 

@@ -209,8 +209,16 @@ def summary_body() -> str:
                           WHEN max(CASE WHEN status = 'SKIPPED' THEN 1 ELSE 0 END) = 1 THEN 'SKIPPED'
                           ELSE 'OK' END AS parity_status
   FROM parity GROUP BY table_name),
+kr AS (
+  SELECT table_name, string_agg(r, ', ' ORDER BY r) AS key_range FROM (
+    SELECT table_name, split_part(metric, ':', 2) || '=' ||
+           max(CASE WHEN metric LIKE 'pkmin:%' THEN target_value END) || '..' ||
+           max(CASE WHEN metric LIKE 'pkmax:%' THEN target_value END) AS r,
+           max(CASE WHEN metric LIKE 'pkmin:%' THEN target_value END) AS lo
+    FROM detail WHERE metric LIKE 'pk%' GROUP BY table_name, split_part(metric, ':', 2))
+  WHERE lo NOT IN ('(empty)', '-') GROUP BY table_name),
 summary AS (
-  SELECT d.table_name,
+  SELECT d.table_name, any_value(kr.key_range) AS key_range,
          max(CASE WHEN metric = 'rowcount' THEN source_value END) AS source_rows,
          max(CASE WHEN metric = 'rowcount' THEN target_value END) AS target_rows,
          count(*) FILTER (WHERE metric LIKE 'sum:%' AND status = 'OK') AS sums_ok,
@@ -221,6 +229,7 @@ summary AS (
                    OR any_value(p.parity_status) = 'DIFF' THEN 'DIFF'
               ELSE 'OK' END AS status
   FROM detail d LEFT JOIN pstat p ON p.table_name = d.table_name
+  LEFT JOIN kr ON kr.table_name = d.table_name
   GROUP BY d.table_name)"""
 
 

@@ -59,6 +59,10 @@ def test_seeded_defects_flip_exactly_expected_metrics(spark, sf001):
         assert par[k] == want, k
     statuses = {x.table_name: x.status for x in r.parity.collect()}
     assert statuses["lineitem"] == "SKIPPED"
+    kr = {x.table_name: x.key_range for x in r.table_summary.collect()}
+    assert kr["region"] is None and kr["lineitem"] is None
+    assert kr["nation"] == "n_nationkey=0..24"
+    assert kr["conversations"].startswith("conv_id=") and ", turn=" in kr["conversations"]
     reasons = {x.reason for x in r.mismatches.collect() if x.table_name == "region"}
     assert "text differs" in reasons and "diff=5" in reasons
 
