@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fixtures import ORDERS_KEPT_FOR_TOTALS, fixture, raw_tables, source_tables
-from .functions.exprs import guid_from_le_bytes
+from .functions.exprs import guid_from_le_bytes, guid_from_text
 from .manifest import Manifest, TableSet
 from .operators import audit, load as loadop, views
 from .operators.metrics import metrics_report
@@ -70,6 +70,67 @@ def reconcile_verdict(spark, sf_dir):
     return _reconciled(spark, sf_dir).verdict
 
 
+def reconcile_metrics_verdict(spark, sf_dir):
+    """Verdict with text parity switched off (metrics only)."""
+    key = (id(spark), sf_dir, "metrics")
+    if key not in _recon_cache:
+        s, t, m = _fixture(spark, sf_dir)
+        _recon_cache[key] = reconcile(spark, s, t, m, strings=False)
+    return _recon_cache[key].verdict
+
+
+def migrate_and_verify(spark, sf_dir):
+    """The whole run: load every source table into a fresh sink, read the
+    written tables back as the target and reconcile them with the source."""
+    s, t, m = _fixture(spark, sf_dir)
+    sink = loadop.ParquetSink(spark, fresh_dir(spark, "migrate"))
+    loadop.load(spark, s, m, sink, tables=sorted(s))
+    written = {n: sink.read(n) for n in sorted(s)}
+    return reconcile(spark, s, written, m).verdict
+
+
+def evidence_csv(spark, sf_dir):
+    """The detail report written as CSV evidence and read back."""
+    path = _reconciled(spark, sf_dir).write_evidence(fresh_dir(spark, "evidence"))
+    return spark.read.option("header", True).schema(
+        "table_name string, metric string, source_value string, target_value string, "
+        "status string").csv(path)
+
+
+def load_full_report(spark, sf_dir):
+    """Load of every source table: rows per table and the total."""
+    s, t, m = _fixture(spark, sf_dir)
+    sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-full"))
+    return loadop.load(spark, s, m, sink, tables=sorted(s)).report
+
+
+def stream_load_orders(spark, sf_dir):
+    """Incremental copy of the orders files, one file per micro-batch."""
+    from .streaming.load import start_stream_load
+    s, t, m = _fixture(spark, sf_dir)
+    raw = raw_tables(spark, sf_dir, ["orders"])["orders"]
+    src_dir, sink_dir = fresh_dir(spark, "stream-src"), fresh_dir(spark, "stream-sink")
+    raw.write.parquet(src_dir)
+    q = start_stream_load(spark, src_dir, m["orders"], sink_dir, fresh_dir(spark, "stream-ckpt"),
+                          source_schema=raw.schema, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(sink_dir)
+
+
+def guid_text_canonical(spark, sf_dir):
+    """Each order key's GUID spelled in upper case with braces, rendered
+    canonically by the text branch of the GUID conversion."""
+    orders = raw_tables(spark, sf_dir, ["orders"])["orders"]
+    spelled = F.concat(F.lit("{"), F.upper(guid_from_le_bytes(
+        F.unhex(F.md5(F.col("o_orderkey").cast("string"))))), F.lit("}"))
+    return orders.select("o_orderkey", guid_from_text(spelled).alias("guid"))
+
+
+def column_audit(spark, sf_dir):
+    s, t, m = _fixture(spark, sf_dir)
+    return audit.column_audit(spark, t, m)
+
+
 def reconcile_identical(spark, sf_dir):
     return _reconciled(spark, sf_dir, identical=True).verdict
 
@@ -199,6 +260,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_table_summary": reconcile_table_summary,
     "reconcile_verdict": reconcile_verdict,
     "reconcile_identical": reconcile_identical,
+    "reconcile_metrics_verdict": reconcile_metrics_verdict,
+    "migrate_and_verify": migrate_and_verify,
+    "evidence_csv": evidence_csv,
+    "load_full_report": load_full_report,
+    "stream_load_orders": stream_load_orders,
+    "guid_text_canonical": guid_text_canonical,
+    "column_audit": column_audit,
     "table_set_diff": table_set_diff,
     "string_parity": string_parity_all,
     "string_parity_skipped": string_parity_skipped,

@@ -243,13 +243,17 @@ def names_body(t_tables=None) -> str:
   FROM ({s}) s FULL OUTER JOIN ({t}) t ON s.table_name = t.table_name)"""
 
 
-def reconcile_sql(final: str, identical: bool = False) -> str:
+def reconcile_sql(final: str, identical: bool = False, strings: bool = True) -> str:
     """Full comparison S against T (or, with ``identical``, S against S)."""
     tp, t_tables = ("s", S_TABLES) if identical else ("t", T_TABLES)
     common = sorted(set(S_TABLES) & set(t_tables))
+    par = parity_body(tp, common) if strings else (
+        "parity AS (SELECT CAST(NULL AS VARCHAR) AS table_name, CAST(NULL AS VARCHAR) AS status "
+        "WHERE false)")
+    summary = summary_body() if strings else summary_body().replace(
+        "COALESCE(any_value(p.parity_status), 'NONE')", "'OFF'")
     return (_reports(tp, t_tables) + ",\n" + DETAIL + ",\n" + mismatches_body(common) + ",\n"
-            + parity_body(tp, common) + ",\n" + summary_body() + ",\n" + names_body(t_tables)
-            + "\n" + final)
+            + par + ",\n" + summary + ",\n" + names_body(t_tables) + "\n" + final)
 
 
 VERDICT_FINAL = """SELECT count(*) FILTER (WHERE kind = 'table') AS common,
@@ -321,7 +325,7 @@ def unique_sql(collation: str | None) -> str:
     return ctes() + "\n" + "\nUNION ALL ".join(parts)
 
 
-def column_check_sql(kind: str) -> str:
+def column_check_parts(kind: str, suffix: str = "") -> list[str]:
     sch = raw_schemas()
     parts = []
     for n in sorted(T_TABLES):
@@ -331,9 +335,13 @@ def column_check_sql(kind: str) -> str:
             items = [(c, f"length({c}) > {m}")
                      for c, m in sorted(RULES.get(n, {}).get("max_len", {}).items())]
         for c, p in items:
-            parts.append(f"SELECT '{n}' AS table_name, '{c}' AS column_name, "
+            parts.append(f"SELECT '{n}' AS table_name, '{c}{suffix}' AS column_name, "
                          f"count(*) FILTER (WHERE {p}) AS violations FROM t_{n}")
-    return ctes() + "\n" + "\nUNION ALL ".join(parts)
+    return parts
+
+
+def column_check_sql(kind: str) -> str:
+    return ctes() + "\n" + "\nUNION ALL ".join(column_check_parts(kind))
 
 
 def identity_sql() -> str:
@@ -356,9 +364,15 @@ GUID_SQL = """SELECT o_orderkey,
 FROM (SELECT o_orderkey, lower(md5(CAST(o_orderkey AS VARCHAR))) AS h FROM orders)"""
 
 
-def load_subset_sql() -> str:
-    loaded = [n for n in sorted(S_TABLES) if n in SUBSET_REQUEST]
-    missing = sorted(set(SUBSET_REQUEST) - set(S_TABLES))
+def column_audit_sql() -> str:
+    """NOT NULL and length rules together, named column:rule."""
+    parts = column_check_parts("not_null", ":not_null") + column_check_parts("max_len", ":max_len")
+    return ctes() + "\n" + "\nUNION ALL ".join(parts)
+
+
+def load_report_sql(request, available) -> str:
+    loaded = [n for n in sorted(available) if n in request]
+    missing = sorted(set(request) - set(available))
     rows = [f"SELECT '{n}' AS table_name, count(*) AS n_rows, 'LOADED' AS status FROM s_{n}"
             for n in loaded]
     rows.append("SELECT '(total)', (" + " + ".join(f"(SELECT count(*) FROM s_{n})" for n in loaded)
@@ -379,12 +393,19 @@ def oracle_sql() -> dict[str, str]:
         "reconcile_table_summary": reconcile_sql("SELECT * FROM summary"),
         "reconcile_verdict": reconcile_sql(VERDICT_FINAL),
         "reconcile_identical": reconcile_sql(VERDICT_FINAL, identical=True),
+        "reconcile_metrics_verdict": reconcile_sql(VERDICT_FINAL, strings=False),
+        "migrate_and_verify": reconcile_sql(VERDICT_FINAL, identical=True),
+        "evidence_csv": reconcile_sql("SELECT * FROM detail"),
+        "load_full_report": load_report_sql(S_TABLES, S_TABLES),
+        "stream_load_orders": cte + "\nSELECT * FROM s_orders",
+        "guid_text_canonical": GUID_SQL,
+        "column_audit": column_audit_sql(),
         "table_set_diff": reconcile_sql("SELECT * FROM names"),
         "string_parity": cte + ",\n" + parity_body() + "\nSELECT * FROM parity",
         "string_parity_skipped": cte + "\n" + parity_select(
             "lineitem", LINEITEM_CANDIDATE_KEY, text_columns("lineitem", LINEITEM_CANDIDATE_KEY)),
         "load_conform": f"SELECT {customer_cols.replace('c_acctbal', 'CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal')} FROM customer",
-        "load_subset_report": load_subset_sql(),
+        "load_subset_report": load_report_sql(SUBSET_REQUEST, S_TABLES),
         "load_append_conflicts": cte + "\nSELECT o_orderkey FROM s_orders WHERE o_orderkey IN (SELECT o_orderkey FROM t_orders)",
         "load_roundtrip": ("SELECT doc_id, md5(text) AS text_md5, length(text) AS text_chars, lang, "
                            "source, n_chars FROM documents"),
