@@ -23,13 +23,30 @@ def rowcount_text() -> Column:
     return F.count(F.lit(1)).cast("string")
 
 
+def strict_cast(c, data_type) -> Column:
+    """Cast that fails instead of turning a value that does not fit into
+    null, whatever the session's ANSI setting."""
+    c = _col(c)
+    out = c.cast(data_type)
+    return F.when(c.isNotNull() & out.isNull(),
+                  F.raise_error(F.concat(F.lit("value does not fit "),
+                                         F.lit(data_type if isinstance(data_type, str)
+                                               else data_type.simpleString()))).cast(data_type)
+                  ).otherwise(out)
+
+
 def exact_sum_text(c, scale: int) -> Column:
     """Exact sum at ``scale``: every value is cast to decimal(38, scale) before
-    summing (rounding half up), a null sum is 0, and the value is rendered
-    as plain text so that text equality is value equality. Overflow raises
-    under ANSI mode instead of hiding a loss."""
+    summing (rounding half up), the sum of no values is 0, and the value is
+    rendered as plain text so that text equality is value equality. A value
+    that does not fit, or a sum past 38 digits, raises (the table becomes an
+    ERROR row) in ANSI and non-ANSI sessions alike, never a silent loss."""
     t = decimal_type(scale)
-    return F.coalesce(F.sum(_col(c).cast(t)), F.lit(0).cast(t)).cast("string")
+    x = _col(c)
+    total = F.sum(strict_cast(x, t))
+    return (F.when(F.count(x) == 0, F.lit(0).cast(t).cast("string"))
+            .when(total.isNull(), F.raise_error(F.lit("sum overflows " + t)).cast("string"))
+            .otherwise(total.cast("string")))
 
 
 def key_bound_text(fn, c) -> Column:

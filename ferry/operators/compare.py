@@ -32,8 +32,9 @@ def table_set_diff(spark: SparkSession, source_names, target_names) -> DataFrame
 
 
 def _errors(report: DataFrame, alias: str) -> DataFrame:
-    return (report.where(F.col("metric") == ERROR_METRIC)
-            .groupBy("table_name").agg(F.first("value").alias(alias)))
+    """The ERROR row of each failed table (at most one per table)."""
+    return report.where(F.col("metric") == ERROR_METRIC).select(
+        "table_name", F.col("value").alias(alias))
 
 
 def detail(plan_metrics: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import strict_cast
 from ..manifest import Manifest, TableSet, TableSpec
 
 LOADED, NOT_FOUND, TOTAL = "LOADED", "NOT_FOUND", "TOTAL"
@@ -56,10 +57,11 @@ def project(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Cast every column to the target type; a value that does not fit
-    raises at run time (ANSI), so nothing is silently truncated."""
+    raises at run time (also with ANSI mode off), so nothing is silently
+    turned into null."""
     cur = {f.name: f.dataType for f in df.schema.fields}
     return df.select(*[F.col(f.name) if cur[f.name] == f.dataType
-                       else F.col(f.name).cast(f.dataType).alias(f.name)
+                       else strict_cast(f.name, f.dataType).alias(f.name)
                        for f in spec.schema.fields])
 
 
@@ -160,7 +162,7 @@ def load_table(spec: TableSpec, df: DataFrame, sink, mode: str) -> int:
 
 
 def load(spark: SparkSession, source: TableSet, manifest: Manifest, sink,
-         tables=None, mode: str = "overwrite", parallelism: int = 4) -> LoadResult:
+         tables=None, mode: str = "overwrite", parallelism: int = 8) -> LoadResult:
     """Load the selected tables (target = manifest) from ``source`` into ``sink``.
 
     ``mode`` "overwrite" replaces each table; "append" adds rows and first

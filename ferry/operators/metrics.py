@@ -44,6 +44,8 @@ def table_metrics(df: DataFrame, tp: TablePlan) -> DataFrame:
 def metrics_report(tables: TableSet, plan: list[TablePlan]) -> DataFrame:
     """Lazy report of every planned table present in ``tables``."""
     parts = [table_metrics(tables[tp.table], tp) for tp in plan if tp.table in tables]
+    if not parts:
+        raise ValueError("no planned table is present")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -55,7 +57,8 @@ def error_text(exc: BaseException) -> str:
     return lines[0][:140]
 
 
-def _one_table(df: DataFrame, tp: TablePlan) -> list[tuple[str, str, str]]:
+def one_table_rows(df: DataFrame, tp: TablePlan) -> list[tuple[str, str, str]]:
+    """Report rows of one table (one small job), or a single ERROR row."""
     cols = metric_columns(tp)
     try:
         row = df.agg(*[e.alias(f"m{i}") for i, (_, e) in enumerate(cols)]).collect()[0]
@@ -72,6 +75,6 @@ def collect_metrics(spark: SparkSession, tables: TableSet, plan: list[TablePlan]
     planned metric, so their size is bounded by the schemas, not the data."""
     todo = [tp for tp in plan if tp.table in tables]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(lambda tp: _one_table(tables[tp.table], tp), todo))
+        parts = list(pool.map(lambda tp: one_table_rows(tables[tp.table], tp), todo))
     rows = [r for part in parts for r in part]
     return spark.createDataFrame(rows, REPORT_SCHEMA)

@@ -113,22 +113,29 @@ def string_parity(spark: SparkSession, source: TableSet, target: TableSet, manif
     return out
 
 
+def parity_tables(source: TableSet, target: TableSet, manifest: Manifest) -> list[str]:
+    return [n for n in sorted(set(source) & set(target)) if n in manifest]
+
+
+def one_table_parity(spark: SparkSession, name: str, src: DataFrame, tgt: DataFrame,
+                     spec) -> list[tuple]:
+    """Parity rows of one table (one small job); a failure gives ERROR rows."""
+    cols = [c for c in spec.text_columns() if c not in spec.primary_key]
+    try:
+        return [tuple(r) for r in
+                table_parity(spark, name, src, tgt, spec.primary_key, cols).collect()]
+    except Exception as exc:
+        msg = error_text(exc)
+        return [(name, c, None, None, None, None, "ERROR", msg) for c in cols]
+
+
 def collect_parity(spark: SparkSession, source: TableSet, target: TableSet, manifest: Manifest,
                    parallelism: int = 8) -> DataFrame:
     """Parity with per-table error isolation (one small result per table).
     A failing table yields ERROR rows and the run goes on."""
-    names = [n for n in sorted(set(source) & set(target)) if n in manifest]
-
-    def one(n: str):
-        spec = manifest[n]
-        cols = [c for c in spec.text_columns() if c not in spec.primary_key]
-        try:
-            return table_parity(spark, n, source[n], target[n], spec.primary_key, cols).collect()
-        except Exception as exc:
-            msg = error_text(exc)
-            return [(n, c, None, None, None, None, "ERROR", msg) for c in cols]
-
+    names = parity_tables(source, target, manifest)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(one, names))
+        parts = list(pool.map(
+            lambda n: one_table_parity(spark, n, source[n], target[n], manifest[n]), names))
     rows = [tuple(r) for part in parts for r in part]
     return spark.createDataFrame(rows, PARITY_SCHEMA)

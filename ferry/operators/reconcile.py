@@ -7,6 +7,7 @@ summary, text parity and a verdict, each a DataFrame.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..manifest import Manifest, TableSet
 from ..plans.validation import build_plan, plan_frame, plan_metrics_frame
 from . import compare
-from .metrics import collect_metrics
-from .parity import collect_parity
+from .metrics import REPORT_SCHEMA, one_table_rows
+from .parity import PARITY_SCHEMA, one_table_parity, parity_tables
 
 
 @dataclass
@@ -33,6 +34,12 @@ class Reconciliation:
     def passed(self) -> bool:
         return bool(self.verdict.first()["passed"])
 
+    def unpersist(self) -> None:
+        """Release the cached comparison frames."""
+        for df in (self.detail, self.mismatches, self.parity, self.table_summary):
+            if df is not None:
+                df.unpersist()
+
     def write_evidence(self, path: str) -> str:
         """Every detail row as one CSV with a header (the archived evidence)."""
         from .evidence import write_csv
@@ -52,13 +59,12 @@ def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest:
         raise ValueError("empty validation plan: the target has no tables")
     metrics = plan_metrics_frame(spark, plan)
     scales = sorted({s for tp in plan for _, s in tp.metrics()})
-    src = collect_metrics(spark, source, plan, parallelism)
-    tgt = collect_metrics(spark, target, plan, parallelism)
+    src, tgt, par_rows = _evaluate(spark, source, target, manifest, plan, strings, parallelism)
     names = compare.table_set_diff(spark, source.keys(), target.keys())
     common = sorted(set(source) & set(target))
     det = compare.detail(metrics, src, tgt).cache()
     mis = compare.mismatches(metrics, src, tgt, common, scales).cache()
-    par = collect_parity(spark, source, target, manifest, parallelism).cache() if strings else None
+    par = spark.createDataFrame(par_rows, PARITY_SCHEMA).cache() if strings else None
     summary = compare.table_summary(det, source.keys(), par).cache()
     return Reconciliation(
         plan=plan_frame(spark, target, manifest), source_report=src, target_report=tgt,
@@ -66,3 +72,16 @@ def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest:
         verdict=compare.verdict(summary, names, mis),
     )
 
+
+def _evaluate(spark, source, target, manifest, plan, strings, parallelism):
+    """Run every per-table job of both sides (metrics, then parity) on one
+    driver thread pool, so small tables overlap with large ones. Each job
+    returns bounded rows; failures are already turned into ERROR rows."""
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        src = [pool.submit(one_table_rows, source[tp.table], tp) for tp in plan if tp.table in source]
+        tgt = [pool.submit(one_table_rows, target[tp.table], tp) for tp in plan if tp.table in target]
+        par = ([pool.submit(one_table_parity, spark, n, source[n], target[n], manifest[n])
+                for n in parity_tables(source, target, manifest)] if strings else [])
+        rows = [[r for f in fs for r in f.result()] for fs in (src, tgt, par)]
+    return (spark.createDataFrame(rows[0], REPORT_SCHEMA),
+            spark.createDataFrame(rows[1], REPORT_SCHEMA), rows[2])

@@ -145,3 +145,21 @@ def test_evidence_csv(spark, tmp_path):
     lines = parts[0].read_text(encoding="utf-8").splitlines()
     assert lines[0] == "table_name,metric,source_value,target_value,status"
     assert len(lines) == 1 + 4
+
+
+def test_overflow_and_bad_casts_fail_loud_without_ansi(spark):
+    from ferry.operators import load as L
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("amt", T.DecimalType(38, 0))])
+    huge = spark.createDataFrame([(i, Decimal("9" * 37)) for i in range(20)], schema)
+    m = Manifest([_spec("b", schema, ["id"])])
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        r = reconcile(spark, {"b": huge}, {"b": huge}, m, strings=False)
+        assert {x.status for x in r.detail.collect()} == {"SOURCE_ERROR"}
+        spec = TableSpec("x", T.StructType([T.StructField("v", T.DecimalType(4, 1))]))
+        bad = spark.createDataFrame([(123456.0,)], "v double")
+        import pytest
+        with pytest.raises(Exception):
+            L.conform(bad, spec).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
