@@ -8,9 +8,10 @@ These builders only shape input rows; every check runs in the operators.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from .manifest import ForeignKey, Manifest, TableSet, UniqueKey, spec_from_frame
+from .sources.tables import parquet_tables
 
 ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
               "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -55,7 +56,8 @@ TARGET_OMITS = "labels"
 
 
 def raw_tables(spark: SparkSession, sf_dir: str, names=ALL_TABLES) -> TableSet:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    """The test tables as read by the library's Parquet source."""
+    return parquet_tables(spark, sf_dir, list(names))
 
 
 def typed_select(table: str, columns: list[str]) -> list[str]:
