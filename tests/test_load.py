@@ -88,4 +88,7 @@ def test_catalog_sink_bucketed(spark):
     sink = L.CatalogSink(spark, db, buckets=4, manifest=_manifest())
     L.load(spark, _source(spark), _manifest(), sink, tables=["item"])
     assert sink.read("item").count() == 2
+    from ferry.sources.tables import catalog_tables
+    tables = catalog_tables(spark, db)
+    assert set(tables) == {"item"} and tables["item"].count() == 2
     spark.sql(f"DROP DATABASE {db} CASCADE")

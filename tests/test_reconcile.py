@@ -163,3 +163,23 @@ def test_overflow_and_bad_casts_fail_loud_without_ansi(spark):
             L.conform(bad, spec).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_target_error_is_isolated(spark):
+    from ferry.operators.metrics import collect_metrics
+    from ferry.plans.validation import build_plan
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("amt", T.DecimalType(10, 2))])
+    ok = spark.createDataFrame([(1, Decimal("1.00"))], schema)
+    m = Manifest([_spec("a", schema, ["id"]), _spec("b", schema, ["id"])])
+    broken = ok.select("id", F_raise().alias("amt"))
+    r = reconcile(spark, {"a": ok, "b": ok}, {"a": broken, "b": ok}, m, strings=False)
+    st = {(x.table_name, x.status) for x in r.detail.collect()}
+    assert st == {("a", "TARGET_ERROR"), ("b", "OK")}
+    assert [(x.table_name, x.reason) for x in r.mismatches.collect()] == [("a", "target error")]
+    rep = collect_metrics(spark, {"a": broken, "b": ok}, build_plan({"a": ok, "b": ok}, m)).collect()
+    assert [x.metric for x in rep if x.table_name == "a"] == ["ERROR"]
+
+
+def F_raise():
+    from pyspark.sql import functions as F
+    return F.raise_error(F.lit("disk gone")).cast("decimal(10,2)")
