@@ -57,9 +57,20 @@ def error_text(exc: BaseException) -> str:
     return lines[0][:140]
 
 
+def missing_columns(df: DataFrame, names) -> list[str]:
+    """Planned columns the frame lacks (by the session's case rule)."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    have = set(df.columns) if sensitive else {c.lower() for c in df.columns}
+    return [n for n in names if (n if sensitive else n.lower()) not in have]
+
+
 def one_table_rows(df: DataFrame, tp: TablePlan) -> list[tuple[str, str, str]]:
     """Report rows of one table (one small job), or a single ERROR row."""
     cols = metric_columns(tp)
+    lost = missing_columns(df, [c for c, _ in tp.sums] + list(tp.key_range))
+    if lost:
+        return [(tp.table, ERROR_METRIC, error_text(ValueError(
+            f"[MISSING_COLUMN] table lacks planned column(s) {', '.join(lost)}")))]
     try:
         row = df.agg(*[e.alias(f"m{i}") for i, (_, e) in enumerate(cols)]).collect()[0]
     except Exception as exc:  # analysis or runtime failure of this table only

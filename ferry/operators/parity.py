@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import text_digest
 from ..manifest import Manifest, TableSet
 from .compare import DIFF, OK, SKIPPED
-from .metrics import error_text
+from .metrics import error_text, missing_columns
 
 PARITY_SCHEMA = ("table_name string, column_name string, paired bigint, only_source bigint, "
                  "only_target bigint, identical bigint, status string, reason string")
@@ -121,6 +121,11 @@ def one_table_parity(spark: SparkSession, name: str, src: DataFrame, tgt: DataFr
                      spec) -> list[tuple]:
     """Parity rows of one table (one small job); a failure gives ERROR rows."""
     cols = [c for c in spec.text_columns() if c not in spec.primary_key]
+    lost = sorted(set(missing_columns(src, [*spec.primary_key, *cols]))
+                  | set(missing_columns(tgt, [*spec.primary_key, *cols])))
+    if lost:
+        msg = f"[MISSING_COLUMN] table lacks column(s) {', '.join(lost)}"
+        return [(name, c, None, None, None, None, "ERROR", msg) for c in cols]
     try:
         return [tuple(r) for r in
                 table_parity(spark, name, src, tgt, spec.primary_key, cols).collect()]

@@ -129,6 +129,18 @@ DETAIL = """detail AS (
   FROM tgt t LEFT JOIN src s ON s.table_name = t.table_name AND s.metric = t.metric)"""
 
 
+def detail_with_source_error(failed) -> str:
+    """Detail where the source tables in ``failed`` could not be read."""
+    return f"""detail AS (
+  SELECT t.table_name, t.metric,
+         CASE WHEN t.table_name IN {_in(failed)} THEN '-' ELSE COALESCE(s.value, '-') END AS source_value,
+         t.value AS target_value,
+         CASE WHEN t.table_name IN {_in(failed)} THEN 'SOURCE_ERROR'
+              WHEN s.value IS NULL THEN 'MISSING' WHEN s.value = t.value THEN 'OK' ELSE 'DIFF' END
+           AS status
+  FROM tgt t LEFT JOIN src s ON s.table_name = t.table_name AND s.metric = t.metric)"""
+
+
 def _in(names) -> str:
     return "(" + ", ".join(f"'{n}'" for n in names) + ")"
 
@@ -395,6 +407,8 @@ def oracle_sql() -> dict[str, str]:
         "reconcile_identical": reconcile_sql(VERDICT_FINAL, identical=True),
         "reconcile_metrics_verdict": reconcile_sql(VERDICT_FINAL, strings=False),
         "migrate_and_verify": reconcile_sql(VERDICT_FINAL, identical=True),
+        "reconcile_source_error": (_reports() + ",\n" + detail_with_source_error(["orders"])
+                                   + "\nSELECT * FROM detail"),
         "evidence_csv": reconcile_sql("SELECT * FROM detail"),
         "load_full_report": load_report_sql(S_TABLES, S_TABLES),
         "stream_load_orders": cte + "\nSELECT * FROM s_orders",
