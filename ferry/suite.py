@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from .fixtures import ORDERS_KEPT_FOR_TOTALS, fixture, raw_tables, source_tables
 from .functions.exprs import guid_from_le_bytes, guid_from_text
-from .manifest import Manifest, TableSet
 from .operators import audit, load as loadop, views
 from .operators.metrics import metrics_report
 from .operators.parity import string_parity, table_parity
@@ -27,31 +26,30 @@ WORD_SPLIT = r"[ \t\n\r\f]+"
 _recon_cache: dict = {}
 
 
-def _fixture(spark: SparkSession, sf_dir: str) -> tuple[TableSet, TableSet, Manifest]:
-    return fixture(spark, sf_dir)
-
-
-def _reconciled(spark: SparkSession, sf_dir: str, identical: bool = False) -> Reconciliation:
-    key = (id(spark), sf_dir, identical)
+def _reconciled(spark: SparkSession, sf_dir: str, identical: bool = False,
+                strings: bool = True) -> Reconciliation:
+    """One reconcile per application and input, shared by the checks that
+    read different results of it."""
+    key = (spark.sparkContext.applicationId, sf_dir, identical, strings)
     if key not in _recon_cache:
-        s, t, m = _fixture(spark, sf_dir)
-        _recon_cache[key] = reconcile(spark, s, s if identical else t, m)
+        s, t, m = fixture(spark, sf_dir)
+        _recon_cache[key] = reconcile(spark, s, s if identical else t, m, strings=strings)
     return _recon_cache[key]
 
 
 def validation_plan(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return plan_frame(spark, t, m)
 
 
 def source_metrics(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return metrics_report(s, build_plan(t, m))
 
 
 def target_metrics(spark, sf_dir):
     """Target report; includes the emptied ``region`` (sum 0, ``(empty)``)."""
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return metrics_report(t, build_plan(t, m))
 
 
@@ -73,18 +71,14 @@ def reconcile_verdict(spark, sf_dir):
 
 def reconcile_metrics_verdict(spark, sf_dir):
     """Verdict with text parity switched off (metrics only)."""
-    key = (id(spark), sf_dir, "metrics")
-    if key not in _recon_cache:
-        s, t, m = _fixture(spark, sf_dir)
-        _recon_cache[key] = reconcile(spark, s, t, m, strings=False)
-    return _recon_cache[key].verdict
+    return _reconciled(spark, sf_dir, strings=False).verdict
 
 
 def reconcile_source_error(spark, sf_dir):
     """Detail when one source table cannot be summed (its orders lost the
     o_totalprice column): that table's metrics are SOURCE_ERROR, every
     other table is compared as usual."""
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     drifted = dict(s, orders=s["orders"].drop(DRIFTED_COLUMN))
     return reconcile(spark, drifted, t, m, strings=False).detail
 
@@ -92,7 +86,7 @@ def reconcile_source_error(spark, sf_dir):
 def migrate_and_verify(spark, sf_dir):
     """The whole run: load every source table into a fresh sink, read the
     written tables back as the target and reconcile them with the source."""
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     sink = loadop.ParquetSink(spark, fresh_dir(spark, "migrate"))
     loadop.load(spark, s, m, sink, tables=sorted(s))
     written = {n: sink.read(n) for n in sorted(s)}
@@ -109,7 +103,7 @@ def evidence_csv(spark, sf_dir):
 
 def load_full_report(spark, sf_dir):
     """Load of every source table: rows per table and the total."""
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-full"))
     return loadop.load(spark, s, m, sink, tables=sorted(s)).report
 
@@ -117,7 +111,7 @@ def load_full_report(spark, sf_dir):
 def stream_load_orders(spark, sf_dir):
     """Incremental copy of the orders files, one file per micro-batch."""
     from .streaming.load import start_stream_load
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     raw = raw_tables(spark, sf_dir, ["orders"])["orders"]
     src_dir, sink_dir = fresh_dir(spark, "stream-src"), fresh_dir(spark, "stream-sink")
     raw.write.parquet(src_dir)
@@ -137,7 +131,7 @@ def guid_text_canonical(spark, sf_dir):
 
 
 def column_audit(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return audit.column_audit(spark, t, m)
 
 
@@ -150,13 +144,13 @@ def table_set_diff(spark, sf_dir):
 
 
 def string_parity_all(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return string_parity(spark, s, t, m)
 
 
 def string_parity_skipped(spark, sf_dir):
     """Pairing lineitem on its non-unique candidate key must be SKIPPED."""
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     key = list(LINEITEM_CANDIDATE_KEY)
     cols = [c for c in m["lineitem"].text_columns() if c not in key]
     return table_parity(spark, "lineitem", s["lineitem"], t["lineitem"], key, cols)
@@ -164,21 +158,21 @@ def string_parity_skipped(spark, sf_dir):
 
 def load_conform(spark, sf_dir):
     """Raw customer projected to the target order and cast to target types."""
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     raw = raw_tables(spark, sf_dir, ["customer"])["customer"]
     spec = m["customer"]
     return loadop.conform(loadop.project(raw, spec), spec)
 
 
 def load_subset_report(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-subset"))
     return loadop.load(spark, s, m, sink, tables=SUBSET_REQUEST).report
 
 
 def load_append_conflicts(spark, sf_dir):
     """Target orders are loaded, then source orders are checked for append."""
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-append"))
     loadop.load(spark, t, m, sink, tables=["orders"])
     incoming = loadop.conform(loadop.project(s["orders"], m["orders"]), m["orders"])
@@ -187,7 +181,7 @@ def load_append_conflicts(spark, sf_dir):
 
 def load_roundtrip(spark, sf_dir):
     """Documents written by ``load`` and read back: md5 of every text."""
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-roundtrip"))
     loadop.load(spark, s, m, sink, tables=["documents"])
     back = sink.read("documents")
@@ -196,7 +190,7 @@ def load_roundtrip(spark, sf_dir):
 
 
 def identity_high_water(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return loadop.identity_high_water(spark, t, m)
 
 
@@ -208,7 +202,7 @@ def guid_canonical(spark, sf_dir):
 
 
 def supplier_catalog(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     cat = views.catalog_view(s["supplier"], s["nation"], "s_nationkey", "n_nationkey",
                              ["s_suppkey", "s_name", "s_acctbal"], {"n_name": "n_name"})
     views.register_views(spark, {"supplier_catalog": cat})
@@ -216,7 +210,7 @@ def supplier_catalog(spark, sf_dir):
 
 
 def customer_order_totals(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     orders = t["orders"].where(ORDERS_KEPT_FOR_TOTALS)
     tot = views.totals_view(s["customer"], orders, "c_custkey", "o_custkey",
                             ["c_custkey", "c_name"], "o_orderkey", "o_totalprice")
@@ -224,32 +218,32 @@ def customer_order_totals(spark, sf_dir):
 
 
 def pk_audit(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return audit.pk_audit(spark, t, m, keys={"lineitem": LINEITEM_CANDIDATE_KEY})
 
 
 def unique_audit(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return audit.unique_audit(spark, t, m, collation=None)
 
 
 def unique_ci_audit(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return audit.unique_audit(spark, t, m, collation="UNICODE_CI")
 
 
 def fk_audit(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return audit.fk_audit(spark, t, m)
 
 
 def not_null_audit(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return audit.not_null_audit(spark, t, m)
 
 
 def length_audit(spark, sf_dir):
-    s, t, m = _fixture(spark, sf_dir)
+    s, t, m = fixture(spark, sf_dir)
     return audit.length_audit(spark, t, m)
 
 
