@@ -109,12 +109,13 @@ def load_full_report(spark, sf_dir):
 
 
 def stream_load_orders(spark, sf_dir):
-    """Incremental copy of the orders files, one file per micro-batch."""
+    """Incremental copy of the orders files (written as four files), one
+    file per micro-batch."""
     from .streaming.load import start_stream_load
     s, t, m = fixture(spark, sf_dir)
     raw = raw_tables(spark, sf_dir, ["orders"])["orders"]
     src_dir, sink_dir = fresh_dir(spark, "stream-src"), fresh_dir(spark, "stream-sink")
-    raw.write.parquet(src_dir)
+    raw.repartition(4).write.parquet(src_dir)
     q = start_stream_load(spark, src_dir, m["orders"], sink_dir, fresh_dir(spark, "stream-ckpt"),
                           source_schema=raw.schema, available_now=True)
     q.awaitTermination()
