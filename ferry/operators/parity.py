@@ -38,12 +38,17 @@ def _skipped(spark: SparkSession, table: str, columns: list[str], reason: str) -
     return spark.createDataFrame(rows, PARITY_SCHEMA)
 
 
-def pair_counts(src: DataFrame, tgt: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+def pair_counts(src: DataFrame, tgt: DataFrame, key: list[str], columns: list[str],
+                digest: bool = True) -> DataFrame:
     """One row: dup_keys, paired, only_source, only_target, and per text
-    column ``c{i}`` the number of paired rows whose text is identical."""
+    column ``c{i}`` the number of paired rows whose text is identical.
+    ``digest=False`` shuffles the raw text bytes instead of digests."""
+    def value(c: str):
+        return text_digest(c) if digest else F.col(c).cast("binary")
+
     def side(df: DataFrame, tag: int) -> DataFrame:
         return df.select(*key, F.lit(tag).alias("_side"),
-                         *[text_digest(c).alias(f"_d{i}") for i, c in enumerate(columns)])
+                         *[value(c).alias(f"_d{i}") for i, c in enumerate(columns)])
 
     is_s, is_t = F.col("_side") == 0, F.col("_side") == 1
     per_key = side(src, 0).unionByName(side(tgt, 1)).groupBy(*key).agg(
@@ -64,14 +69,14 @@ def pair_counts(src: DataFrame, tgt: DataFrame, key: list[str], columns: list[st
 
 
 def table_parity(spark: SparkSession, table: str, src: DataFrame, tgt: DataFrame,
-                 key, columns: list[str]) -> DataFrame:
+                 key, columns: list[str], digest: bool = True) -> DataFrame:
     """Lazy parity rows (one per text column) for one table."""
     key = list(key or [])
     if not columns:
         return spark.createDataFrame([], PARITY_SCHEMA)
     if not key:
         return _skipped(spark, table, columns, "no primary key")
-    counts = pair_counts(src, tgt, key, columns)
+    counts = pair_counts(src, tgt, key, columns, digest)
     pairs = []
     for i, c in enumerate(columns):
         pairs += [F.lit(c), F.col(f"c{i}")]
@@ -94,7 +99,7 @@ def table_parity(spark: SparkSession, table: str, src: DataFrame, tgt: DataFrame
 
 
 def string_parity(spark: SparkSession, source: TableSet, target: TableSet, manifest: Manifest,
-                  tables=None, keys: dict | None = None) -> DataFrame:
+                  tables=None, keys: dict | None = None, digest: bool = True) -> DataFrame:
     """Lazy parity of every common table (or ``tables``). ``keys`` may
     override a table's pairing key."""
     keys = keys or {}
@@ -106,7 +111,7 @@ def string_parity(spark: SparkSession, source: TableSet, target: TableSet, manif
             continue
         key = keys.get(n, spec.primary_key)
         cols = [c for c in spec.text_columns() if c not in key]
-        parts.append(table_parity(spark, n, source[n], target[n], key, cols))
+        parts.append(table_parity(spark, n, source[n], target[n], key, cols, digest))
     out = spark.createDataFrame([], PARITY_SCHEMA)
     for p in parts:
         out = out.unionByName(p)
@@ -118,7 +123,7 @@ def parity_tables(source: TableSet, target: TableSet, manifest: Manifest) -> lis
 
 
 def one_table_parity(spark: SparkSession, name: str, src: DataFrame, tgt: DataFrame,
-                     spec) -> list[tuple]:
+                     spec, digest: bool = True) -> list[tuple]:
     """Parity rows of one table (one small job); a failure gives ERROR rows."""
     cols = [c for c in spec.text_columns() if c not in spec.primary_key]
     lost = sorted(set(missing_columns(src, [*spec.primary_key, *cols]))
@@ -128,7 +133,7 @@ def one_table_parity(spark: SparkSession, name: str, src: DataFrame, tgt: DataFr
         return [(name, c, None, None, None, None, "ERROR", msg) for c in cols]
     try:
         return [tuple(r) for r in
-                table_parity(spark, name, src, tgt, spec.primary_key, cols).collect()]
+                table_parity(spark, name, src, tgt, spec.primary_key, cols, digest).collect()]
     except Exception as exc:
         msg = error_text(exc)
         return [(name, c, None, None, None, None, "ERROR", msg) for c in cols]

@@ -47,19 +47,27 @@ class Reconciliation:
 
 
 def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest: Manifest,
-              strings: bool = True, parallelism: int = 8) -> Reconciliation:
+              strings: bool = True, parallelism: int = 8, tables=None,
+              digest: bool = True) -> Reconciliation:
     """Compare ``source`` with ``target``.
 
     Metric reports and parity are evaluated per table (isolated, concurrent)
     and collected as bounded rows (one per planned metric or text column).
     The small comparison frames built from them are cached, because the
-    summary and verdict reuse the detail and mismatches."""
+    summary and verdict reuse the detail and mismatches. ``tables`` limits
+    the run to those names on both sides (independent of what was loaded). ``digest=False`` makes text parity
+    shuffle raw text instead of SHA-256 digests of long texts."""
+    if tables is not None:
+        keep = {t.strip() for t in tables}
+        source = {n: df for n, df in source.items() if n in keep}
+        target = {n: df for n, df in target.items() if n in keep}
     plan = build_plan(target, manifest)
     if not plan:
         raise ValueError("empty validation plan: the target has no tables")
     metrics = plan_metrics_frame(spark, plan)
     scales = sorted({s for tp in plan for _, s in tp.metrics()})
-    src, tgt, par_rows = _evaluate(spark, source, target, manifest, plan, strings, parallelism)
+    src, tgt, par_rows = _evaluate(spark, source, target, manifest, plan, strings, parallelism,
+                                   digest)
     names = compare.table_set_diff(spark, source.keys(), target.keys())
     common = sorted(set(source) & set(target))
     det = compare.detail(metrics, src, tgt).cache()
@@ -73,14 +81,14 @@ def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest:
     )
 
 
-def _evaluate(spark, source, target, manifest, plan, strings, parallelism):
+def _evaluate(spark, source, target, manifest, plan, strings, parallelism, digest=True):
     """Run every per-table job of both sides (metrics, then parity) on one
     driver thread pool, so small tables overlap with large ones. Each job
     returns bounded rows; failures are already turned into ERROR rows."""
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         src = [pool.submit(one_table_rows, source[tp.table], tp) for tp in plan if tp.table in source]
         tgt = [pool.submit(one_table_rows, target[tp.table], tp) for tp in plan if tp.table in target]
-        par = ([pool.submit(one_table_parity, spark, n, source[n], target[n], manifest[n])
+        par = ([pool.submit(one_table_parity, spark, n, source[n], target[n], manifest[n], digest)
                 for n in parity_tables(source, target, manifest)] if strings else [])
         rows = [[r for f in fs for r in f.result()] for fs in (src, tgt, par)]
     return (spark.createDataFrame(rows[0], REPORT_SCHEMA),

@@ -30,6 +30,15 @@ def test_hostile_text_and_nulls(spark):
     assert got["note"] == (4, 1, 1, 4, "DIFF")
 
 
+def test_raw_text_mode_agrees_with_digests(spark):
+    long_a, long_b = "y" * 3000 + "1", "y" * 3000 + "2"
+    s = spark.createDataFrame([("1", long_a, "a"), ("2", "same", None)], SCHEMA)
+    t = spark.createDataFrame([("1", long_b, "a"), ("2", "same", None)], SCHEMA)
+    hashed = _rows(table_parity(spark, "t", s, t, ["id"], ["body", "note"]))
+    raw = _rows(table_parity(spark, "t", s, t, ["id"], ["body", "note"], digest=False))
+    assert hashed == raw == {"body": (2, 0, 0, 1, "DIFF"), "note": (2, 0, 0, 2, "OK")}
+
+
 def test_null_vs_text_is_not_identical(spark):
     s = spark.createDataFrame([("k", None, "a")], SCHEMA)
     t = spark.createDataFrame([("k", "", "a")], SCHEMA)

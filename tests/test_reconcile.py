@@ -73,6 +73,14 @@ def test_metrics_only_verdict(spark, sf001):
     assert (v.ok, v.bad) == (7, 5)
 
 
+def test_table_subset(spark, sf001):
+    s, t, m = sf001
+    r = reconcile(spark, s, t, m, tables=["nation", "part", "labels"])
+    v = r.verdict.first()
+    assert (v.common, v.ok, v.bad, v.only_source, v.only_target) == (2, 1, 1, 1, 0)
+    assert {x.table_name for x in r.detail.collect()} == {"nation", "part"}
+
+
 def test_identical_passes_and_is_symmetric(spark, sf001):
     s, t, m = sf001
     assert reconcile(spark, s, s, m).passed()
