@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..manifest import Manifest, TableSet
 
@@ -58,7 +59,9 @@ def unique_values(df: DataFrame, cols, collation: str | None = None) -> DataFram
     """One row (dup_values): values (under ``collation``) held by more than
     one row; rows with a null part are ignored, as a UNIQUE rule does."""
     cols = list(cols)
-    keyed = [F.collate(F.col(c), collation).alias(c) if collation else F.col(c) for c in cols]
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    keyed = [F.collate(F.col(c), collation).alias(c) if collation and c in text else F.col(c)
+             for c in cols]
     counts = (df.where(~_any_null(cols)).select(*keyed)
               .groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")))
     return counts.agg(F.count_if(F.col("_n") > 1).alias("dup_values"))

@@ -53,6 +53,12 @@ def test_unique_case_insensitive_accent_sensitive(spark):
     assert got.dup_values == 0
 
 
+def test_composite_unique_with_collation_and_number(spark):
+    df = spark.createDataFrame([(1, "A"), (1, "a"), (2, "a")], "n int, s string")
+    assert audit.unique_values(df, ["n", "s"], "UNICODE_CI").first().dup_values == 1
+    assert audit.unique_values(df, ["n", "s"]).first().dup_values == 0
+
+
 def test_fk_audit_ignores_nulls_and_handles_hot_values(spark):
     parent = spark.createDataFrame([(1,), (2,)], "pk int")
     child = spark.createDataFrame([(1,)] * 500 + [(9,)] * 200 + [(None,), (3,)], "fk int")
