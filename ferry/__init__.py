@@ -8,6 +8,7 @@ from .operators.audit import (column_audit, fk_audit, length_audit, not_null_aud
                               unique_audit)
 from .operators.load import (CatalogSink, LoadError, ParquetSink, append_conflicts,
                              identity_high_water, load)
+from .operators.migrate import MigrationResult, migrate
 from .operators.parity import string_parity
 from .operators.reconcile import Reconciliation, reconcile
 from .operators.views import catalog_view, locale_sorted, register_views, totals_view
@@ -17,7 +18,7 @@ __all__ = [
     "ForeignKey", "Manifest", "TableSet", "TableSpec", "UniqueKey",
     "column_audit", "fk_audit", "length_audit", "not_null_audit", "pk_audit", "unique_audit",
     "CatalogSink", "LoadError", "ParquetSink", "append_conflicts", "identity_high_water", "load",
-    "string_parity", "Reconciliation", "reconcile",
+    "MigrationResult", "migrate", "string_parity", "Reconciliation", "reconcile",
     "catalog_view", "locale_sorted", "register_views", "totals_view",
     "catalog_tables", "jdbc_table", "jdbc_tables", "parquet_tables",
 ]

@@ -76,7 +76,9 @@ class ParquetSink:
 
     Overwrite writes a staging folder and then swaps it in with file-system
     renames, so a failed write never leaves a half-written table. Append
-    relies on the write's commit protocol (files appear only on commit)."""
+    relies on the write's commit protocol (files appear only on commit).
+    The swap is atomic where renames are (HDFS and similar); on an object
+    store a rename is a copy, so the swap is only as safe as that copy."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")

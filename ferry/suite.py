@@ -12,6 +12,7 @@ from .fixtures import ORDERS_KEPT_FOR_TOTALS, fixture, raw_tables, source_tables
 from .functions.exprs import guid_from_le_bytes, guid_from_text
 from .operators import audit, load as loadop, views
 from .operators.metrics import metrics_report
+from .operators.migrate import migrate
 from .operators.parity import string_parity, table_parity
 from .operators.reconcile import Reconciliation, reconcile
 from .plans.validation import build_plan, plan_frame
@@ -88,9 +89,7 @@ def migrate_and_verify(spark, sf_dir):
     written tables back as the target and reconcile them with the source."""
     s, t, m = fixture(spark, sf_dir)
     sink = loadop.ParquetSink(spark, fresh_dir(spark, "migrate"))
-    loadop.load(spark, s, m, sink, tables=sorted(s))
-    written = {n: sink.read(n) for n in sorted(s)}
-    return reconcile(spark, s, written, m).verdict
+    return migrate(spark, s, m, sink, tables=sorted(s)).reconciliation.verdict
 
 
 def evidence_csv(spark, sf_dir):
