@@ -55,11 +55,14 @@ def key_bound_text(fn, c) -> Column:
 
 
 def text_digest(c) -> Column:
-    """Binary stand-in for a text value that is equal iff the texts are equal.
-
-    Short texts (under 32 UTF-8 bytes) are their own bytes; longer ones are
-    their SHA-256 (exactly 32 bytes), so the two kinds never collide and a
-    wide text shuffles as 32 bytes. Null stays null.
+    """Binary stand-in for a text value, compared instead of the text.
+
+    Short texts (under 32 UTF-8 bytes) are their own bytes, so equality is
+    exact. Longer ones are their SHA-256 (exactly 32 bytes): equal digests
+    mean equal texts unless SHA-256 collides, and a wide text shuffles as 32
+    bytes. The two kinds never match each other (different lengths). Null
+    stays null. Use raw bytes instead (parity ``digest=False``) to rule out
+    even a hash collision.
     """
     c = _col(c)
     return F.when(F.octet_length(c) < 32, c.cast("binary")).otherwise(F.unhex(F.sha2(c, 256)))
