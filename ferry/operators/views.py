@@ -43,8 +43,9 @@ def totals_view(parent: DataFrame, child: DataFrame, parent_key: str, child_key:
 
 def locale_sorted(df: DataFrame, column: str, locale: str = "es") -> DataFrame:
     """Rows ordered by ``column`` under a locale collation (Spanish by
-    default: accents are secondary, ñ sorts after n). Distinct values are
-    kept byte-distinct; only the order uses the collation."""
+    default: accents are secondary, ñ sorts after n). Rows are never merged
+    or changed; only the order uses the collation, with the raw value as
+    the tie-break. The sort is Spark's range-partitioned global sort."""
     return df.orderBy(F.collate(F.col(column), locale), F.col(column))
 
 
