@@ -8,7 +8,7 @@ from .operators.audit import (column_audit, fk_audit, length_audit, not_null_aud
                               unique_audit)
 from .operators.load import (CatalogSink, LoadError, ParquetSink, append_conflicts,
                              identity_high_water, load)
-from .operators.migrate import MigrationResult, migrate
+from .operators.transfer import MigrationResult, migrate
 from .operators.parity import string_parity
 from .operators.reconcile import Reconciliation, reconcile
 from .operators.views import catalog_view, locale_sorted, register_views, totals_view

@@ -12,7 +12,7 @@ from .fixtures import ORDERS_KEPT_FOR_TOTALS, fixture, raw_tables, source_tables
 from .functions.exprs import guid_from_le_bytes, guid_from_text
 from .operators import audit, load as loadop, views
 from .operators.metrics import metrics_report
-from .operators.migrate import migrate
+from .operators.transfer import migrate
 from .operators.parity import string_parity, table_parity
 from .operators.reconcile import Reconciliation, reconcile
 from .plans.validation import build_plan, plan_frame

@@ -95,7 +95,7 @@ def test_catalog_sink_bucketed(spark):
 
 
 def test_migrate_loads_marks_and_proves(spark):
-    from ferry.operators.migrate import migrate
+    from ferry.operators.transfer import migrate
     sink = L.ParquetSink(spark, fresh_dir(spark, "t-migrate"))
     src = {n: L.conform(L.project(df, _manifest()[n]), _manifest()[n]) for n, df in _source(spark).items()}
     res = migrate(spark, src, _manifest(), sink, tables=["item"])
