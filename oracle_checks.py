@@ -8,6 +8,7 @@ here from the Parquet schemas with pyarrow, not from the Spark code.
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -25,6 +26,7 @@ def _schema_dir() -> str:
     raise FileNotFoundError("no test data folder found")
 
 
+@lru_cache(maxsize=1)
 def raw_schemas() -> dict[str, list[tuple[str, pa.DataType]]]:
     d = _schema_dir()
     out = {}
@@ -34,6 +36,7 @@ def raw_schemas() -> dict[str, list[tuple[str, pa.DataType]]]:
     return out
 
 
+@lru_cache(maxsize=1)
 def typed_schemas() -> dict[str, list[tuple[str, str]]]:
     """(column, kind) where kind is int / dec:<scale> / text / other."""
     out = {}
