@@ -54,9 +54,12 @@ def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest:
     Metric reports and parity are evaluated per table (isolated, concurrent)
     and collected as bounded rows (one per planned metric or text column).
     The small comparison frames built from them are cached, because the
-    summary and verdict reuse the detail and mismatches. ``tables`` limits
-    the run to those names on both sides (independent of what was loaded). ``digest=False`` makes text parity
-    shuffle raw text instead of SHA-256 digests of long texts."""
+    summary and verdict reuse the detail and mismatches.
+
+    ``tables`` limits the run to those names on both sides (independent of
+    what was loaded). ``strings=False`` switches text parity off;
+    ``digest=False`` makes it shuffle raw text instead of SHA-256 digests
+    of long texts."""
     if tables is not None:
         keep = {t.strip() for t in tables}
         source = {n: df for n, df in source.items() if n in keep}
