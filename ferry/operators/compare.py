@@ -37,15 +37,21 @@ def _errors(report: DataFrame, alias: str) -> DataFrame:
         "table_name", F.col("value").alias(alias))
 
 
-def detail(plan_metrics: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFrame:
-    """Every planned metric with its status; precedence SOURCE_ERROR,
-    TARGET_ERROR, MISSING, OK, DIFF. Absent values show as ``-``."""
+def joined(plan_metrics: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFrame:
+    """Every planned metric (with its scale) beside both sides' values and
+    each side's table error, if any. ``detail`` and ``mismatches`` are both
+    projections of this one frame."""
     sv = src.where(F.col("metric") != ERROR_METRIC).withColumnRenamed("value", "_sv")
     tv = tgt.where(F.col("metric") != ERROR_METRIC).withColumnRenamed("value", "_tv")
-    j = (plan_metrics.join(sv, ["table_name", "metric"], "left")
-         .join(tv, ["table_name", "metric"], "left")
-         .join(F.broadcast(_errors(src, "_se")), "table_name", "left")
-         .join(F.broadcast(_errors(tgt, "_te")), "table_name", "left"))
+    return (plan_metrics.join(sv, ["table_name", "metric"], "left")
+            .join(tv, ["table_name", "metric"], "left")
+            .join(_errors(src, "_se"), "table_name", "left")
+            .join(_errors(tgt, "_te"), "table_name", "left"))
+
+
+def detail(j: DataFrame) -> DataFrame:
+    """Every planned metric with its status; precedence SOURCE_ERROR,
+    TARGET_ERROR, MISSING, OK, DIFF. Absent values show as ``-``."""
     status = (F.when(F.col("_se").isNotNull(), SOURCE_ERROR)
               .when(F.col("_te").isNotNull(), TARGET_ERROR)
               .when(F.col("_sv").isNull() | F.col("_tv").isNull(), MISSING)
@@ -67,38 +73,35 @@ def _abs_diff_text(scales: list[int]):
     return expr
 
 
-def mismatches(plan_metrics: DataFrame, src: DataFrame, tgt: DataFrame,
-               common: list[str], scales: list[int]) -> DataFrame:
+def mismatches(j: DataFrame, src: DataFrame, tgt: DataFrame, common: list[str],
+               scales: list[int]) -> DataFrame:
     """Metrics that differ between the sides of common tables, with a reason.
 
     A table that failed on a side contributes one error row only. ``scales``
     lists the decimal scales present in the plan."""
     scales = list(scales) or [0]
-    names = F.col("table_name").isin(list(common)) if common else F.lit(False)
-    s = src.where(names).withColumnRenamed("value", "_sv")
-    t = tgt.where(names).withColumnRenamed("value", "_tv")
-    failed = (s.where(F.col("metric") == ERROR_METRIC).select("table_name")
-              .unionByName(t.where(F.col("metric") == ERROR_METRIC).select("table_name"))
-              .distinct().withColumn("_failed", F.lit(True)))
-    j = (s.join(t, ["table_name", "metric"], "full_outer")
-         .join(F.broadcast(failed), "table_name", "left")
-         .join(plan_metrics, ["table_name", "metric"], "left"))
-    j = j.where((F.col("metric") == ERROR_METRIC) | F.col("_failed").isNull())
+    in_common = F.col("table_name").isin(list(common)) if common else F.lit(False)
     numeric = (F.col("_sv") != EMPTY) & (F.col("_tv") != EMPTY)
-    reason = (F.when((F.col("metric") == ERROR_METRIC) & F.col("_sv").isNotNull()
-                     & F.col("_tv").isNotNull(), "source and target error")
-              .when((F.col("metric") == ERROR_METRIC) & F.col("_sv").isNotNull(), "source error")
-              .when(F.col("metric") == ERROR_METRIC, "target error")
-              .when(F.col("_sv").isNull(), "missing in source")
+    reason = (F.when(F.col("_sv").isNull(), "missing in source")
               .when(F.col("_tv").isNull(), "missing in target")
-              .when(F.col("_sv") == F.col("_tv"), F.lit(None))
               .when(numeric, F.concat(F.lit("diff="), _abs_diff_text(scales)))
               .otherwise("text differs"))
-    return (j.select("table_name", "metric",
-                     F.coalesce("_sv", F.lit(ABSENT)).alias("source_value"),
-                     F.coalesce("_tv", F.lit(ABSENT)).alias("target_value"),
-                     reason.alias("reason"))
-            .where(F.col("reason").isNotNull()))
+    differing = (j.where(in_common & F.col("_se").isNull() & F.col("_te").isNull()
+                         & ~F.col("_sv").eqNullSafe(F.col("_tv")))
+                 .select("table_name", "metric",
+                         F.coalesce("_sv", F.lit(ABSENT)).alias("source_value"),
+                         F.coalesce("_tv", F.lit(ABSENT)).alias("target_value"),
+                         reason.alias("reason")))
+    errors = (_errors(src, "_se").join(_errors(tgt, "_te"), "table_name", "full_outer")
+              .where(in_common)
+              .select("table_name", F.lit(ERROR_METRIC).alias("metric"),
+                      F.coalesce("_se", F.lit(ABSENT)).alias("source_value"),
+                      F.coalesce("_te", F.lit(ABSENT)).alias("target_value"),
+                      F.when(F.col("_se").isNotNull() & F.col("_te").isNotNull(),
+                             "source and target error")
+                      .when(F.col("_se").isNotNull(), "source error")
+                      .otherwise("target error").alias("reason")))
+    return differing.unionByName(errors)
 
 
 def parity_status(parity: DataFrame) -> DataFrame:

@@ -30,13 +30,14 @@ class Reconciliation:
     parity: DataFrame | None
     table_summary: DataFrame
     verdict: DataFrame
+    _joined: DataFrame | None = None
 
     def passed(self) -> bool:
         return bool(self.verdict.first()["passed"])
 
     def unpersist(self) -> None:
         """Release the cached comparison frames."""
-        for df in (self.detail, self.mismatches, self.parity, self.table_summary):
+        for df in (self.detail, self.mismatches, self.parity, self.table_summary, self._joined):
             if df is not None:
                 df.unpersist()
 
@@ -73,14 +74,15 @@ def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest:
                                    digest)
     names = compare.table_set_diff(spark, source.keys(), target.keys())
     common = sorted(set(source) & set(target))
-    det = compare.detail(metrics, src, tgt).cache()
-    mis = compare.mismatches(metrics, src, tgt, common, scales).cache()
+    both = compare.joined(metrics, src, tgt).cache()
+    det = compare.detail(both).cache()
+    mis = compare.mismatches(both, src, tgt, common, scales).cache()
     par = spark.createDataFrame(par_rows, PARITY_SCHEMA).cache() if strings else None
     summary = compare.table_summary(det, source.keys(), par).cache()
     return Reconciliation(
         plan=plan_frame(spark, target, manifest), source_report=src, target_report=tgt,
         tables=names, detail=det, mismatches=mis, parity=par, table_summary=summary,
-        verdict=compare.verdict(summary, names, mis),
+        verdict=compare.verdict(summary, names, mis), _joined=both,
     )
 
 

@@ -178,12 +178,14 @@ def test_target_error_is_isolated(spark):
     from ferry.plans.validation import build_plan
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("amt", T.DecimalType(10, 2))])
     ok = spark.createDataFrame([(1, Decimal("1.00"))], schema)
-    m = Manifest([_spec("a", schema, ["id"]), _spec("b", schema, ["id"])])
+    m = Manifest([_spec("a", schema, ["id"]), _spec("b", schema, ["id"]), _spec("c", schema, ["id"])])
     broken = ok.select("id", F_raise().alias("amt"))
-    r = reconcile(spark, {"a": ok, "b": ok}, {"a": broken, "b": ok}, m, strings=False)
+    r = reconcile(spark, {"a": ok, "b": ok, "c": broken}, {"a": broken, "b": ok, "c": broken}, m,
+                  strings=False)
     st = {(x.table_name, x.status) for x in r.detail.collect()}
-    assert st == {("a", "TARGET_ERROR"), ("b", "OK")}
-    assert [(x.table_name, x.reason) for x in r.mismatches.collect()] == [("a", "target error")]
+    assert st == {("a", "TARGET_ERROR"), ("b", "OK"), ("c", "SOURCE_ERROR")}
+    assert sorted((x.table_name, x.metric, x.reason) for x in r.mismatches.collect()) == [
+        ("a", "ERROR", "target error"), ("c", "ERROR", "source and target error")]
     rep = collect_metrics(spark, {"a": broken, "b": ok}, build_plan({"a": ok, "b": ok}, m)).collect()
     assert [x.metric for x in rep if x.table_name == "a"] == ["ERROR"]
 
