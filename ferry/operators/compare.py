@@ -114,19 +114,37 @@ def parity_status(parity: DataFrame) -> DataFrame:
 
 
 def table_summary(detail_df: DataFrame, source_names, parity: DataFrame | None = None) -> DataFrame:
-    """One row per target table: row counts, sums matched/total, status.
+    """One row per target table: row counts, sums matched/total, key ranges,
+    status, in one grouping of the detail.
+
+    ``key_range`` is the target's range of every integer key column as
+    ``col=min..max`` joined by ", " in column-name order; null when the
+    table has no such key or the target is empty. ``parity_status`` is OFF
+    when text parity did not run, NONE for a table without text columns. A
+    SKIPPED parity never fails a table."""
+    m = F.col("metric")
+    is_sum = m.startswith("sum:")
+    key_col = F.substring_index(m, ":", -1)
+
+    def bound(kind: str):
+        return F.map_from_entries(F.collect_list(
+            F.when(m.startswith(kind + ":"), F.struct(key_col, F.col("target_value")))))
 
-    ``parity_status`` is OFF when text parity did not run, NONE for a table
-    without text columns. A SKIPPED parity never fails a table."""
-    is_sum = F.col("metric").startswith("sum:")
     g = detail_df.groupBy("table_name").agg(
-        F.max(F.when(F.col("metric") == "rowcount", F.col("source_value"))).alias("source_rows"),
-        F.max(F.when(F.col("metric") == "rowcount", F.col("target_value"))).alias("target_rows"),
+        F.max(F.when(m == "rowcount", F.col("source_value"))).alias("source_rows"),
+        F.max(F.when(m == "rowcount", F.col("target_value"))).alias("target_rows"),
         F.count_if(is_sum & (F.col("status") == OK)).alias("sums_ok"),
         F.count_if(is_sum).alias("sums_total"),
         F.max((F.col("status") != OK).cast("int")).alias("_bad"),
+        bound("pkmin").alias("_lo"), bound("pkmax").alias("_hi"),
     )
-    g = g.join(key_ranges(detail_df), "table_name", "left")
+    ranges = F.filter(
+        F.transform(F.array_sort(F.map_keys("_lo")),
+                    lambda k: F.when(~F.element_at("_lo", k).isin(EMPTY, ABSENT),
+                                     F.concat(k, F.lit("="), F.element_at("_lo", k), F.lit(".."),
+                                              F.element_at("_hi", k)))),
+        lambda x: x.isNotNull())
+    g = g.withColumn("key_range", F.when(F.size(ranges) > 0, F.concat_ws(", ", ranges)))
     in_source = F.col("table_name").isin(sorted(source_names)) if source_names else F.lit(False)
     if parity is None:
         g = g.withColumn("parity_status", F.lit("OFF"))
@@ -140,30 +158,14 @@ def table_summary(detail_df: DataFrame, source_names, parity: DataFrame | None =
                     "key_range", "parity_status", status.alias("status"))
 
 
-def key_ranges(detail_df: DataFrame) -> DataFrame:
-    """Per table, the target's range of every integer key column as
-    ``col=min..max`` joined by ", " in column-name order; null when the
-    table has no such key or the target is empty."""
-    m = F.col("metric")
-    per_col = (detail_df.where(m.startswith("pkmin:") | m.startswith("pkmax:"))
-               .select("table_name", F.substring_index(m, ":", -1).alias("_c"),
-                       F.substring_index(m, ":", 1).alias("_k"), "target_value")
-               .groupBy("table_name", "_c")
-               .agg(F.max(F.when(F.col("_k") == "pkmin", F.col("target_value"))).alias("_lo"),
-                    F.max(F.when(F.col("_k") == "pkmax", F.col("target_value"))).alias("_hi")))
-    text = F.when(~F.col("_lo").isin(EMPTY, ABSENT),
-                  F.concat(F.col("_c"), F.lit("="), F.col("_lo"), F.lit(".."), F.col("_hi")))
-    parts = per_col.groupBy("table_name").agg(F.array_sort(F.collect_list(text)).alias("_r"))
-    return parts.select("table_name", F.when(F.size("_r") > 0, F.concat_ws(", ", "_r"))
-                        .alias("key_range"))
-
-
-def verdict(summary: DataFrame, names: DataFrame, mismatch_rows: DataFrame) -> DataFrame:
+def verdict(summary: DataFrame, names: DataFrame, mismatch_rows: DataFrame,
+            common: list[str]) -> DataFrame:
     """One row: common, ok, bad, one-sided counts, mismatches and ``passed``.
 
-    Built as one aggregate over a union of small fact rows (no join)."""
-    common = summary.join(names.where(F.col("side") == "both"), "table_name", "left_semi")
-    facts = (common.select(F.lit("table").alias("kind"), F.col("status"))
+    Built as one aggregate over a union of small fact rows (no join);
+    ``common`` names the tables both sides have."""
+    in_common = F.col("table_name").isin(list(common)) if common else F.lit(False)
+    facts = (summary.where(in_common).select(F.lit("table").alias("kind"), F.col("status"))
              .unionByName(names.select(F.col("side").alias("kind"), F.lit(None).cast("string").alias("status")))
              .unionByName(mismatch_rows.select(F.lit("mismatch").alias("kind"),
                                                F.lit(None).cast("string").alias("status"))))

@@ -82,7 +82,7 @@ def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest:
     return Reconciliation(
         plan=plan_frame(spark, target, manifest), source_report=src, target_report=tgt,
         tables=names, detail=det, mismatches=mis, parity=par, table_summary=summary,
-        verdict=compare.verdict(summary, names, mis), _joined=both,
+        verdict=compare.verdict(summary, names, mis, common), _joined=both,
     )
 
 
