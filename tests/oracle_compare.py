@@ -1,7 +1,7 @@
 """Run every registered query and its DuckDB oracle; compare row count,
 column names and an order-insensitive hash of the values.
 
-    python tests/oracle_compare.py [sf_dir] [name ...]
+    python tests/oracle_compare.py [--no-ansi] [sf_dir] [name ...]
 """
 
 from __future__ import annotations
@@ -36,11 +36,14 @@ def digest(cols, rows):
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    only = set(sys.argv[2:])
+    args = [a for a in sys.argv[1:] if a != "--no-ansi"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    only = set(args[1:])
     import __spark_entry__ as entry
     from ferry.session import local_session
     spark = local_session()
+    if "--no-ansi" in sys.argv:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
     con = duckdb.connect()
     for n in ALL_TABLES:
         con.execute(f"CREATE VIEW {n} AS SELECT * FROM read_parquet('{sf}/{n}.parquet')")
