@@ -20,15 +20,14 @@ SKIPPED = "SKIPPED"
 
 
 def table_set_diff(spark: SparkSession, source_names, target_names) -> DataFrame:
-    """(table_name, side) with side in both / source_only / target_only."""
-    s = spark.createDataFrame([(n,) for n in sorted(source_names)], "table_name string") \
-        .withColumn("_s", F.lit(True))
-    t = spark.createDataFrame([(n,) for n in sorted(target_names)], "table_name string") \
-        .withColumn("_t", F.lit(True))
-    j = s.join(t, "table_name", "full_outer")
-    side = (F.when(F.col("_s") & F.col("_t"), "both")
-            .when(F.col("_s"), "source_only").otherwise("target_only"))
-    return j.select("table_name", side.alias("side"))
+    """(table_name, side) with side in both / source_only / target_only.
+
+    Set algebra on the two catalogues' table names, which the driver holds
+    already (metadata, one row per table)."""
+    s, t = set(source_names), set(target_names)
+    rows = [(n, "both" if n in s and n in t else "source_only" if n in s else "target_only")
+            for n in sorted(s | t)]
+    return spark.createDataFrame(rows, "table_name string, side string")
 
 
 def _errors(report: DataFrame, alias: str) -> DataFrame:
@@ -43,10 +42,12 @@ def joined(plan_metrics: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFrame
     projections of this one frame."""
     sv = src.where(F.col("metric") != ERROR_METRIC).withColumnRenamed("value", "_sv")
     tv = tgt.where(F.col("metric") != ERROR_METRIC).withColumnRenamed("value", "_tv")
-    return (plan_metrics.join(sv, ["table_name", "metric"], "left")
-            .join(tv, ["table_name", "metric"], "left")
-            .join(_errors(src, "_se"), "table_name", "left")
-            .join(_errors(tgt, "_te"), "table_name", "left"))
+    # Broadcast only these report frames: their size is bounded by the plan
+    # (one row per planned metric, one error row per table), not by the data.
+    return (plan_metrics.join(F.broadcast(sv), ["table_name", "metric"], "left")
+            .join(F.broadcast(tv), ["table_name", "metric"], "left")
+            .join(F.broadcast(_errors(src, "_se")), "table_name", "left")
+            .join(F.broadcast(_errors(tgt, "_te")), "table_name", "left"))
 
 
 def detail(j: DataFrame) -> DataFrame:
@@ -149,7 +150,7 @@ def table_summary(detail_df: DataFrame, source_names, parity: DataFrame | None =
     if parity is None:
         g = g.withColumn("parity_status", F.lit("OFF"))
     else:
-        g = (g.join(parity_status(parity), "table_name", "left")
+        g = (g.join(F.broadcast(parity_status(parity)), "table_name", "left")
              .withColumn("parity_status", F.coalesce("parity_status", F.lit("NONE"))))
     status = (F.when(~in_source, MISSING)
               .when((F.col("_bad") == 1) | (F.col("parity_status") == DIFF), DIFF)
