@@ -1,10 +1,12 @@
 """Load a table set into a sink with keys preserved and types conformed.
 
 Per table: project to the target's column order (extra source columns are
-dropped, a missing one is an error), cast to the target types (ANSI casts
-fail loud), count the rows with an ``Observation`` that rides on the write
-itself, and write. Executors read and write in parallel; nothing passes
-through the driver. Keys are copied as they are, never regenerated.
+dropped, a missing one is an error), cast to the target types (casts fail
+loud), write, and count. A replace load counts the rows of the written,
+still staged files (Parquet row-group metadata: no column is read again);
+an append counts with an ``Observation`` on the write itself. Executors
+read and write in parallel; nothing passes through the driver. Keys are
+copied as they are, never regenerated.
 """
 
 from __future__ import annotations
@@ -95,13 +97,15 @@ class ParquetSink:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
-    def write(self, df: DataFrame, table: str, mode: str) -> None:
-        if mode == "append":
-            df.write.mode("append").parquet(self.path(table))
-            return
+    def append(self, df: DataFrame, table: str) -> None:
+        df.write.mode("append").parquet(self.path(table))
+
+    def replace(self, df: DataFrame, table: str) -> int:
+        """Write to a staging folder, count what landed there, swap it in."""
         tag = uuid.uuid4().hex[:12]
         staging = f"{self.root}/_staging/{table}-{tag}"
         df.write.mode("errorifexists").parquet(staging)
+        n = self.spark.read.parquet(staging).count()
         final, old = self._Path(self.path(table)), self._Path(f"{self.root}/_old/{table}-{tag}")
         if self._fs.exists(final):
             self._fs.mkdirs(old.getParent())
@@ -111,6 +115,7 @@ class ParquetSink:
         if not self._fs.rename(self._Path(staging), final):
             raise LoadError(table, "could not move the staged table into place")
         self._fs.delete(old, True)
+        return n
 
 
 class CatalogSink:
@@ -130,13 +135,22 @@ class CatalogSink:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
-    def write(self, df: DataFrame, table: str, mode: str) -> None:
+    def _write(self, df: DataFrame, table: str, mode: str) -> None:
         w = df.write.mode(mode).format("parquet")
         key = list(self.manifest[table].primary_key) if self.manifest and table in self.manifest else []
         if self.buckets and key:
             w = w.bucketBy(self.buckets, *key).sortBy(*key)
         w.saveAsTable(self.name(table))
 
+    def append(self, df: DataFrame, table: str) -> None:
+        self._write(df, table, "append")
+
+    def replace(self, df: DataFrame, table: str) -> int:
+        """Overwrite the table (not atomic for catalogue tables) and count
+        the written rows from its file metadata."""
+        self._write(df, table, "overwrite")
+        return self.read(table).count()
+
 
 @dataclass
 class LoadResult:
@@ -146,15 +160,17 @@ class LoadResult:
 
 def load_table(spec: TableSpec, df: DataFrame, sink, mode: str) -> int:
     """Project, conform, (append: check keys), write; returns the row count
-    observed on the write itself (no second pass over the data)."""
+    of what was written (no second pass over the data)."""
     name = spec.name
     try:
         out = conform(project(df, spec), spec)
         if mode == "append" and spec.primary_key and sink.exists(name):
             if not append_conflicts(out, sink.read(name), spec.primary_key).isEmpty():
                 raise LoadError(name, "incoming keys already exist in the target")
+        if mode == "overwrite":
+            return int(sink.replace(out, name))
         obs = Observation(f"load_{name}_{uuid.uuid4().hex[:8]}")
-        sink.write(out.observe(obs, F.count(F.lit(1)).alias("n")), name, mode)
+        sink.append(out.observe(obs, F.count(F.lit(1)).alias("n")), name)
         return int(obs.get["n"])
     except LoadError:
         raise

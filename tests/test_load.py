@@ -102,3 +102,11 @@ def test_migrate_loads_marks_and_proves(spark):
     assert {(r.table_name, r.n_rows) for r in res.load_report.collect()} == {("item", 2), ("(total)", 2)}
     assert [(r.table_name, r.next_id) for r in res.high_water.collect()] == [("item", 3)]
     assert res.reconciliation.passed()
+
+
+def test_empty_table_replace_load(spark):
+    sink = L.ParquetSink(spark, fresh_dir(spark, "t-empty"))
+    empty = {"item": spark.createDataFrame([], "price double, id int, name string, junk string")}
+    res = L.load(spark, empty, _manifest(), sink, tables=["item"])
+    assert res.counts == {"item": 0}
+    assert sink.read("item").count() == 0 and sink.read("item").columns == ["id", "name", "price"]
