@@ -35,20 +35,44 @@ def strict_cast(c, data_type) -> Column:
                   ).otherwise(out)
 
 
-def exact_sum_text(c, scale: int) -> Column:
+def fits_decimal38(data_type, scale: int) -> bool:
+    """True when every value of ``data_type`` fits decimal(38, scale), so the
+    cast cannot fail: integers (at most 19 digits) and decimals whose
+    integer digits, a rounding carry and ``scale`` stay within 38."""
+    from pyspark.sql import types as T
+    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return 19 + scale <= 38
+    if isinstance(data_type, T.DecimalType):
+        return data_type.precision - data_type.scale + 1 + scale <= 38
+    return False
+
+
+def exact_sum_text(c, scale: int, data_type=None, ansi: bool = False) -> Column:
     """Exact sum at ``scale``: every value is cast to decimal(38, scale) before
     summing (rounding half up), the sum of no values is 0, and the value is
     rendered as plain text so that text equality is value equality. A value
     that does not fit, or a sum past 38 digits, raises (the table becomes an
-    ERROR row) in ANSI and non-ANSI sessions alike, never a silent loss."""
+    ERROR row) in ANSI and non-ANSI sessions alike, never a silent loss.
+
+    With ``ansi`` (the session's mode) Spark itself raises on both, so the
+    plain expression is used; otherwise explicit checks are added. A cast
+    that cannot fail (``data_type`` fits) is never checked per value."""
     t = decimal_type(scale)
     x = _col(c)
-    total = F.sum(strict_cast(x, t))
+    if ansi:
+        return F.coalesce(F.sum(x.cast(t)), F.lit(0).cast(t)).cast("string")
+    value = x.cast(t) if data_type is not None and fits_decimal38(data_type, scale) \
+        else strict_cast(x, t)
+    total = F.sum(value)
     return (F.when(F.count(x) == 0, F.lit(0).cast(t).cast("string"))
             .when(total.isNull(), F.raise_error(F.lit("sum overflows " + t)).cast("string"))
             .otherwise(total.cast("string")))
 
 
+def ansi_enabled(df) -> bool:
+    return df.sparkSession.conf.get("spark.sql.ansi.enabled", "false").lower() == "true"
+
+
 def key_bound_text(fn, c) -> Column:
     """min/max of an integer key as text, ``(empty)`` for an empty table."""
     return F.coalesce(fn(_col(c)).cast(decimal_type(0)).cast("string"), F.lit(EMPTY))

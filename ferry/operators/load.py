@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import strict_cast
+from ..functions.exprs import ansi_enabled, strict_cast
 from ..manifest import Manifest, TableSet, TableSpec
 
 LOADED, NOT_FOUND, TOTAL = "LOADED", "NOT_FOUND", "TOTAL"
@@ -62,8 +62,9 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     raises at run time (also with ANSI mode off), so nothing is silently
     turned into null."""
     cur = {f.name: f.dataType for f in df.schema.fields}
+    cast = (lambda c, t: F.col(c).cast(t)) if ansi_enabled(df) else strict_cast
     return df.select(*[F.col(f.name) if cur[f.name] == f.dataType
-                       else strict_cast(f.name, f.dataType).alias(f.name)
+                       else cast(f.name, f.dataType).alias(f.name)
                        for f in spec.schema.fields])
 
 

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import exact_sum_text, key_bound_text, rowcount_text
+from ..functions.exprs import ansi_enabled, exact_sum_text, key_bound_text, rowcount_text
 from ..manifest import TableSet
 from ..plans.validation import TablePlan
 
@@ -21,9 +21,13 @@ REPORT_SCHEMA = "table_name string, metric string, value string"
 ERROR_METRIC = "ERROR"
 
 
-def metric_columns(tp: TablePlan) -> list[tuple[str, Column]]:
+def metric_columns(tp: TablePlan, schema=None, ansi: bool = False) -> list[tuple[str, Column]]:
+    """Metric expressions of one table; ``schema`` (the side's own) lets
+    casts that cannot fail skip their per-value check, ``ansi`` (the
+    session's mode) lets Spark's own overflow errors stand in for checks."""
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     cols = [("rowcount", rowcount_text())]
-    cols += [(f"sum:{c}", exact_sum_text(c, s)) for c, s in tp.sums]
+    cols += [(f"sum:{c}", exact_sum_text(c, s, types.get(c), ansi)) for c, s in tp.sums]
     for c in tp.key_range:
         cols.append((f"pkmin:{c}", key_bound_text(F.min, c)))
         cols.append((f"pkmax:{c}", key_bound_text(F.max, c)))
@@ -32,7 +36,7 @@ def metric_columns(tp: TablePlan) -> list[tuple[str, Column]]:
 
 def table_metrics(df: DataFrame, tp: TablePlan) -> DataFrame:
     """Lazy long report (table_name, metric, value) of one table."""
-    cols = metric_columns(tp)
+    cols = metric_columns(tp, df.schema, ansi_enabled(df))
     wide = df.agg(*[e.alias(f"m{i}") for i, (_, e) in enumerate(cols)])
     pairs = []
     for i, (label, _) in enumerate(cols):
@@ -66,7 +70,7 @@ def missing_columns(df: DataFrame, names) -> list[str]:
 
 def one_table_rows(df: DataFrame, tp: TablePlan) -> list[tuple[str, str, str]]:
     """Report rows of one table (one small job), or a single ERROR row."""
-    cols = metric_columns(tp)
+    cols = metric_columns(tp, df.schema, ansi_enabled(df))
     lost = missing_columns(df, [c for c, _ in tp.sums] + list(tp.key_range))
     if lost:
         return [(tp.table, ERROR_METRIC, error_text(ValueError(
