@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import decimal_type, strict_cast
+from ..functions.exprs import ansi_enabled, decimal_type, strict_cast
 
 
 def catalog_view(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
@@ -33,8 +33,9 @@ def totals_view(parent: DataFrame, child: DataFrame, parent_key: str, child_key:
     third of all children costs one row per map task; the result equals
     grouping after the join because ``parent_key`` is the parent's key."""
     t = decimal_type(sum_scale)
+    value = F.col(sum_column).cast(t) if ansi_enabled(child) else strict_cast(sum_column, t)
     per_key = child.groupBy(F.col(child_key).alias("_ck")).agg(
-        F.count(count_column).alias("_cnt"), F.sum(strict_cast(sum_column, t)).alias("_sum"))
+        F.count(count_column).alias("_cnt"), F.sum(value).alias("_sum"))
     j = parent.join(per_key, parent[parent_key] == per_key["_ck"], "left")
     return j.select(*parent_columns,
                     F.coalesce("_cnt", F.lit(0)).cast("bigint").alias(count_alias),
