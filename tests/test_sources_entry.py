@@ -23,3 +23,48 @@ def test_entry_and_registry(spark):
     assert set(sql) <= set(qs)
     assert len(qs) >= 26
     assert os.path.exists(SF)
+
+
+class _RecordingReader:
+    """Stands in for spark.read: records format and options, loads nothing."""
+
+    def __init__(self):
+        self.opts, self.fmt = {}, None
+
+    def format(self, fmt):
+        self.fmt = fmt
+        return self
+
+    def option(self, key, value):
+        self.opts[key] = value
+        return self
+
+    def load(self):
+        return dict(self.opts, format=self.fmt)
+
+
+class _FakeSpark:
+    def __init__(self):
+        self.readers = []
+
+    @property
+    def read(self):
+        self.readers.append(_RecordingReader())
+        return self.readers[-1]
+
+
+def test_jdbc_reader_options_without_a_database():
+    from ferry.sources.tables import jdbc_table, jdbc_tables
+    fake = _FakeSpark()
+    got = jdbc_table(fake, "jdbc:x://h/db", "orders", ["o_orderkey", "o_totalprice"],
+                     partition_column="o_orderkey", lower_bound=1, upper_bound=1000,
+                     num_partitions=16, properties={"user": "u"})
+    assert got["format"] == "jdbc" and got["fetchsize"] == 5000
+    assert got["dbtable"] == "(SELECT o_orderkey, o_totalprice FROM orders) AS t"
+    assert (got["partitionColumn"], got["lowerBound"], got["upperBound"], got["numPartitions"]) == \
+        ("o_orderkey", 1, 1000, 16)
+    assert got["user"] == "u" and "query" not in got
+    plain = jdbc_table(_FakeSpark(), "jdbc:x://h/db", "nation", fetchsize=100)
+    assert plain["dbtable"] == "nation" and plain["fetchsize"] == 100 and "partitionColumn" not in plain
+    both = jdbc_tables(_FakeSpark(), "jdbc:x://h/db", ["a", "b"], key_bounds={"a": ("id", 0, 9)})
+    assert both["a"]["partitionColumn"] == "id" and "partitionColumn" not in both["b"]
