@@ -148,6 +148,12 @@ def string_parity_all(spark, sf_dir):
     return string_parity(spark, s, t, m)
 
 
+def string_parity_raw(spark, sf_dir):
+    """Text parity comparing raw text bytes instead of digests."""
+    s, t, m = fixture(spark, sf_dir)
+    return string_parity(spark, s, t, m, digest=False)
+
+
 def string_parity_skipped(spark, sf_dir):
     """Pairing lineitem on its non-unique candidate key must be SKIPPED."""
     s, t, m = fixture(spark, sf_dir)
@@ -274,6 +280,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "column_audit": column_audit,
     "table_set_diff": table_set_diff,
     "string_parity": string_parity_all,
+    "string_parity_raw": string_parity_raw,
     "string_parity_skipped": string_parity_skipped,
     "load_conform": load_conform,
     "load_subset_report": load_subset_report,

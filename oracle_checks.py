@@ -433,6 +433,7 @@ def oracle_sql() -> dict[str, str]:
         "column_audit": column_audit_sql(),
         "table_set_diff": reconcile_sql("SELECT * FROM names"),
         "string_parity": cte + ",\n" + parity_body() + "\nSELECT * FROM parity",
+        "string_parity_raw": cte + ",\n" + parity_body() + "\nSELECT * FROM parity",
         "string_parity_skipped": cte + "\n" + parity_select(
             "lineitem", LINEITEM_CANDIDATE_KEY, text_columns("lineitem", LINEITEM_CANDIDATE_KEY)),
         "load_conform": f"SELECT {customer_cols.replace('c_acctbal', 'CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal')} FROM customer",
