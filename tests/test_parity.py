@@ -81,3 +81,13 @@ def test_uuid_logical_column_is_not_text(spark):
     s = spark.createDataFrame([("3f2504e0-4f89-11d3-9a0c-0305e82c3301", "t1", "o")], schema)
     r = collect_parity(spark, {"ApiToken": s}, {"ApiToken": s}, Manifest([spec])).collect()
     assert [(x.column_name, x.status) for x in r] == [("token", "OK")]
+
+
+def test_key_override_pairs_a_table_without_primary_key(spark):
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("txt", T.StringType())])
+    s = spark.createDataFrame([(1, "x"), (2, "y")], schema)
+    t = spark.createDataFrame([(1, "x"), (2, "z")], schema)
+    m = Manifest([TableSpec("q", schema)])
+    got = {r.column_name: (r.paired, r.identical, r.status)
+           for r in string_parity(spark, {"q": s}, {"q": t}, m, keys={"q": ("a",)}).collect()}
+    assert got == {"txt": (2, 1, "DIFF")}
