@@ -23,6 +23,7 @@ LINEITEM_CANDIDATE_KEY = ("l_orderkey", "l_linenumber")
 SUBSET_REQUEST = ["customer", "orders", "no_such_table"]
 DRIFTED_COLUMN = "o_totalprice"   # dropped from source orders by reconcile_source_error
 WORD_SPLIT = r"[ \t\n\r\f]+"
+STREAM_WAIT_SECONDS = 1800   # an available-now stream that runs longer has stalled
 
 _recon_cache: dict = {}
 
@@ -117,7 +118,9 @@ def stream_load_orders(spark, sf_dir):
     raw.repartition(4).write.parquet(src_dir)
     q = start_stream_load(spark, src_dir, m["orders"], sink_dir, fresh_dir(spark, "stream-ckpt"),
                           source_schema=raw.schema, available_now=True)
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_WAIT_SECONDS):
+        q.stop()
+        raise TimeoutError(f"streaming load did not finish within {STREAM_WAIT_SECONDS} s")
     return spark.read.parquet(sink_dir)
 
 
