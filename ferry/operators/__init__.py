@@ -1,0 +1 @@
+"""Operators: load, metrics, comparison, text parity, audits, views, evidence."""

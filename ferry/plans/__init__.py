@@ -1,0 +1 @@
+"""The validation plan: which metrics each target table gets."""

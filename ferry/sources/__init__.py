@@ -1,0 +1 @@
+"""Table-set readers: Parquet folders, the session catalogue, JDBC."""
