@@ -65,3 +65,11 @@ def test_key_audit_combines_map_side(spark, sf001):
     s, t, m = sf001
     p = plan_text(audit.key_audit(t["orders"], ["o_orderkey"]))
     assert "partial_count(1)" in p and "ReadSchema: struct<o_orderkey:bigint>" in p
+
+
+def test_load_path_has_no_shuffle(spark, sf001):
+    from ferry.operators import load as L
+    s, t, m = sf001
+    raw = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    p = plan_text(L.conform(L.project(raw, m["lineitem"]), m["lineitem"]))
+    assert "Exchange" not in p and "FileScan parquet" in p
