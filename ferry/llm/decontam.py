@@ -63,8 +63,9 @@ def item_index(benchmark: DataFrame, masks: tuple[str, ...], id_col: str, text_c
 
 
 def segments(docs: DataFrame, masks: tuple[str, ...], short: tuple[int, ...], shared, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, first, words, hits): stretches of documents around seeds that pass the
-    filter, with their words' hashes and the (hash, pos) of those seeds."""
+    """(doc_id, seg, first, words, hits): stretches of documents around seeds that pass the
+    filter, with their words' hashes and the (hash, pos) of those seeds; ``seg`` is the
+    first seed's word, ``first`` that of the words carried."""
     seeds = _seeds(masks)
     which = [*range(len(masks)), *(len(masks) + n - SHORTEST for n in short)]
 
@@ -91,16 +92,16 @@ def segments(docs: DataFrame, masks: tuple[str, ...], short: tuple[int, ...], sh
                 for a, b in zip(np.append(0, cuts), np.append(cuts, len(at)), strict=True):
                     lo, hi = words.of[text[a]], words.of[text[a] + 1]
                     left, right = max(lo, at[a] - MARGIN), min(hi, at[b - 1] + MARGIN)
-                    rows.append((first + text[a], left - lo, words.hash[left:right].tobytes(),
+                    rows.append((first + text[a], at[a] - lo, left - lo, words.hash[left:right].tobytes(),
                                  [{"hash": int(h), "pos": int(p)} for h, p in zip(hashes[a:b].view(np.int64), at[a:b] - lo, strict=True)]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int64()),
-                     pa.array([r[2] for r in rows], pa.binary()),
-                     pa.array([r[3] for r in rows], pa.list_(pa.struct([("hash", pa.int64()), ("pos", pa.int64())])))],
-                    names=["doc_id", "first", "words", "hits"])
+                     pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary()),
+                     pa.array([r[4] for r in rows], pa.list_(pa.struct([("hash", pa.int64()), ("pos", pa.int64())])))],
+                    names=["doc_id", "seg", "first", "words", "hits"])
 
     return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id bigint, first bigint, words binary, hits array<struct<hash: bigint, pos: bigint>>")
+        run, "doc_id bigint, seg bigint, first bigint, words binary, hits array<struct<hash: bigint, pos: bigint>>")
 
 
 def best_overlap(same: np.ndarray, penalty: int) -> tuple[int, int]:
@@ -138,10 +139,11 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, min_words: int = 10, m
     table = docs.sparkSession.sparkContext.broadcast(bitmap(seeds.select("hash").distinct()))
     longest = max(map(len, masks))
     short = tuple(r[0] for r in items.where(F.col("n_words") < longest).select("n_words").distinct().collect())
-    found = saved(segments(docs, masks, short, table, id_col, text_col).dropDuplicates(["doc_id", "first", "words"]))
-    hits = found.select("doc_id", "first", F.explode("hits").alias("h")).select("doc_id", "first", "h.hash", "h.pos")
-    lines = hits.join(seeds, "hash").select("doc_id", "first", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct()
-    rows = (lines.join(found.select("doc_id", "first", "words"), ["doc_id", "first"])
+    found = saved(segments(docs, masks, short, table, id_col, text_col).withColumn("seg", F.xxhash64("seg", "words"))
+                  .dropDuplicates(["doc_id", "seg"]))
+    hits = found.select("doc_id", "seg", F.explode("hits").alias("h")).select("doc_id", "seg", "h.hash", "h.pos")
+    lines = hits.join(seeds, "hash").select("doc_id", "seg", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct()
+    rows = (lines.join(found.select("doc_id", "seg", "first", "words"), ["doc_id", "seg"])
             .join(items.select("item_id", F.col("words").alias("item_words")), "item_id")
             .select("doc_id", "item_id", "offset", "first", "words", "item_words"))
 
