@@ -17,9 +17,9 @@ from ferry.llm.common import shipped, text_slices
 
 #: Bytes of texts that are handled at once, and bytes of words that one recursive query
 #: takes; a longer text or word goes alone.
-TEXT_BYTES, QUERY_BYTES = 2 << 20, 1 << 18
+TEXT_BYTES, QUERY_BYTES = 4 << 20, 1 << 20
 #: Pieces whose ids a worker remembers between batches: a bound on memory, not on results.
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 
 # Token-position rows join the merge table on (token, next token). Per word the pair of
 # least rank, and of those the leftmost, is contracted; rows of words without a pair
