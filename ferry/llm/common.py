@@ -10,7 +10,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task; a longer single text is handled alone.
 SLICE_BYTES = 1 << 20
@@ -44,6 +45,13 @@ def shipped(df: DataFrame) -> DataFrame:
     return df
 
 
+def in_place(value: Column) -> Column:
+    """``value``, computed where it stands. The optimizer copies deterministic columns into
+    filters above them and, with that, into lambdas that run per element; the row number
+    in the condition, never negative, keeps it from doing so."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

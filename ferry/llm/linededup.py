@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import saved
+from ferry.llm.common import in_place, saved
 
 #: Lines under one rolling hash.
 WINDOW = 2
@@ -29,7 +29,7 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] =
     df = df.withColumn("ends", F.array_distinct(F.concat(lowest, F.array(F.size("lines").cast("long")))))
     before = lambda i: F.coalesce(F.get("ends", i - 1), F.lit(0).cast("long"))
     chunk = F.transform("ends", lambda e, i: F.shiftleft(before(i), 32).bitwiseOR(e - before(i)))
-    return df.withColumn("chunks", chunk).select(*keep, "doc_id", "lines", "chunks")
+    return df.withColumn("chunks", in_place(chunk)).select(*keep, "doc_id", "lines", "chunks")
 
 
 def _lines(code: Column) -> Column:

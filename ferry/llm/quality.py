@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferry.llm.common import in_place
+
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 
@@ -56,7 +58,9 @@ def measures(df: DataFrame, text_col: str = "text") -> DataFrame:
         "n_bullet_lines": F.size(F.filter("lines", lambda x: x.rlike(r"^[\x20\t]*[-*•]"))),
         "n_ellipsis_lines": F.size(F.filter("lines", lambda x: x.rlike(r"(?:\.\.\.|…)[\x20\t\r]*$"))),
     })
-    return _repeat_words(df).drop("t", "words", "lines")
+    df = _repeat_words(df).drop("t", "words", "lines")
+    names = ["n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_bullet_lines", "n_ellipsis_lines", "n_repeat_words"]
+    return df.withColumns({c: in_place(F.col(c)) for c in names})
 
 
 def broken_rules(rules=RULES) -> Column:

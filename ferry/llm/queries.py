@@ -84,7 +84,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's result over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_windows, op2_bpe, op3_near_duplicates, op4_quality_rules, op5_line_dedup, op6_license_scan,
-    op7_personal_data, op8_substring_dedup, op9_decontamination, op10_language_id)}
+    op7_personal_data, op8_substring_dedup, op9_decontamination, op10_language_id, pipeline)}
 ORACLE_SQL: dict[str, str] = {}

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from tests_llm_brute import brute_components
 
 SF = "/root/testdata/sf0.001"
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -45,38 +46,6 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
-def shingles(text, size=5):
-    words = SPACED.findall((text or "").translate(LOW))
-    if len(words) < size:
-        return {tuple(words)} if words else set()
-    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
-
-
-def brute_components(texts):
-    sets = {i: shingles(t) for i, t in texts.items()}
-    holders = defaultdict(list)
-    for i, s in sets.items():
-        for x in s:
-            holders[x].append(i)
-    common = defaultdict(int)
-    for ids in holders.values():
-        for k, a in enumerate(ids):
-            for b in ids[k + 1 :]:
-                common[a, b] += 1
-    parent = {i: i for i in texts}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for (a, b), n in common.items():
-        if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
-            x, y = root(a), root(b)
-            parent[max(x, y)] = min(x, y)
-    return {i: (len(sets[i]), root(i)) for i in texts}
-
-
 def test_near_duplicates_match_brute_force(spark, docs, no_docs):
     from ferry.llm.neardup import near_duplicates
 
