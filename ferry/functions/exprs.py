@@ -11,8 +11,13 @@ EMPTY = "(empty)"   # min/max of an empty table
 ABSENT = "-"        # a metric one side does not have
 
 
+def named(name: str) -> Column:
+    """The column with exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return named(c) if isinstance(c, str) else c
 
 
 def decimal_type(scale: int) -> str:
@@ -23,6 +28,33 @@ def rowcount_text() -> Column:
     return F.count(F.lit(1)).cast("string")
 
 
+def loses_nothing(c: Column, out: Column, source, target) -> Column | None:
+    """Whether a cast to ``target`` kept the whole value, where a cast may drop a part
+    of it without an error (a fraction, a time of day); None where it cannot."""
+    from pyspark.sql import types as T
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if isinstance(target, whole) and isinstance(source, (T.FloatType, T.DoubleType)):
+        return out.cast("double") == c.cast("double")
+    if isinstance(target, whole) and isinstance(source, T.DecimalType):
+        return c == out.cast(source)
+    if isinstance(target, whole) and isinstance(source, T.StringType):
+        return F.trim(c).rlike(r"^[+-]?[0-9]+$")
+    if isinstance(target, T.DateType) and isinstance(source, (T.TimestampType, T.TimestampNTZType)):
+        return out.cast(source) == c
+    return None
+
+
+def exact_cast(c: Column, source, target, ansi: bool) -> Column:
+    """Cast that raises where the value does not fit or would lose a part; rounding to
+    fewer decimals is the target's own rule and allowed."""
+    out = c.cast(target) if ansi else strict_cast(c, target)
+    kept = loses_nothing(c, out, source, target)
+    if kept is None:
+        return out
+    bad = F.raise_error(F.concat(F.lit(f"value is not a whole {target.simpleString()}: "), c.cast("string")))
+    return F.when(c.isNull() | kept, out).otherwise(bad.cast(target))
+
+
 def strict_cast(c, data_type) -> Column:
     """Cast that fails instead of turning a value that does not fit into
     null, whatever the session's ANSI setting."""
@@ -73,23 +105,46 @@ def ansi_enabled(df) -> bool:
     return df.sparkSession.conf.get("spark.sql.ansi.enabled", "false").lower() == "true"
 
 
-def key_bound_text(fn, c) -> Column:
-    """min/max of an integer key as text, ``(empty)`` for an empty table."""
-    return F.coalesce(fn(_col(c)).cast(decimal_type(0)).cast("string"), F.lit(EMPTY))
+def key_bound_text(fn, c, data_type=None) -> Column:
+    """min/max of a key as text, ``(empty)`` for an empty table. An integer is shown as it
+    is; any other number with the decimals it has (18 at most) and no trailing zeros, so
+    that 1.00 and 1 are the same bound and 1.4 and 1 are not."""
+    bound = fn(_col(c))
+    if data_type is None or data_type.typeName() in ("byte", "short", "integer", "long"):
+        text = bound.cast(decimal_type(0)).cast("string")
+    else:
+        scale = data_type.scale if data_type.typeName() == "decimal" else 18
+        text = bound.cast(decimal_type(scale)).cast("string")
+        text = F.when(F.instr(text, ".") > 0, F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+    return F.coalesce(text, F.lit(EMPTY))
+
+
+def abs_difference_text(a: Column, b: Column) -> Column:
+    """abs(a - b) of two decimals given as plain text, exact to the last digit.
+
+    Both are brought to the longer fraction and subtracted as whole numbers, because a
+    decimal subtraction at full precision drops a digit of the scale. Null if the numbers
+    have more than 38 digits."""
+    def fraction(x):
+        return F.when(F.instr(x, ".") > 0, F.substring_index(x, ".", -1)).otherwise("")
+
+    scale = F.greatest(F.length(fraction(a)), F.length(fraction(b)))
+
+    def whole(x):
+        return F.concat(F.substring_index(x, ".", 1), F.rpad(fraction(x), scale, F.lit("0"))).try_cast("decimal(38,0)")
+
+    diff = F.abs(F.try_subtract(whole(a), whole(b))).cast("string")
+    digits = F.lpad(diff, F.greatest(F.length(diff), scale + 1), F.lit("0"))
+    return F.when(scale == 0, diff).otherwise(F.concat(
+        F.substr(digits, F.lit(1), F.length(digits) - scale), F.lit("."), F.substr(digits, F.length(digits) - scale + 1)))
 
 
 def text_digest(c) -> Column:
-    """Binary stand-in for a text value, compared instead of the text.
-
-    Short texts (under 32 UTF-8 bytes) are their own bytes, so equality is
-    exact. Longer ones are their SHA-256 (exactly 32 bytes): equal digests
-    mean equal texts unless SHA-256 collides, and a wide text shuffles as 32
-    bytes. The two kinds never match each other (different lengths). Null
-    stays null. Use raw bytes instead (parity ``digest=False``) to rule out
-    even a hash collision.
+    """Binary stand-in for a text value, compared instead of the text: its SHA-256, 32
+    bytes whatever the text's length. Null stays null. Parity with ``digest=False``
+    compares the raw bytes instead, which rules out even a hash collision.
     """
-    c = _col(c)
-    return F.when(F.octet_length(c) < 32, c.cast("binary")).otherwise(F.unhex(F.sha2(c, 256)))
+    return F.unhex(F.sha2(_col(c).cast("binary"), 256))
 
 
 def guid_from_le_bytes(c) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import named
 from ..manifest import Manifest, TableSet
 
 PK_AUDIT_SCHEMA = "table_name string, dup_keys bigint, null_keys bigint"
@@ -27,14 +28,14 @@ def _union(spark: SparkSession, parts: list[DataFrame], schema: str) -> DataFram
 
 
 def _any_null(cols) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+    return reduce(lambda a, b: a | b, [named(c).isNull() for c in cols])
 
 
 def key_audit(df: DataFrame, key) -> DataFrame:
     """One row (dup_keys, null_keys): key values held by more than one row
     (keys with a null part excluded) and rows with a null key part."""
     key = list(key)
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"),
+    counts = df.groupBy(*[named(k) for k in key]).agg(F.count(F.lit(1)).alias("_n"),
                                   _any_null(key).alias("_null"))
     return counts.agg(
         F.count_if(~F.col("_null") & (F.col("_n") > 1)).alias("dup_keys"),
@@ -60,10 +61,10 @@ def unique_values(df: DataFrame, cols, collation: str | None = None) -> DataFram
     one row; rows with a null part are ignored, as a UNIQUE rule does."""
     cols = list(cols)
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    keyed = [F.collate(F.col(c), collation).alias(c) if collation and c in text else F.col(c)
-             for c in cols]
+    keyed = [(F.collate(named(c), collation) if collation and c in text else named(c)).alias(f"_u{i}")
+             for i, c in enumerate(cols)]
     counts = (df.where(~_any_null(cols)).select(*keyed)
-              .groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")))
+              .groupBy(*[f"_u{i}" for i in range(len(cols))]).agg(F.count(F.lit(1)).alias("_n")))
     return counts.agg(F.count_if(F.col("_n") > 1).alias("dup_values"))
 
 
@@ -93,13 +94,13 @@ def orphan_count(child: DataFrame, cols, parent: DataFrame | None, parent_cols)
     exchange and its size is bounded by distinct keys, not child rows. (An
     anti join would be pushed below the child aggregate by the optimizer,
     shuffling every child row instead.)"""
-    cols = list(cols)
-    keyed = (child.where(~_any_null(cols)).groupBy(*cols)
+    keys = [f"_f{i}" for i in range(len(cols))]
+    keyed = (child.where(~_any_null(cols)).groupBy(*[named(c).alias(k) for c, k in zip(cols, keys, strict=True)])
              .agg(F.count(F.lit(1)).alias("_n")))
     if parent is not None:
-        pk = (parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, cols)])
-              .where(~_any_null(cols)).distinct().withColumn("_hit", F.lit(True)))
-        keyed = keyed.join(pk, cols, "left").where(F.col("_hit").isNull())
+        pk = (parent.where(~_any_null(parent_cols)).select(*[named(p).alias(k) for p, k in zip(parent_cols, keys, strict=True)])
+              .distinct().withColumn("_hit", F.lit(True)))
+        keyed = keyed.join(pk, keys, "left").where(F.col("_hit").isNull())
     return keyed.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans"))
 
 
@@ -139,18 +140,18 @@ def _column_checks(spark: SparkSession, tables: TableSet, manifest: Manifest,
 def not_null_audit(spark: SparkSession, tables: TableSet, manifest: Manifest) -> DataFrame:
     """Nulls in every NOT NULL column, all columns of a table in one pass."""
     return _column_checks(spark, tables, manifest,
-                          lambda s: [(c, F.col(c).isNull()) for c in s.not_null])
+                          lambda s: [(c, named(c).isNull()) for c in s.not_null])
 
 
 def length_audit(spark: SparkSession, tables: TableSet, manifest: Manifest) -> DataFrame:
     """Texts longer (in characters) than the column's declared limit."""
     return _column_checks(spark, tables, manifest,
-                          lambda s: [(c, F.char_length(F.col(c)) > n) for c, n in sorted(s.max_len.items())])
+                          lambda s: [(c, F.char_length(named(c)) > n) for c, n in sorted(s.max_len.items())])
 
 
 def column_audit(spark: SparkSession, tables: TableSet, manifest: Manifest) -> DataFrame:
     """NOT NULL and length rules together, one pass per table."""
     def both(s):
-        return ([(f"{c}:not_null", F.col(c).isNull()) for c in s.not_null]
-                + [(f"{c}:max_len", F.char_length(F.col(c)) > n) for c, n in sorted(s.max_len.items())])
+        return ([(f"{c}:not_null", named(c).isNull()) for c in s.not_null]
+                + [(f"{c}:max_len", F.char_length(named(c)) > n) for c, n in sorted(s.max_len.items())])
     return _column_checks(spark, tables, manifest, both)

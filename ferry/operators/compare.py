@@ -7,10 +7,11 @@ they stay DataFrames so every result can be queried, written or joined.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ABSENT, EMPTY, decimal_type
+from ..functions.exprs import ABSENT, EMPTY, abs_difference_text
+from ..plans.validation import HIGH, LOW, ROWCOUNT, SUM
 from .metrics import ERROR_METRIC
 
 # Fixed status names.
@@ -30,79 +31,55 @@ def table_set_diff(spark: SparkSession, source_names, target_names) -> DataFrame
     return spark.createDataFrame(rows, "table_name string, side string")
 
 
-def _errors(report: DataFrame, alias: str) -> DataFrame:
-    """The ERROR row of each failed table (at most one per table)."""
-    return report.where(F.col("metric") == ERROR_METRIC).select(
-        "table_name", F.col("value").alias(alias))
-
-
 def joined(plan_metrics: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFrame:
-    """Every planned metric (with its scale) beside both sides' values and
-    each side's table error, if any. ``detail`` and ``mismatches`` are both
-    projections of this one frame."""
-    sv = src.where(F.col("metric") != ERROR_METRIC).withColumnRenamed("value", "_sv")
-    tv = tgt.where(F.col("metric") != ERROR_METRIC).withColumnRenamed("value", "_tv")
-    # Broadcast only these report frames: their size is bounded by the plan
-    # (one row per planned metric, one error row per table), not by the data.
-    return (plan_metrics.join(F.broadcast(sv), ["table_name", "metric"], "left")
-            .join(F.broadcast(tv), ["table_name", "metric"], "left")
-            .join(F.broadcast(_errors(src, "_se")), "table_name", "left")
-            .join(F.broadcast(_errors(tgt, "_te")), "table_name", "left"))
+    """Every planned metric (kind, column, scale) beside both sides' values and each
+    side's table error, if any; and one row of metric ERROR for each failed table. One
+    grouping of the plan and both reports, whose size is bounded by the plan."""
+    none = F.lit(None).cast("string")
+    rows = plan_metrics.select("*", none.alias("_sv"), none.alias("_tv"), F.lit(True).alias("_planned"))
+    for report, value, other in ((src, "_sv", "_tv"), (tgt, "_tv", "_sv")):
+        rows = rows.unionByName(report.select("table_name", "metric", F.col("value").alias(value), none.alias(other)), allowMissingColumns=True)
+    one = rows.groupBy("table_name", "metric").agg(*[F.max(c).alias(c) for c in ("kind", "column_name", "scale", "_planned", "_sv", "_tv")])
+    table = Window.partitionBy("table_name")
+    failed = F.col("metric") == ERROR_METRIC
+    one = one.withColumns({e: F.max(F.when(failed, F.col(v))).over(table) for e, v in (("_se", "_sv"), ("_te", "_tv"))})
+    return one.where(F.col("_planned") | failed)
+
+
+def _status():
+    return (F.when(F.col("_se").isNotNull(), SOURCE_ERROR)
+            .when(F.col("_te").isNotNull(), TARGET_ERROR)
+            .when(F.col("_sv").isNull() | F.col("_tv").isNull(), MISSING)
+            .when(F.col("_sv") == F.col("_tv"), OK)
+            .otherwise(DIFF))
 
 
 def detail(j: DataFrame) -> DataFrame:
     """Every planned metric with its status; precedence SOURCE_ERROR,
     TARGET_ERROR, MISSING, OK, DIFF. Absent values show as ``-``."""
-    status = (F.when(F.col("_se").isNotNull(), SOURCE_ERROR)
-              .when(F.col("_te").isNotNull(), TARGET_ERROR)
-              .when(F.col("_sv").isNull() | F.col("_tv").isNull(), MISSING)
-              .when(F.col("_sv") == F.col("_tv"), OK)
-              .otherwise(DIFF))
-    return j.select("table_name", "metric",
-                    F.coalesce("_sv", F.lit(ABSENT)).alias("source_value"),
-                    F.coalesce("_tv", F.lit(ABSENT)).alias("target_value"),
-                    status.alias("status"))
-
-
-def _abs_diff_text(scales: list[int]):
-    """abs(source - target) at the metric's own scale, for display only."""
-    expr = None
-    for s in sorted(set(scales)):
-        t = decimal_type(s)
-        d = F.abs(F.col("_sv").cast(t) - F.col("_tv").cast(t)).cast(t).cast("string")
-        expr = F.when(F.col("scale") == s, d) if expr is None else expr.when(F.col("scale") == s, d)
-    return expr
-
-
-def mismatches(j: DataFrame, src: DataFrame, tgt: DataFrame, common: list[str],
-               scales: list[int]) -> DataFrame:
-    """Metrics that differ between the sides of common tables, with a reason.
-
-    A table that failed on a side contributes one error row only. ``scales``
-    lists the decimal scales present in the plan."""
-    scales = list(scales) or [0]
+    return j.where("_planned").select(
+        "table_name", "metric", F.coalesce("_sv", F.lit(ABSENT)).alias("source_value"),
+        F.coalesce("_tv", F.lit(ABSENT)).alias("target_value"), _status().alias("status"))
+
+
+def mismatches(j: DataFrame, common: list[str]) -> DataFrame:
+    """Metrics that differ between the sides of common tables, with a reason, ordered by
+    table and metric. A table that failed on a side contributes one error row only."""
     in_common = F.col("table_name").isin(list(common)) if common else F.lit(False)
     numeric = (F.col("_sv") != EMPTY) & (F.col("_tv") != EMPTY)
-    reason = (F.when(F.col("_sv").isNull(), "missing in source")
+    se, te = F.col("_se").isNotNull(), F.col("_te").isNotNull()
+    difference = F.coalesce(abs_difference_text(F.col("_sv"), F.col("_tv")), F.lit("more than 38 digits"))
+    reason = (F.when(se & te, "source and target error").when(se, "source error").when(te, "target error")
+              .when(F.col("_sv").isNull(), "missing in source")
               .when(F.col("_tv").isNull(), "missing in target")
-              .when(numeric, F.concat(F.lit("diff="), _abs_diff_text(scales)))
+              .when(numeric, F.concat(F.lit("diff="), difference))
               .otherwise("text differs"))
-    differing = (j.where(in_common & F.col("_se").isNull() & F.col("_te").isNull()
-                         & ~F.col("_sv").eqNullSafe(F.col("_tv")))
-                 .select("table_name", "metric",
-                         F.coalesce("_sv", F.lit(ABSENT)).alias("source_value"),
-                         F.coalesce("_tv", F.lit(ABSENT)).alias("target_value"),
-                         reason.alias("reason")))
-    errors = (_errors(src, "_se").join(_errors(tgt, "_te"), "table_name", "full_outer")
-              .where(in_common)
-              .select("table_name", F.lit(ERROR_METRIC).alias("metric"),
-                      F.coalesce("_se", F.lit(ABSENT)).alias("source_value"),
-                      F.coalesce("_te", F.lit(ABSENT)).alias("target_value"),
-                      F.when(F.col("_se").isNotNull() & F.col("_te").isNotNull(),
-                             "source and target error")
-                      .when(F.col("_se").isNotNull(), "source error")
-                      .otherwise("target error").alias("reason")))
-    return differing.unionByName(errors)
+    is_error = F.col("metric") == ERROR_METRIC
+    differing = is_error | (~(se | te) & ~F.col("_sv").eqNullSafe(F.col("_tv")))
+    return (j.where(in_common & differing)
+            .select("table_name", "metric", F.coalesce("_sv", F.lit(ABSENT)).alias("source_value"),
+                    F.coalesce("_tv", F.lit(ABSENT)).alias("target_value"), reason.alias("reason"))
+            .orderBy("table_name", "metric"))
 
 
 def parity_status(parity: DataFrame) -> DataFrame:
@@ -114,43 +91,34 @@ def parity_status(parity: DataFrame) -> DataFrame:
         .otherwise(OK).alias("parity_status"))
 
 
-def table_summary(detail_df: DataFrame, source_names, parity: DataFrame | None = None) -> DataFrame:
+def table_summary(j: DataFrame, source_names, parity: DataFrame | None = None) -> DataFrame:
     """One row per target table: row counts, sums matched/total, key ranges,
-    status, in one grouping of the detail.
+    status, in one grouping of the planned metrics.
 
     ``key_range`` is the target's range of every integer key column as
     ``col=min..max`` joined by ", " in column-name order; null when the
     table has no such key or the target is empty. ``parity_status`` is OFF
-    when text parity did not run, NONE for a table without text columns. A
+    when text parity did not run, NONE for a table it has nothing to pair in. A
     SKIPPED parity never fails a table."""
-    m = F.col("metric")
-    is_sum = m.startswith("sum:")
-    key_col = F.substring_index(m, ":", -1)
-
-    def bound(kind: str):
-        return F.map_from_entries(F.collect_list(
-            F.when(m.startswith(kind + ":"), F.struct(key_col, F.col("target_value")))))
-
-    g = detail_df.groupBy("table_name").agg(
-        F.max(F.when(m == "rowcount", F.col("source_value"))).alias("source_rows"),
-        F.max(F.when(m == "rowcount", F.col("target_value"))).alias("target_rows"),
+    rows = j.where("_planned").withColumn("status", _status())
+    shown = F.coalesce("_tv", F.lit(ABSENT))
+    bounds = rows.where(F.col("kind").isin(LOW, HIGH)).groupBy("table_name", "column_name").agg(
+        F.max(F.when(F.col("kind") == LOW, shown)).alias("lo"), F.max(F.when(F.col("kind") == HIGH, shown)).alias("hi"))
+    bounds = bounds.where(~F.col("lo").isin(EMPTY, ABSENT)).groupBy("table_name").agg(F.array_sort(F.collect_list(
+        F.struct("column_name", F.concat("column_name", F.lit("="), "lo", F.lit(".."), "hi").alias("range")))).alias("r"))
+    is_sum = F.col("kind") == SUM
+    g = rows.groupBy("table_name").agg(
+        F.max(F.when(F.col("kind") == ROWCOUNT, F.coalesce("_sv", F.lit(ABSENT)))).alias("source_rows"),
+        F.max(F.when(F.col("kind") == ROWCOUNT, shown)).alias("target_rows"),
         F.count_if(is_sum & (F.col("status") == OK)).alias("sums_ok"),
         F.count_if(is_sum).alias("sums_total"),
         F.max((F.col("status") != OK).cast("int")).alias("_bad"),
-        bound("pkmin").alias("_lo"), bound("pkmax").alias("_hi"),
-    )
-    ranges = F.filter(
-        F.transform(F.array_sort(F.map_keys("_lo")),
-                    lambda k: F.when(~F.element_at("_lo", k).isin(EMPTY, ABSENT),
-                                     F.concat(k, F.lit("="), F.element_at("_lo", k), F.lit(".."),
-                                              F.element_at("_hi", k)))),
-        lambda x: x.isNotNull())
-    g = g.withColumn("key_range", F.when(F.size(ranges) > 0, F.concat_ws(", ", ranges)))
+    ).join(bounds, "table_name", "left").withColumn("key_range", F.array_join("r.range", ", "))
     in_source = F.col("table_name").isin(sorted(source_names)) if source_names else F.lit(False)
     if parity is None:
         g = g.withColumn("parity_status", F.lit("OFF"))
     else:
-        g = (g.join(F.broadcast(parity_status(parity)), "table_name", "left")
+        g = (g.join(parity_status(parity), "table_name", "left")
              .withColumn("parity_status", F.coalesce("parity_status", F.lit("NONE"))))
     status = (F.when(~in_source, MISSING)
               .when((F.col("_bad") == 1) | (F.col("parity_status") == DIFF), DIFF)

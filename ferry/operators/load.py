@@ -2,23 +2,25 @@
 
 Per table: project to the target's column order (extra source columns are
 dropped, a missing one is an error), cast to the target types (casts fail
-loud), write, and count. A replace load counts the rows of the written,
-still staged files (Parquet row-group metadata: no column is read again);
-an append counts with an ``Observation`` on the write itself. Executors
-read and write in parallel; nothing passes through the driver. Keys are
-copied as they are, never regenerated.
+loud and never lose a part of a value), write to a staging place, check the
+target's rules there, count and publish. Staged rows are counted from
+Parquet row-group metadata. Executors read and write in parallel; nothing
+passes through the driver. Keys are copied as they are, never regenerated.
 """
 
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.exprs import ansi_enabled, strict_cast
+from . import audit
+from ..functions.exprs import ansi_enabled, canonical_uuid, exact_cast, named
 from ..manifest import Manifest, TableSet, TableSpec
 
 LOADED, NOT_FOUND, TOTAL = "LOADED", "NOT_FOUND", "TOTAL"
@@ -26,27 +28,23 @@ REPORT_SCHEMA = "table_name string, n_rows bigint, status string"
 
 
 class LoadError(RuntimeError):
-    """A table failed to load; earlier tables stay loaded."""
+    """A table failed to load; tables loaded before stay. ``violations`` lists
+    (rule, column, rows) where the target's rules refused the rows; ``others`` the errors
+    of further tables that were already under way."""
 
-    def __init__(self, table: str, message: str):
+    def __init__(self, table: str, message: str, violations: list | None = None):
         super().__init__(f"loading table {table}: {message}")
-        self.table = table
+        self.table, self.violations, self.others = table, violations or [], []
 
 
 def select_tables(available, requested=None) -> tuple[list[str], list[str]]:
-    """(selected in available name order, requested names not available).
-
-    An empty request means all; nothing selected is an error."""
-    names = sorted(available)
-    if requested:
-        want = {t.strip() for t in requested if t and t.strip()}
-        selected = [t for t in names if t in want]
-        missing = sorted(want - set(names))
-    else:
-        selected, missing = names, []
-    if not selected:
+    """(tables to load, requested names that do not exist), both sorted. No request
+    asks for every table; it is an error if nothing is left to load."""
+    available = set(available)
+    asked = {name.strip() for name in requested or () if name} - {""} or available
+    if not asked & available:
         raise LoadError("*", "no tables to load")
-    return selected, missing
+    return sorted(asked & available), sorted(asked - available)
 
 
 def project(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -54,34 +52,72 @@ def project(df: DataFrame, spec: TableSpec) -> DataFrame:
     missing = [c for c in spec.columns if c not in df.columns]
     if missing:
         raise LoadError(spec.name, f"source lacks target column(s) {', '.join(missing)}")
-    return df.select(*spec.columns)
+    return df.select(*[named(c) for c in spec.columns])
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Cast every column to the target type; a value that does not fit
-    raises at run time (also with ANSI mode off), so nothing is silently
-    turned into null."""
-    cur = {f.name: f.dataType for f in df.schema.fields}
-    cast = (lambda c, t: F.col(c).cast(t)) if ansi_enabled(df) else strict_cast
-    return df.select(*[F.col(f.name) if cur[f.name] == f.dataType
-                       else cast(f.name, f.dataType).alias(f.name)
-                       for f in spec.schema.fields])
+    """Cast every column to the target type. A value that does not fit, or that would
+    lose its fraction or time of day, raises at run time (also with ANSI mode off);
+    fewer decimals round, as a decimal target does. A uuid column of either physical
+    form becomes its canonical text; any other binary is never turned into text."""
+    current = {f.name: f.dataType for f in df.schema.fields}
+    ansi = ansi_enabled(df)
+
+    def cast(f) -> Column:
+        own = current[f.name]
+        if spec.logical.get(f.name) == "uuid" and isinstance(f.dataType, T.StringType):
+            return canonical_uuid(named(f.name), own)
+        if own == f.dataType:
+            return named(f.name)
+        if isinstance(own, T.BinaryType) and isinstance(f.dataType, T.StringType):
+            raise LoadError(spec.name, f"column {f.name} holds bytes, not text")
+        return exact_cast(named(f.name), own, f.dataType, ansi)
+
+    return df.select(*[cast(f).alias(f.name) for f in spec.schema.fields])
+
+
+def row_rules(spec: TableSpec) -> list[tuple[str, str, Column]]:
+    """(rule, column, broken) for the NOT NULL and length rules."""
+    return ([("not_null", c, named(c).isNull()) for c in spec.not_null]
+            + [("max_len", c, F.coalesce(F.char_length(named(c)) > n, F.lit(False))) for c, n in sorted(spec.max_len.items())])
+
+
+def enforced(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``df`` that raises at the first row that breaks a NOT NULL or length rule."""
+    broken = F.lit(None).cast("string")
+    for rule, c, bad in row_rules(spec):
+        broken = F.coalesce(broken, F.when(bad, F.lit(f"{spec.name}.{c} breaks {rule}")))
+    return df.where(F.when(broken.isNotNull(), F.raise_error(broken).cast("boolean")).otherwise(True))
+
+
+def key_rules(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, int]]:
+    """(rule, columns, keys held by more than one row) of the primary key and the UNIQUE
+    rules that are broken; each key is counted before it is shuffled."""
+    found = []
+    if spec.primary_key:
+        found.append(("primary_key", spec.primary_key, audit.key_audit(df, spec.primary_key).first()["dup_keys"]))
+    for u in spec.unique:
+        found.append(("unique", u.columns, audit.unique_values(df, u.columns, u.collation).first()["dup_values"]))
+    return [(rule, ",".join(columns), n) for rule, columns, n in found if n]
 
 
 def append_conflicts(incoming: DataFrame, existing: DataFrame, key) -> DataFrame:
     """Incoming keys already present in the target (a left semi join)."""
-    key = list(key)
-    return incoming.select(*key).join(existing.select(*key), key, "left_semi")
+    own = incoming.select(*[named(k) for k in key])
+    held = existing.select(*[named(k).alias(f"_k{i}") for i, k in enumerate(key)])
+    same = reduce(lambda a, b: a & b, [own[f"`{k}`"] == held[f"_k{i}"] for i, k in enumerate(key)])
+    return own.join(held, same, "left_semi")
 
 
 class ParquetSink:
     """One Parquet folder per table under ``root``.
 
-    Overwrite writes a staging folder and then swaps it in with file-system
-    renames, so a failed write never leaves a half-written table. Append
-    relies on the write's commit protocol (files appear only on commit).
-    The swap is atomic where renames are (HDFS and similar); on an object
-    store a rename is a copy, so the swap is only as safe as that copy."""
+    Every load first writes a staging folder. A replacement is then swapped in with
+    file-system renames, and the previous table is moved back if that fails; an append
+    writes the staged rows with the write's own commit protocol (files appear only on
+    commit). So a failed load never leaves a half-written table or loses the previous one.
+    The swap is atomic where renames are (HDFS and similar); on an object store a rename
+    is a copy, so there a table format or a committer should hold the target."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -98,37 +134,59 @@ class ParquetSink:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
-    def append(self, df: DataFrame, table: str) -> None:
-        df.write.mode("append").parquet(self.path(table))
-
-    def replace(self, df: DataFrame, table: str) -> int:
-        """Write to a staging folder, count what landed there, swap it in."""
-        tag = uuid.uuid4().hex[:12]
-        staging = f"{self.root}/_staging/{table}-{tag}"
-        df.write.mode("errorifexists").parquet(staging)
-        n = self.spark.read.parquet(staging).count()
-        final, old = self._Path(self.path(table)), self._Path(f"{self.root}/_old/{table}-{tag}")
-        if self._fs.exists(final):
+    def stage(self, df: DataFrame, table: str) -> str:
+        """Where the rows were written, apart from the tables."""
+        staged = f"{self.root}/_staging/{table}-{uuid.uuid4().hex[:12]}"
+        try:
+            df.write.mode("errorifexists").parquet(staged)
+        except Exception:
+            self.discard(staged)
+            raise
+        return staged
+
+    def staged(self, staged: str) -> DataFrame:
+        return self.spark.read.parquet(staged)
+
+    def discard(self, staged: str) -> None:
+        self._fs.delete(self._Path(staged), True)
+
+    def append(self, staged: str, table: str) -> None:
+        self.staged(staged).write.mode("append").parquet(self.path(table))
+
+    def replace(self, staged: str, table: str) -> None:
+        final, old = self._Path(self.path(table)), self._Path(f"{self.root}/_old/{table}-{uuid.uuid4().hex[:12]}")
+        held = self._fs.exists(final)
+        if held:
             self._fs.mkdirs(old.getParent())
             if not self._fs.rename(final, old):
                 raise LoadError(table, "could not move the previous table aside")
         self._fs.mkdirs(final.getParent())
-        if not self._fs.rename(self._Path(staging), final):
-            raise LoadError(table, "could not move the staged table into place")
-        self._fs.delete(old, True)
-        return n
+        if not self._moved(self._Path(staged), final):
+            if held and not self._fs.rename(old, final):
+                raise LoadError(table, f"could not move the staged table into place; the previous one is at {old}")
+            raise LoadError(table, "could not move the staged table into place; the previous one is back")
+        if held:
+            self._fs.delete(old, True)
+
+    def _moved(self, source, target) -> bool:
+        try:
+            return bool(self._fs.rename(source, target))
+        except Exception:
+            return False
 
 
 class CatalogSink:
-    """Session-catalog tables; with ``buckets`` the table is bucketed and
-    sorted by its key so later key joins and groupings skip the shuffle."""
+    """Session-catalog tables; with ``buckets`` the table is bucketed and sorted by its
+    key so later key joins and groupings skip the shuffle. Rows are staged in a table of
+    their own, which is renamed into place; the previous table is renamed back if that
+    fails."""
 
     def __init__(self, spark: SparkSession, database: str | None = None, buckets: int = 0,
                  manifest: Manifest | None = None):
         self.spark, self.database, self.buckets, self.manifest = spark, database, buckets, manifest
 
     def name(self, table: str) -> str:
-        return f"{self.database}.{table}" if self.database else table
+        return ".".join("`" + x.replace("`", "``") + "`" for x in (self.database, table) if x)
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
@@ -136,21 +194,46 @@ class CatalogSink:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
-    def _write(self, df: DataFrame, table: str, mode: str) -> None:
+    def _write(self, df: DataFrame, table: str, name: str, mode: str) -> None:
         w = df.write.mode(mode).format("parquet")
         key = list(self.manifest[table].primary_key) if self.manifest and table in self.manifest else []
         if self.buckets and key:
             w = w.bucketBy(self.buckets, *key).sortBy(*key)
-        w.saveAsTable(self.name(table))
-
-    def append(self, df: DataFrame, table: str) -> None:
-        self._write(df, table, "append")
-
-    def replace(self, df: DataFrame, table: str) -> int:
-        """Overwrite the table (not atomic for catalogue tables) and count
-        the written rows from its file metadata."""
-        self._write(df, table, "overwrite")
-        return self.read(table).count()
+        w.saveAsTable(self.name(name))
+
+    def stage(self, df: DataFrame, table: str) -> str:
+        staged = f"{table}__staged_{uuid.uuid4().hex[:12]}"
+        try:
+            self._write(df, table, staged, "errorifexists")
+        except Exception:
+            self.discard(staged)
+            raise
+        return staged
+
+    def staged(self, staged: str) -> DataFrame:
+        return self.read(staged)
+
+    def discard(self, staged: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(staged)}")
+
+    def append(self, staged: str, table: str) -> None:
+        self._write(self.staged(staged), table, table, "append")
+
+    def _rename(self, old: str, new: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(old)} RENAME TO {self.name(new)}")
+
+    def replace(self, staged: str, table: str) -> None:
+        old = f"{table}__old_{uuid.uuid4().hex[:12]}" if self.exists(table) else None
+        if old:
+            self._rename(table, old)
+        try:
+            self._rename(staged, table)
+        except Exception:
+            if old:
+                self._rename(old, table)
+            raise
+        if old:
+            self.discard(old)
 
 
 @dataclass
@@ -159,36 +242,55 @@ class LoadResult:
     counts: dict
 
 
-def load_table(spec: TableSpec, df: DataFrame, sink, mode: str) -> int:
-    """Project, conform, (append: check keys), write; returns the row count
-    of what was written (no second pass over the data)."""
+def load_table(spec: TableSpec, df: DataFrame, sink, mode: str, enforce: bool = True) -> int:
+    """Project, conform, stage, check, publish; returns the row count of what was staged.
+
+    The row rules are counted while the rows are written, the key rules on the staged
+    key columns alone. A table that breaks a rule is refused as a whole: its staged rows
+    go and the target stays as it was."""
     name = spec.name
     try:
         out = conform(project(df, spec), spec)
         if mode == "append" and spec.primary_key and sink.exists(name):
             if not append_conflicts(out, sink.read(name), spec.primary_key).isEmpty():
                 raise LoadError(name, "incoming keys already exist in the target")
-        if mode == "overwrite":
-            return int(sink.replace(out, name))
-        obs = Observation(f"load_{name}_{uuid.uuid4().hex[:8]}")
-        sink.append(out.observe(obs, F.count(F.lit(1)).alias("n")), name)
-        return int(obs.get["n"])
+        rules = row_rules(spec) if enforce else []
+        seen = Observation(f"load_{uuid.uuid4().hex[:12]}")
+        counts = [F.count_if(bad).alias(f"v{i}") for i, (_, _, bad) in enumerate(rules)]
+        staged = sink.stage(out.observe(seen, *counts) if rules else out, name)
+        try:
+            broken = [(rule, c, seen.get[f"v{i}"]) for i, (rule, c, _) in enumerate(rules) if seen.get[f"v{i}"]]
+            rows = sink.staged(staged)
+            broken += key_rules(rows, spec) if enforce else []
+            if broken:
+                told = ", ".join(f"{rule} of {c} ({n})" for rule, c, n in broken)
+                raise LoadError(name, f"rows break {told}", broken)
+            n = rows.count()
+            if mode == "overwrite":
+                sink.replace(staged, name)
+            else:
+                sink.append(staged, name)
+            return int(n)
+        finally:
+            sink.discard(staged)
     except LoadError:
         raise
     except Exception as exc:
-        text = str(exc).strip()
-        raise LoadError(name, text.splitlines()[0] if text else repr(exc)) from exc
+        raise LoadError(name, str(exc).strip() or repr(exc)) from exc
 
 
-def load(spark: SparkSession, source: TableSet, manifest: Manifest, sink,
-         tables=None, mode: str = "overwrite", parallelism: int = 8) -> LoadResult:
+def load(spark: SparkSession, source: TableSet, manifest: Manifest, sink, tables=None,
+         mode: str = "overwrite", parallelism: int = 8, enforce: bool = True) -> LoadResult:
     """Load the selected tables (target = manifest) from ``source`` into ``sink``.
 
-    ``mode`` "overwrite" replaces each table; "append" adds rows and first
-    refuses a table whose incoming keys already exist in the target.
-    Up to ``parallelism`` tables load at once as independent Spark jobs that
-    share the executors. A failure raises ``LoadError`` naming the table;
-    no further table is started and tables already loaded stay in place."""
+    ``mode`` "overwrite" replaces each table; "append" adds rows and first refuses a
+    table whose incoming keys already exist in the target. Rows that break the target's
+    NOT NULL, length, primary-key or UNIQUE rules refuse their table (``enforce=False``
+    leaves that to the audits); foreign keys are never enforced, as parents may load later.
+    Up to ``parallelism`` tables load at once as independent Spark jobs that share the
+    executors. After a failure no further table is started; the first ``LoadError`` is
+    raised with those of tables already under way in ``others``, and tables already
+    loaded stay."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
     selected, missing = select_tables(manifest.keys(), tables)
@@ -197,29 +299,26 @@ def load(spark: SparkSession, source: TableSet, manifest: Manifest, sink,
             raise LoadError(name, "table not found in the source")
     counts: dict[str, int] = {}
     failures: list[LoadError] = []
+    waiting, running = list(selected), {}
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        pending = {}
-        for name in selected:
-            if failures:
-                break
-            pending[pool.submit(load_table, manifest[name], source[name], sink, mode)] = name
-            done = [f for f in pending if f.done()]
-            for f in done:
-                _settle(f, pending.pop(f), counts, failures)
-        for f in list(pending):
-            _settle(f, pending.pop(f), counts, failures)
+        while running or (waiting and not failures):
+            while waiting and not failures and len(running) < max(1, parallelism):
+                name = waiting.pop(0)
+                running[pool.submit(load_table, manifest[name], source[name], sink, mode, enforce)] = name
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(future)
+                if isinstance(error := future.exception(), LoadError):
+                    failures.append(error)
+                elif error is not None:
+                    raise error
+                else:
+                    counts[name] = future.result()
     if failures:
+        failures[0].others = failures[1:]
         raise failures[0]
     return LoadResult(load_report(spark, counts, missing), counts)
 
 
-def _settle(future, name: str, counts: dict, failures: list) -> None:
-    try:
-        counts[name] = future.result()
-    except LoadError as exc:
-        failures.append(exc)
-
-
 def load_report(spark: SparkSession, counts: dict, missing=()) -> DataFrame:
     """Rows per loaded table, a TOTAL row (rollup), and NOT_FOUND rows."""
     loaded = spark.createDataFrame(sorted(counts.items()), "table_name string, n_rows bigint")
@@ -240,7 +339,7 @@ def identity_high_water(spark: SparkSession, tables: TableSet, manifest: Manifes
     for name, col in manifest.identity_columns():
         if name not in tables:
             continue
-        m = F.coalesce(F.max(F.col(col)).cast("bigint"), F.lit(0).cast("bigint"))
+        m = F.coalesce(F.max(named(col)).cast("bigint"), F.lit(0).cast("bigint"))
         parts.append(tables[name].agg(m.alias("max_id")).select(
             F.lit(name).alias("table_name"), F.lit(col).alias("column_name"), "max_id",
             F.greatest(F.col("max_id"), F.lit(1).cast("bigint")).alias("counter"),

@@ -8,30 +8,31 @@ text equality between the two sides is value equality.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ansi_enabled, exact_sum_text, key_bound_text, rowcount_text
 from ..manifest import TableSet
-from ..plans.validation import TablePlan
+from ..plans.validation import HIGH, LOW, ROWCOUNT, SUM, TablePlan
 
 REPORT_SCHEMA = "table_name string, metric string, value string"
 ERROR_METRIC = "ERROR"
 
 
 def metric_columns(tp: TablePlan, schema=None, ansi: bool = False) -> list[tuple[str, Column]]:
-    """Metric expressions of one table; ``schema`` (the side's own) lets
-    casts that cannot fail skip their per-value check, ``ansi`` (the
-    session's mode) lets Spark's own overflow errors stand in for checks."""
+    """(label, expression) of each planned metric; ``schema`` (the side's own) lets casts
+    that cannot fail skip their per-value check and shows key bounds of other types as
+    they are, ``ansi`` (the session's mode) lets Spark's own overflow errors stand in."""
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
-    cols = [("rowcount", rowcount_text())]
-    cols += [(f"sum:{c}", exact_sum_text(c, s, types.get(c), ansi)) for c, s in tp.sums]
-    for c in tp.key_range:
-        cols.append((f"pkmin:{c}", key_bound_text(F.min, c)))
-        cols.append((f"pkmax:{c}", key_bound_text(F.max, c)))
-    return cols
+
+    def value(m) -> Column:
+        if m.kind == ROWCOUNT:
+            return rowcount_text()
+        if m.kind == SUM:
+            return exact_sum_text(m.column, m.scale, types.get(m.column), ansi)
+        return key_bound_text({LOW: F.min, HIGH: F.max}[m.kind], m.column, types.get(m.column))
+
+    return [(m.label, value(m)) for m in tp.metrics]
 
 
 def table_metrics(df: DataFrame, tp: TablePlan) -> DataFrame:
@@ -57,8 +58,8 @@ def metrics_report(tables: TableSet, plan: list[TablePlan]) -> DataFrame:
 
 
 def error_text(exc: BaseException) -> str:
-    lines = str(exc).strip().splitlines() or [type(exc).__name__]
-    return lines[0][:140]
+    """The whole message; a display may shorten it."""
+    return str(exc).strip() or type(exc).__name__
 
 
 def missing_columns(df: DataFrame, names) -> list[str]:
@@ -69,27 +70,13 @@ def missing_columns(df: DataFrame, names) -> list[str]:
 
 
 def one_table_rows(df: DataFrame, tp: TablePlan) -> list[tuple[str, str, str]]:
-    """Report rows of one table (one small job), or a single ERROR row."""
-    cols = metric_columns(tp, df.schema, ansi_enabled(df))
-    lost = missing_columns(df, [c for c, _ in tp.sums] + list(tp.key_range))
-    if lost:
-        return [(tp.table, ERROR_METRIC, error_text(ValueError(
-            f"[MISSING_COLUMN] table lacks planned column(s) {', '.join(lost)}")))]
+    """Report rows of one table (one small job), or a single ERROR row where it cannot be
+    opened, lacks a planned column or fails."""
     try:
+        cols = metric_columns(tp, df.schema, ansi_enabled(df))
+        if lost := missing_columns(df, tp.columns()):
+            raise ValueError(f"[MISSING_COLUMN] table lacks planned column(s) {', '.join(lost)}")
         row = df.agg(*[e.alias(f"m{i}") for i, (_, e) in enumerate(cols)]).collect()[0]
-    except Exception as exc:  # analysis or runtime failure of this table only
+    except Exception as exc:
         return [(tp.table, ERROR_METRIC, error_text(exc))]
     return [(tp.table, label, row[i]) for i, (label, _) in enumerate(cols)]
-
-
-def collect_metrics(spark: SparkSession, tables: TableSet, plan: list[TablePlan],
-                    parallelism: int = 8) -> DataFrame:
-    """Report with per-table error isolation: one small job per table, run
-    concurrently; a table that cannot be read or summed becomes a single
-    ``ERROR`` row and the others go on. The collected values are one row per
-    planned metric, so their size is bounded by the schemas, not the data."""
-    todo = [tp for tp in plan if tp.table in tables]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(lambda tp: one_table_rows(tables[tp.table], tp), todo))
-    rows = [r for part in parts for r in part]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)

@@ -8,23 +8,25 @@ ever formed, so a duplicated (even hot) key cannot fan out into pairs, and
 partial aggregation collapses it map-side. A second, global aggregate then
 counts per column how many paired rows carry identical text.
 
-Text travels as ``text_digest`` (raw bytes under 32 bytes, else SHA-256),
-so a 100 KB document shuffles as 32 bytes.
+Text travels as ``text_digest`` (SHA-256), so a 100 KB document shuffles as 32 bytes.
 
 Decisions the documentation leaves open: null = null is identical, null vs
 text is not; rows on one side only are never identical; status OK needs
-identical = paired and no one-sided row. A table without a key, or whose
-key repeats on either side, is SKIPPED, never failed.
+identical = paired and no one-sided row. A row with a null in its key pairs
+with nothing and counts as one-sided. A table whose only text is its key, or
+that has no text, is paired all the same: one row for the column ``(key)``.
+A table without a key or without a manifest entry, or whose key repeats on
+either side, is SKIPPED, never failed.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import text_digest
+from ..functions.exprs import named, text_digest
 from ..manifest import Manifest, TableSet
 from .compare import DIFF, OK, SKIPPED
 from .metrics import error_text, missing_columns
@@ -33,6 +35,10 @@ PARITY_SCHEMA = ("table_name string, column_name string, paired bigint, only_sou
                  "only_target bigint, identical bigint, status string, reason string")
 
 
+#: The row of a table paired on its key alone, and the reason where no entry names a key.
+KEY_ROW, NO_ENTRY = "(key)", "no manifest entry"
+
+
 def _skipped(spark: SparkSession, table: str, columns: list[str], reason: str) -> DataFrame:
     rows = [(table, c, None, None, None, None, SKIPPED, reason) for c in columns]
     return spark.createDataFrame(rows, PARITY_SCHEMA)
@@ -44,25 +50,31 @@ def pair_counts(src: DataFrame, tgt: DataFrame, key: list[str], columns: list[st
     column ``c{i}`` the number of paired rows whose text is identical.
     ``digest=False`` shuffles the raw text bytes instead of digests."""
     def value(c: str):
-        return text_digest(c) if digest else F.col(c).cast("binary")
+        return text_digest(c) if digest else named(c).cast("binary")
 
     def side(df: DataFrame, tag: int) -> DataFrame:
-        return df.select(*key, F.lit(tag).alias("_side"),
+        return df.select(*[named(k).alias(f"_k{i}") for i, k in enumerate(key)], F.lit(tag).alias("_side"),
                          *[value(c).alias(f"_d{i}") for i, c in enumerate(columns)])
 
+    keys = [f"_k{i}" for i in range(len(key))]
     is_s, is_t = F.col("_side") == 0, F.col("_side") == 1
-    per_key = side(src, 0).unionByName(side(tgt, 1)).groupBy(*key).agg(
+    per_key = side(src, 0).unionByName(side(tgt, 1)).groupBy(*keys).agg(
         F.count_if(is_s).alias("_ns"), F.count_if(is_t).alias("_nt"),
         *[F.max(F.when(is_s, F.col(f"_d{i}"))).alias(f"_s{i}") for i in range(len(columns))],
         *[F.max(F.when(is_t, F.col(f"_d{i}"))).alias(f"_t{i}") for i in range(len(columns))],
     )
     ns, nt = F.col("_ns"), F.col("_nt")
-    both = (ns == 1) & (nt == 1)
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    both = keyed & (ns == 1) & (nt == 1)
+
+    def alone(own, other):
+        return F.coalesce(F.sum(F.when(~keyed, own).when((own >= 1) & (other == 0), 1)), F.lit(0)).cast("bigint")
+
     return per_key.agg(
-        F.count_if((ns > 1) | (nt > 1)).alias("dup_keys"),
+        F.count_if(keyed & ((ns > 1) | (nt > 1))).alias("dup_keys"),
         F.count_if(both).alias("paired"),
-        F.count_if((ns >= 1) & (nt == 0)).alias("only_source"),
-        F.count_if((ns == 0) & (nt >= 1)).alias("only_target"),
+        alone(ns, nt).alias("only_source"),
+        alone(nt, ns).alias("only_target"),
         *[F.count_if(both & F.col(f"_s{i}").eqNullSafe(F.col(f"_t{i}"))).alias(f"c{i}")
           for i in range(len(columns))],
     )
@@ -70,18 +82,14 @@ def pair_counts(src: DataFrame, tgt: DataFrame, key: list[str], columns: list[st
 
 def table_parity(spark: SparkSession, table: str, src: DataFrame, tgt: DataFrame,
                  key, columns: list[str], digest: bool = True) -> DataFrame:
-    """Lazy parity rows (one per text column) for one table."""
+    """Lazy parity rows for one table: one per text column, or one for the key."""
     key = list(key or [])
-    if not columns:
-        return spark.createDataFrame([], PARITY_SCHEMA)
     if not key:
-        return _skipped(spark, table, columns, "no primary key")
+        return _skipped(spark, table, columns or [KEY_ROW], "no primary key")
     counts = pair_counts(src, tgt, key, columns, digest)
-    pairs = []
-    for i, c in enumerate(columns):
-        pairs += [F.lit(c), F.col(f"c{i}")]
+    cells = [(F.lit(c), F.col(f"c{i}")) for i, c in enumerate(columns)] or [(F.lit(KEY_ROW), F.col("paired"))]
     long = counts.select("dup_keys", "paired", "only_source", "only_target",
-                         F.stack(F.lit(len(columns)), *pairs).alias("column_name", "identical"))
+                         F.stack(F.lit(len(cells)), *[x for cell in cells for x in cell]).alias("column_name", "identical"))
     dup = F.col("dup_keys") > 0
     ok = ((F.col("identical") == F.col("paired")) & (F.col("only_source") == 0)
           & (F.col("only_target") == 0))
@@ -103,49 +111,37 @@ def string_parity(spark: SparkSession, source: TableSet, target: TableSet, manif
     """Lazy parity of every common table (or ``tables``). ``keys`` may
     override a table's pairing key."""
     keys = keys or {}
-    names = [n for n in sorted(set(source) & set(target)) if tables is None or n in tables]
     parts = []
-    for n in names:
-        spec = manifest.get(n)
-        if spec is None:
+    for n in parity_tables(source, target):
+        if tables is not None and n not in tables:
             continue
-        key = keys.get(n, spec.primary_key)
-        cols = [c for c in spec.text_columns() if c not in key]
-        parts.append(table_parity(spark, n, source[n], target[n], key, cols, digest))
-    out = spark.createDataFrame([], PARITY_SCHEMA)
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+        if n not in manifest:
+            parts.append(_skipped(spark, n, [KEY_ROW], NO_ENTRY))
+            continue
+        key = keys.get(n, manifest[n].primary_key)
+        parts.append(table_parity(spark, n, source[n], target[n], key, paired_columns(manifest[n], key), digest))
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], PARITY_SCHEMA))
+
 
+def paired_columns(spec, key) -> list[str]:
+    return [c for c in spec.text_columns() if c not in key]
 
-def parity_tables(source: TableSet, target: TableSet, manifest: Manifest) -> list[str]:
-    return [n for n in sorted(set(source) & set(target)) if n in manifest]
+
+def parity_tables(source: TableSet, target: TableSet) -> list[str]:
+    return sorted(set(source) & set(target))
 
 
 def one_table_parity(spark: SparkSession, name: str, src: DataFrame, tgt: DataFrame,
                      spec, digest: bool = True) -> list[tuple]:
     """Parity rows of one table (one small job); a failure gives ERROR rows."""
-    cols = [c for c in spec.text_columns() if c not in spec.primary_key]
-    lost = sorted(set(missing_columns(src, [*spec.primary_key, *cols]))
-                  | set(missing_columns(tgt, [*spec.primary_key, *cols])))
-    if lost:
-        msg = f"[MISSING_COLUMN] table lacks column(s) {', '.join(lost)}"
-        return [(name, c, None, None, None, None, "ERROR", msg) for c in cols]
+    if spec is None:
+        return [(name, KEY_ROW, None, None, None, None, SKIPPED, NO_ENTRY)]
+    cols = paired_columns(spec, spec.primary_key)
     try:
+        needed = [*spec.primary_key, *cols]
+        if lost := sorted({*missing_columns(src, needed), *missing_columns(tgt, needed)}):
+            raise ValueError(f"[MISSING_COLUMN] table lacks column(s) {', '.join(lost)}")
         return [tuple(r) for r in
                 table_parity(spark, name, src, tgt, spec.primary_key, cols, digest).collect()]
     except Exception as exc:
-        msg = error_text(exc)
-        return [(name, c, None, None, None, None, "ERROR", msg) for c in cols]
-
-
-def collect_parity(spark: SparkSession, source: TableSet, target: TableSet, manifest: Manifest,
-                   parallelism: int = 8) -> DataFrame:
-    """Parity with per-table error isolation (one small result per table).
-    A failing table yields ERROR rows and the run goes on."""
-    names = parity_tables(source, target, manifest)
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(
-            lambda n: one_table_parity(spark, n, source[n], target[n], manifest[n]), names))
-    rows = [tuple(r) for part in parts for r in part]
-    return spark.createDataFrame(rows, PARITY_SCHEMA)
+        return [(name, c, None, None, None, None, "ERROR", error_text(exc)) for c in cols or [KEY_ROW]]

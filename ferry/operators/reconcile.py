@@ -69,16 +69,15 @@ def reconcile(spark: SparkSession, source: TableSet, target: TableSet, manifest:
     if not plan:
         raise ValueError("empty validation plan: the target has no tables")
     metrics = plan_metrics_frame(spark, plan)
-    scales = sorted({s for tp in plan for _, s in tp.metrics()})
     src, tgt, par_rows = _evaluate(spark, source, target, manifest, plan, strings, parallelism,
                                    digest)
     names = compare.table_set_diff(spark, source.keys(), target.keys())
     common = sorted(set(source) & set(target))
     both = compare.joined(metrics, src, tgt).cache()
     det = compare.detail(both).cache()
-    mis = compare.mismatches(both, src, tgt, common, scales).cache()
+    mis = compare.mismatches(both, common).cache()
     par = spark.createDataFrame(par_rows, PARITY_SCHEMA).cache() if strings else None
-    summary = compare.table_summary(det, source.keys(), par).cache()
+    summary = compare.table_summary(both, source.keys(), par).cache()
     return Reconciliation(
         plan=plan_frame(spark, target, manifest), source_report=src, target_report=tgt,
         tables=names, detail=det, mismatches=mis, parity=par, table_summary=summary,
@@ -93,8 +92,8 @@ def _evaluate(spark, source, target, manifest, plan, strings, parallelism, diges
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         src = [pool.submit(one_table_rows, source[tp.table], tp) for tp in plan if tp.table in source]
         tgt = [pool.submit(one_table_rows, target[tp.table], tp) for tp in plan if tp.table in target]
-        par = ([pool.submit(one_table_parity, spark, n, source[n], target[n], manifest[n], digest)
-                for n in parity_tables(source, target, manifest)] if strings else [])
+        par = ([pool.submit(one_table_parity, spark, n, source[n], target[n], manifest.get(n), digest)
+                for n in parity_tables(source, target)] if strings else [])
         rows = [[r for f in fs for r in f.result()] for fs in (src, tgt, par)]
     return (spark.createDataFrame(rows[0], REPORT_SCHEMA),
             spark.createDataFrame(rows[1], REPORT_SCHEMA), rows[2])

@@ -4,7 +4,7 @@ Views hold no data and never enter a ``TableSet``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ansi_enabled, decimal_type, strict_cast
@@ -50,6 +50,13 @@ def locale_sorted(df: DataFrame, column: str, locale: str = "es") -> DataFrame:
     return df.orderBy(F.collate(F.col(column), locale), F.col(column))
 
 
+def locale_rank(df: DataFrame, column: str, group: Column, locale: str = "es") -> DataFrame:
+    """``df`` with ``group_key`` and the row's ``place`` in its group under the locale's
+    order. Groups are ranked apart, so that no task orders everything."""
+    own = Window.partitionBy("group_key").orderBy(F.collate(F.col(column), locale), F.col(column))
+    return df.withColumn("group_key", group).withColumn("place", F.row_number().over(own))
+
+
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> list[str]:
     """Register view DataFrames as temp views after their tables exist."""
     for name, df in views.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g") -> SparkSession:
+                  driver_memory: str = "8g", warehouse: str | None = None) -> SparkSession:
     """Session for tests and the local bench; a cluster passes its own session."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -24,7 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", driver_memory)
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ferry-warehouse-"))
+        .config("spark.sql.warehouse.dir", warehouse or tempfile.mkdtemp(prefix="ferry-warehouse-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -36,9 +37,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder comes from the session (``spark.checkpoint.dir`` or the
-    context's checkpoint directory). Only when neither is set, as in a local
-    test run, a folder under the system temp directory is chosen and made the
-    session's checkpoint directory.
+    context's checkpoint directory). Only when neither is set and the master is local,
+    as in a test run, a folder under the system temp directory is chosen and made the
+    session's checkpoint directory; a cluster without one raises, because its executors
+    would each write to a disk of their own.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
@@ -46,6 +48,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if base:
             sc.setCheckpointDir(base)
+        elif not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="ferry-ckpt-"))
         base = sc.getCheckpointDir()

@@ -1,14 +1,38 @@
 """Table-set readers: a Parquet folder, the session catalogue, or JDBC.
 
-Reads are lazy; Spark prunes columns and pushes filters into each scan.
+Reads are lazy; Spark prunes columns and pushes filters into each scan. A table that
+cannot be opened takes its place in the set as ``Unreadable``, so that the others are
+still loaded and compared: whatever uses it raises the error of opening it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..manifest import TableSet
 
+#: Folders beside the tables that hold none: a sink's own, and writers' metadata.
+NO_TABLES = ("_staging", "_old", "_SUCCESS", "_temporary", "_spark_metadata", "_delta_log")
+
+
+class Unreadable:
+    """Stands for a table that could not be opened; any use raises that error."""
+
+    def __init__(self, name: str, error: Exception):
+        self._name, self._error = name, error
+
+    def __getattr__(self, attribute: str):
+        raise RuntimeError(f"table {self._name} cannot be read: {self._error}") from self._error
+
+
+def opened(name: str, read: Callable[[], DataFrame]) -> DataFrame | Unreadable:
+    try:
+        return read()
+    except Exception as exc:
+        return Unreadable(name, exc)
+
 
 def parquet_tables(spark: SparkSession, root: str, names=None) -> TableSet:
     """``<root>/<name>.parquet`` (or ``<root>/<name>``) for each name; with
@@ -18,17 +42,13 @@ def parquet_tables(spark: SparkSession, root: str, names=None) -> TableSet:
     Path = jvm.org.apache.hadoop.fs.Path
     fs = Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     if names is None:
-        names = sorted(
-            s.getPath().getName().removesuffix(".parquet")
-            for s in fs.listStatus(Path(root))
-            if not s.getPath().getName().startswith(("_", ".")))
-    out = {}
-    for n in names:
-        path = f"{root}/{n}.parquet"
-        if not fs.exists(Path(path)):
-            path = f"{root}/{n}"
-        out[n] = spark.read.parquet(path)
-    return out
+        found = (s.getPath().getName() for s in fs.listStatus(Path(root)))
+        names = sorted(n.removesuffix(".parquet") for n in found if n not in NO_TABLES and not n.endswith(".crc"))
+
+    def path(n: str) -> str:
+        return f"{root}/{n}.parquet" if fs.exists(Path(f"{root}/{n}.parquet")) else f"{root}/{n}"
+
+    return {n: opened(n, lambda n=n: spark.read.parquet(path(n))) for n in names}
 
 
 def catalog_tables(spark: SparkSession, database: str | None = None, names=None) -> TableSet:
@@ -37,47 +57,59 @@ def catalog_tables(spark: SparkSession, database: str | None = None, names=None)
     tables = sorted(t.name for t in listed if t.tableType != "VIEW" and not t.isTemporary)
     if names is not None:
         tables = [t for t in tables if t in set(names)]
-    prefix = f"{database}." if database else ""
-    return {t: spark.table(prefix + t) for t in tables}
-
-
-def jdbc_table(spark: SparkSession, url: str, table: str, columns=None, *,
-               fetchsize: int = 5000, partition_column: str | None = None,
-               lower_bound: int | None = None, upper_bound: int | None = None,
-               num_partitions: int | None = None, properties: dict | None = None) -> DataFrame:
-    """One database table as a DataFrame, read in bounded batches of
-    ``fetchsize`` rows. With an integer ``partition_column`` and bounds the
-    read is split into ``num_partitions`` parallel range queries (every row
-    is read: the bounds only shape the ranges)."""
-    reader = (spark.read.format("jdbc").option("url", url).option("fetchsize", fetchsize))
-    if columns:
-        cols = ", ".join(columns)
-        reader = reader.option("query", f"SELECT {cols} FROM {table}")
-    else:
-        reader = reader.option("dbtable", table)
-    if partition_column:
-        if columns:  # partitioned reads need dbtable; wrap the projection
-            reader = (spark.read.format("jdbc").option("url", url).option("fetchsize", fetchsize)
-                      .option("dbtable", f"(SELECT {', '.join(columns)} FROM {table}) AS t"))
-        reader = (reader.option("partitionColumn", partition_column)
-                  .option("lowerBound", lower_bound).option("upperBound", upper_bound)
-                  .option("numPartitions", num_partitions or 8))
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    return reader.load()
-
-
-def jdbc_tables(spark: SparkSession, url: str, names, key_bounds: dict | None = None,
-                **kwargs) -> TableSet:
-    """Several JDBC tables; ``key_bounds`` maps a table to (column, low, high)
-    for a partitioned read."""
-    out = {}
-    for n in names:
-        kb = (key_bounds or {}).get(n)
-        if kb:
-            col, lo, hi = kb
-            out[n] = jdbc_table(spark, url, n, partition_column=col, lower_bound=lo,
-                                upper_bound=hi, **kwargs)
-        else:
-            out[n] = jdbc_table(spark, url, n, **kwargs)
+
+    def full(n: str) -> str:
+        return ".".join("`" + x.replace("`", "``") + "`" for x in (database, n) if x)
+
+    return {t: opened(t, lambda t=t: spark.table(full(t))) for t in tables}
+
+
+def sql_name(name: str, quote: str = '"') -> str:
+    """A possibly schema-qualified name, each part quoted (and so kept as it is)."""
+    return ".".join(quote + part.replace(quote, quote * 2) + quote for part in name.split("."))
+
+
+def sql_column(name: str, quote: str = '"') -> str:
+    return quote + name.replace(quote, quote * 2) + quote
+
+
+def jdbc_options(url: str, table: str, columns=None, *, fetchsize: int = 5000,
+                 partition_column: str | None = None, bounds: tuple[int, int] | None = None,
+                 num_partitions: int = 8, quote: str = '"') -> dict[str, str]:
+    """Reader options for one database table: a quoted projection as a derived table,
+    read in batches of ``fetchsize`` rows; with a partition column and its bounds, in
+    ``num_partitions`` parallel ranges (every row is read: bounds only shape ranges)."""
+    what = ", ".join(sql_column(c, quote) for c in columns) if columns else "*"
+    out = {"url": url, "fetchsize": str(fetchsize), "dbtable": f"(SELECT {what} FROM {sql_name(table, quote)}) t"}
+    if partition_column and bounds:
+        out |= {"partitionColumn": sql_column(partition_column, quote), "lowerBound": str(bounds[0]),
+                "upperBound": str(bounds[1]), "numPartitions": str(num_partitions)}
     return out
+
+
+def key_range(spark: SparkSession, url: str, table: str, column: str, quote: str = '"',
+              properties: dict | None = None) -> tuple[int, int] | None:
+    """Smallest and largest value of an integer column, computed by the database."""
+    c = sql_column(column, quote)
+    row = spark.read.format("jdbc").options(url=url, **(properties or {}),
+        query=f"SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM {sql_name(table, quote)}").load().first()
+    return None if row is None or row[0] is None else (int(row[0]), int(row[1]) + 1)
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, columns=None, *, fetchsize: int = 5000,
+               partition_column: str | None = None, bounds: tuple[int, int] | None = None,
+               num_partitions: int = 8, quote: str = '"', properties: dict | None = None) -> DataFrame:
+    """One database table as a DataFrame. With an integer ``partition_column`` the read is
+    split into parallel ranges; their bounds are asked of the database if not given."""
+    if partition_column and bounds is None:
+        bounds = key_range(spark, url, table, partition_column, quote, properties)
+    options = jdbc_options(url, table, columns, fetchsize=fetchsize, partition_column=partition_column,
+                           bounds=bounds, num_partitions=num_partitions, quote=quote)
+    return spark.read.format("jdbc").options(**options, **(properties or {})).load()
+
+
+def jdbc_tables(spark: SparkSession, url: str, names, partition_columns: dict | None = None, **kwargs) -> TableSet:
+    """Several JDBC tables; ``partition_columns`` maps a table to the integer column its
+    read is split on (a manifest's identity or first key column serves)."""
+    split = partition_columns or {}
+    return {n: opened(n, lambda n=n: jdbc_table(spark, url, n, partition_column=split.get(n), **kwargs)) for n in names}

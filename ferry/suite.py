@@ -8,15 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .fixtures import ORDERS_KEPT_FOR_TOTALS, fixture, raw_tables, source_tables
+from .fixtures import fixture, loadable, raw_tables, source_tables
 from .functions.exprs import guid_from_le_bytes, guid_from_text
+from .manifest import Manifest, spec_from_frame
 from .operators import audit, load as loadop, views
 from .operators.metrics import metrics_report
 from .operators.transfer import migrate
 from .operators.parity import string_parity, table_parity
 from .operators.reconcile import Reconciliation, reconcile
-from .plans.validation import build_plan, plan_frame
+from .plans.validation import build_plan
 from .session import fresh_dir
+from .sources.tables import parquet_tables
 
 # Fixed values of the fixture (see FIXTURES.md).
 LINEITEM_CANDIDATE_KEY = ("l_orderkey", "l_linenumber")
@@ -24,23 +26,10 @@ SUBSET_REQUEST = ["customer", "orders", "no_such_table"]
 DRIFTED_COLUMN = "o_totalprice"   # dropped from source orders by reconcile_source_error
 WORD_SPLIT = r"[ \t\n\r\f]+"
 
-_recon_cache: dict = {}
-
-
 def _reconciled(spark: SparkSession, sf_dir: str, identical: bool = False,
                 strings: bool = True) -> Reconciliation:
-    """One reconcile per application and input, shared by the checks that
-    read different results of it."""
-    key = (spark.sparkContext.applicationId, sf_dir, identical, strings)
-    if key not in _recon_cache:
-        s, t, m = fixture(spark, sf_dir)
-        _recon_cache[key] = reconcile(spark, s, s if identical else t, m, strings=strings)
-    return _recon_cache[key]
-
-
-def validation_plan(spark, sf_dir):
     s, t, m = fixture(spark, sf_dir)
-    return plan_frame(spark, t, m)
+    return reconcile(spark, s, s if identical else t, m, strings=strings)
 
 
 def source_metrics(spark, sf_dir):
@@ -85,9 +74,9 @@ def reconcile_source_error(spark, sf_dir):
 
 
 def migrate_and_verify(spark, sf_dir):
-    """The whole run: load every source table into a fresh sink, read the
+    """The whole run: load every test table into a fresh sink, read the
     written tables back as the target and reconcile them with the source."""
-    s, t, m = fixture(spark, sf_dir)
+    s, m = loadable(spark, sf_dir)
     sink = loadop.ParquetSink(spark, fresh_dir(spark, "migrate"))
     return migrate(spark, s, m, sink, tables=sorted(s)).reconciliation.verdict
 
@@ -101,12 +90,84 @@ def evidence_csv(spark, sf_dir):
 
 
 def load_full_report(spark, sf_dir):
-    """Load of every source table: rows per table and the total."""
-    s, t, m = fixture(spark, sf_dir)
+    """Load of every test table: rows per table and the total."""
+    s, m = loadable(spark, sf_dir)
     sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-full"))
     return loadop.load(spark, s, m, sink, tables=sorted(s)).report
 
 
+def load_refused_report(spark, sf_dir):
+    """Every target table offered to a fresh sink under all its rules: the rules that
+    refuse a table, with the rows (of keys: the keys) that break them."""
+    s, t, m = fixture(spark, sf_dir)
+    sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-refused"))
+    rows = []
+    for name in sorted(t):
+        try:
+            loadop.load(spark, t, m, sink, tables=[name])
+        except loadop.LoadError as error:
+            if not error.violations:
+                raise
+            rows += [(name, rule, column, n) for rule, column, n in error.violations]
+    return spark.createDataFrame(rows, "table_name string, rule string, column_name string, n_violations bigint")
+
+
+def load_binary_guids(spark, sf_dir):
+    """Orders with a GUID column held as 16 bytes (the md5 of the key), loaded into a
+    target whose column is a uuid, and read back."""
+    orders = raw_tables(spark, sf_dir, ["orders"])["orders"].withColumn("guid", F.unhex(F.md5(F.col("o_orderkey").cast("string"))))
+    spec = spec_from_frame("orders", orders.withColumn("guid", F.lit("")), primary_key=("o_orderkey",), logical={"guid": "uuid"})
+    sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-guids"))
+    loadop.load(spark, {"orders": orders}, Manifest([spec]), sink)
+    return sink.read("orders").select("o_orderkey", "guid")
+
+
+def _renamed(df):
+    """``df`` with every column ``x`` named ``x.a:v``."""
+    return df.toDF(*[f"{c}.a:v" for c in df.columns])
+
+
+def reconcile_odd_names(spark, sf_dir):
+    """Orders and their seeded target under column names with dots and colons, loaded,
+    compared and paired."""
+    s, t, m = fixture(spark, sf_dir)
+    source, target = _renamed(s["orders"]), _renamed(t["orders"])
+    manifest = Manifest([spec_from_frame("orders", source, primary_key=("o_orderkey.a:v",))])
+    sink = loadop.ParquetSink(spark, fresh_dir(spark, "odd-names"))
+    loadop.load(spark, {"orders": target}, manifest, sink)
+    r = reconcile(spark, {"orders": source}, {"orders": sink.read("orders")}, manifest)
+    return r.table_summary
+
+
+def reconcile_unreadable(spark, sf_dir):
+    """Mismatches when one source folder does not exist: an error for that table, the
+    others compared as usual. The error's wording is Spark's and left out."""
+    s, t, m = fixture(spark, sf_dir)
+    gone = parquet_tables(spark, f"{sf_dir}/no-such-folder", ["orders"])
+    out = reconcile(spark, dict(s, **gone), t, m, strings=False).mismatches
+    return out.withColumn("source_value", F.when(F.col("metric") == "ERROR", F.lit("(message)")).otherwise(F.col("source_value")))
+
+
+def reconcile_wide_scale(spark, sf_dir):
+    """Order totals at ten decimals, the target's off by one in the last place for every
+    order: the difference is exact."""
+    orders = raw_tables(spark, sf_dir, ["orders"])["orders"]
+    total = F.col("o_totalprice").cast("decimal(12,2)").cast("decimal(28,10)")
+    source = orders.select("o_orderkey", total.alias("total"))
+    target = orders.select("o_orderkey", (total + F.lit("0.0000000001").cast("decimal(28,10)")).cast("decimal(28,10)").alias("total"))
+    manifest = Manifest([spec_from_frame("orders", source, primary_key=("o_orderkey",))])
+    return reconcile(spark, {"orders": source}, {"orders": target}, manifest).mismatches
+
+
+def text_key_parity(spark, sf_dir):
+    """Customers keyed by name, their only text, against the seeded target: damaged names
+    pair with nothing."""
+    s, t, m = fixture(spark, sf_dir)
+    source, target = (x["customer"].select("c_name", "c_acctbal") for x in (s, t))
+    manifest = Manifest([spec_from_frame("customer", source, primary_key=("c_name",))])
+    return string_parity(spark, {"customer": source, "labels": s["labels"]}, {"customer": target, "labels": s["labels"]}, manifest)
+
+
 def stream_load_orders(spark, sf_dir):
     """Incremental copy of the orders files (written as four files), one
     file per micro-batch."""
@@ -116,7 +177,7 @@ def stream_load_orders(spark, sf_dir):
     src_dir, sink_dir = fresh_dir(spark, "stream-src"), fresh_dir(spark, "stream-sink")
     raw.repartition(4).write.parquet(src_dir)
     q = start_stream_load(spark, src_dir, m["orders"], sink_dir, fresh_dir(spark, "stream-ckpt"),
-                          source_schema=raw.schema, available_now=True)
+                          source_schema=raw.schema, max_files_per_trigger=1, available_now=True)
     q.awaitTermination()
     return spark.read.parquet(sink_dir)
 
@@ -139,10 +200,6 @@ def reconcile_identical(spark, sf_dir):
     return _reconciled(spark, sf_dir, identical=True).verdict
 
 
-def table_set_diff(spark, sf_dir):
-    return _reconciled(spark, sf_dir).tables
-
-
 def string_parity_all(spark, sf_dir):
     s, t, m = fixture(spark, sf_dir)
     return string_parity(spark, s, t, m)
@@ -189,7 +246,7 @@ def load_roundtrip(spark, sf_dir):
     """Documents written by ``load`` and read back: md5 of every text."""
     s, t, m = fixture(spark, sf_dir)
     sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-roundtrip"))
-    loadop.load(spark, s, m, sink, tables=["documents"])
+    loadop.load(spark, s, loadable(spark, sf_dir)[1], sink, tables=["documents"])
     back = sink.read("documents")
     return back.select("doc_id", F.md5("text").alias("text_md5"),
                        F.char_length("text").cast("bigint").alias("text_chars"), "lang", "source", "n_chars")
@@ -217,8 +274,7 @@ def supplier_catalog(spark, sf_dir):
 
 def customer_order_totals(spark, sf_dir):
     s, t, m = fixture(spark, sf_dir)
-    orders = t["orders"].where(ORDERS_KEPT_FOR_TOTALS)
-    tot = views.totals_view(s["customer"], orders, "c_custkey", "o_custkey",
+    tot = views.totals_view(s["customer"], t["orders"], "c_custkey", "o_custkey",
                             ["c_custkey", "c_name"], "o_orderkey", "o_totalprice")
     return tot.withColumn("total_spent", F.col("total_spent").cast("string"))
 
@@ -254,15 +310,16 @@ def length_audit(spark, sf_dir):
 
 
 def locale_order(spark, sf_dir):
-    """Every distinct word of every document, in Spanish collation order."""
+    """Every distinct word of every document, with its place in the Spanish order among
+    the words of its length."""
     docs = source_tables(spark, sf_dir)["documents"]
     words = (docs.select(F.explode(F.split("text", WORD_SPLIT)).alias("word"))
              .where(F.col("word") != "").distinct())
-    return views.locale_sorted(words, "word", "es")
+    return views.locale_rank(words, "word", F.char_length("word"), "es").select(
+        "word", F.col("group_key").cast("long").alias("word_length"), F.col("place").cast("long").alias("place"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "validation_plan": validation_plan,
     "source_metrics": source_metrics,
     "target_metrics": target_metrics,
     "reconcile_detail": reconcile_detail,
@@ -275,10 +332,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_source_error": reconcile_source_error,
     "evidence_csv": evidence_csv,
     "load_full_report": load_full_report,
+    "load_refused_report": load_refused_report,
+    "load_binary_guids": load_binary_guids,
+    "reconcile_odd_names": reconcile_odd_names,
+    "reconcile_unreadable": reconcile_unreadable,
+    "reconcile_wide_scale": reconcile_wide_scale,
+    "text_key_parity": text_key_parity,
     "stream_load_orders": stream_load_orders,
     "guid_text_canonical": guid_text_canonical,
     "column_audit": column_audit,
-    "table_set_diff": table_set_diff,
     "string_parity": string_parity_all,
     "string_parity_raw": string_parity_raw,
     "string_parity_skipped": string_parity_skipped,

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from ferry.fixtures import (ALL_TABLES, MUTATIONS, RULES, SOURCE_OMITS, TARGET_OMITS, TYPED)
-from ferry.suite import LINEITEM_CANDIDATE_KEY, ORDERS_KEPT_FOR_TOTALS, SUBSET_REQUEST
+from ferry.suite import LINEITEM_CANDIDATE_KEY, SUBSET_REQUEST
 
 SCHEMA_DIRS = ["/root/testdata/sf0.01", "/root/testdata/sf0.001", "/root/testdata/sf0.1"]
 
@@ -118,10 +118,10 @@ def metric_sql(side: str, tables, plan_tables=None) -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def _reports(tp: str = "t", t_tables=None) -> str:
+def _reports(tp: str = "t", t_tables=None, s_tables=None) -> str:
     """src / tgt reports; the plan comes from the target side's tables."""
     t_tables = t_tables or T_TABLES
-    return (ctes() + ",\nsrc AS (" + metric_sql("s", S_TABLES, t_tables) + "),\ntgt AS ("
+    return (ctes() + ",\nsrc AS (" + metric_sql("s", s_tables or S_TABLES, t_tables) + "),\ntgt AS ("
             + metric_sql(tp, t_tables, t_tables) + ")")
 
 
@@ -174,6 +174,7 @@ def parity_select(n: str, key, cols, tp: str = "t") -> str:
     """Per text column: paired / one-sided / identical counts, with the
     duplicate-key gate (any key held by two rows on a side => SKIPPED)."""
     if not key:
+        cols = cols or ["(key)"]
         return "\nUNION ALL ".join(
             f"SELECT '{n}' AS table_name, '{c}' AS column_name, CAST(NULL AS BIGINT) AS paired, "
             f"CAST(NULL AS BIGINT) AS only_source, CAST(NULL AS BIGINT) AS only_target, "
@@ -184,16 +185,17 @@ def parity_select(n: str, key, cols, tp: str = "t") -> str:
     dup = (f"((SELECT count(*) FROM (SELECT {kl} FROM s_{n} GROUP BY {kl} HAVING count(*) > 1)) "
            f"+ (SELECT count(*) FROM (SELECT {kl} FROM {tp}_{n} GROUP BY {kl} HAVING count(*) > 1)) > 0)")
     out = []
-    for c in cols:
+    for c in cols or [None]:
+        same = f"s.{c} IS NOT DISTINCT FROM t.{c}" if c else "true"
         inner = (f"SELECT count(*) FILTER (WHERE s._p IS NOT NULL AND t._p IS NOT NULL) AS paired, "
                  f"count(*) FILTER (WHERE t._p IS NULL) AS only_source, "
                  f"count(*) FILTER (WHERE s._p IS NULL) AS only_target, "
                  f"count(*) FILTER (WHERE s._p IS NOT NULL AND t._p IS NOT NULL AND "
-                 f"s.{c} IS NOT DISTINCT FROM t.{c}) AS identical, {dup} AS dup "
+                 f"{same}) AS identical, {dup} AS dup "
                  f"FROM (SELECT *, 1 AS _p FROM s_{n}) s FULL OUTER JOIN "
                  f"(SELECT *, 1 AS _p FROM {tp}_{n}) t ON {on}")
         out.append(
-            f"SELECT '{n}' AS table_name, '{c}' AS column_name, "
+            f"SELECT '{n}' AS table_name, '{c or '(key)'}' AS column_name, "
             f"CASE WHEN dup THEN NULL ELSE paired END AS paired, "
             f"CASE WHEN dup THEN NULL ELSE only_source END AS only_source, "
             f"CASE WHEN dup THEN NULL ELSE only_target END AS only_target, "
@@ -212,13 +214,12 @@ def parity_body(tp: str = "t", common=COMMON) -> str:
     parts = []
     for n in common:
         key = RULES.get(n, {}).get("primary_key", ())
-        cols = text_columns(n, key)
-        if cols:
-            parts.append(parity_select(n, key, cols, tp))
+        parts.append(parity_select(n, key, text_columns(n, key), tp))
     return "parity AS (" + "\nUNION ALL ".join(parts) + ")"
 
 
-def summary_body() -> str:
+def summary_body(s_tables=None) -> str:
+    s_tables = s_tables or S_TABLES
     return f"""pstat AS (
   SELECT table_name, CASE WHEN max(CASE WHEN status = 'DIFF' THEN 1 ELSE 0 END) = 1 THEN 'DIFF'
                           WHEN max(CASE WHEN status = 'SKIPPED' THEN 1 ELSE 0 END) = 1 THEN 'SKIPPED'
@@ -239,7 +240,7 @@ summary AS (
          count(*) FILTER (WHERE metric LIKE 'sum:%' AND status = 'OK') AS sums_ok,
          count(*) FILTER (WHERE metric LIKE 'sum:%') AS sums_total,
          COALESCE(any_value(p.parity_status), 'NONE') AS parity_status,
-         CASE WHEN d.table_name NOT IN {_in(S_TABLES)} THEN 'MISSING'
+         CASE WHEN d.table_name NOT IN {_in(s_tables)} THEN 'MISSING'
               WHEN max(CASE WHEN status <> 'OK' THEN 1 ELSE 0 END) = 1
                    OR any_value(p.parity_status) = 'DIFF' THEN 'DIFF'
               ELSE 'OK' END AS status
@@ -248,8 +249,8 @@ summary AS (
   GROUP BY d.table_name)"""
 
 
-def names_body(t_tables=None) -> str:
-    s = " UNION ALL ".join(f"SELECT '{n}' AS table_name" for n in S_TABLES)
+def names_body(t_tables=None, s_tables=None) -> str:
+    s = " UNION ALL ".join(f"SELECT '{n}' AS table_name" for n in (s_tables or S_TABLES))
     t = " UNION ALL ".join(f"SELECT '{n}' AS table_name" for n in (t_tables or T_TABLES))
     return f"""names AS (
   SELECT COALESCE(s.table_name, t.table_name) AS table_name,
@@ -258,17 +259,19 @@ def names_body(t_tables=None) -> str:
   FROM ({s}) s FULL OUTER JOIN ({t}) t ON s.table_name = t.table_name)"""
 
 
-def reconcile_sql(final: str, identical: bool = False, strings: bool = True) -> str:
-    """Full comparison S against T (or, with ``identical``, S against S)."""
-    tp, t_tables = ("s", S_TABLES) if identical else ("t", T_TABLES)
-    common = sorted(set(S_TABLES) & set(t_tables))
+def reconcile_sql(final: str, identical: bool = False, strings: bool = True, tables=None) -> str:
+    """Full comparison S against T (or, with ``identical``, S against S); ``tables`` are
+    those of both sides."""
+    s_tables = tables or S_TABLES
+    tp, t_tables = ("s", s_tables) if identical else ("t", tables or T_TABLES)
+    common = sorted(set(s_tables) & set(t_tables))
     par = parity_body(tp, common) if strings else (
         "parity AS (SELECT CAST(NULL AS VARCHAR) AS table_name, CAST(NULL AS VARCHAR) AS status "
         "WHERE false)")
-    summary = summary_body() if strings else summary_body().replace(
+    summary = summary_body(s_tables) if strings else summary_body(s_tables).replace(
         "COALESCE(any_value(p.parity_status), 'NONE')", "'OFF'")
-    return (_reports(tp, t_tables) + ",\n" + DETAIL + ",\n" + mismatches_body(common) + ",\n"
-            + par + ",\n" + summary + ",\n" + names_body(t_tables) + "\n" + final)
+    return (_reports(tp, t_tables, s_tables) + ",\n" + DETAIL + ",\n" + mismatches_body(common) + ",\n"
+            + par + ",\n" + summary + ",\n" + names_body(t_tables, s_tables) + "\n" + final)
 
 
 VERDICT_FINAL = """SELECT count(*) FILTER (WHERE kind = 'table') AS common,
@@ -285,44 +288,18 @@ FROM (SELECT 'table' AS kind, status FROM summary
       UNION ALL SELECT 'mismatch', NULL FROM mism)"""
 
 
-def plan_sql() -> str:
-    """The validation plan derived in SQL from DuckDB's catalogue of the
-    test views; only the typed layer and the manifest keys are given."""
-    typed = ", ".join(f"'{n}.{c}'" for n, cols in TYPED.items() for c in cols)
-    keys = ", ".join(f"'{n}.{c}'" for n in T_TABLES
-                     for c in RULES.get(n, {}).get("primary_key", ()))
-    ints = "('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT')"
-    return f"""WITH typed AS (
-  SELECT table_name, column_name, CAST(ordinal_position AS INTEGER) AS ordinal,
-         CASE WHEN table_name || '.' || column_name IN ({typed}) THEN 'DECIMAL(12,2)'
-              ELSE data_type END AS data_type
-  FROM information_schema.columns WHERE table_name IN {_in(T_TABLES)}),
-summable AS (
-  SELECT table_name, column_name, ordinal,
-         CASE WHEN data_type LIKE 'DECIMAL%'
-              THEN CAST(regexp_extract(data_type, ',([0-9]+)\\)', 1) AS INTEGER) ELSE 0 END AS scale
-  FROM typed WHERE data_type IN {ints} OR data_type LIKE 'DECIMAL%'),
-keyed AS (
-  SELECT table_name, column_name, ordinal FROM typed
-  WHERE data_type IN {ints} AND table_name || '.' || column_name IN ({keys}))
-SELECT DISTINCT table_name, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS INTEGER) AS ordinal,
-       'rowcount' AS check_name, 0 AS scale FROM typed
-UNION ALL SELECT table_name, column_name, ordinal, 'sum', scale FROM summable
-UNION ALL SELECT table_name, column_name, ordinal, 'pkmin', 0 FROM keyed
-UNION ALL SELECT table_name, column_name, ordinal, 'pkmax', 0 FROM keyed"""
-
-
 def fk_sql() -> str:
     parts = []
     for n in T_TABLES:
         for fk in RULES.get(n, {}).get("foreign_keys", ()):
-            c, pc = fk.columns[0], fk.parent_columns[0]
+            same = " AND ".join(f"p.{pc} = c.{c}" for c, pc in zip(fk.columns, fk.parent_columns))
+            known = " AND ".join(f"c.{c} IS NOT NULL" for c in fk.columns)
             if fk.parent in T_TABLES:
-                cond = f"NOT EXISTS (SELECT 1 FROM t_{fk.parent} p WHERE p.{pc} = c.{c})"
+                cond = f"NOT EXISTS (SELECT 1 FROM t_{fk.parent} p WHERE {same})"
             else:
                 cond = "TRUE"
-            parts.append(f"SELECT '{n}' AS child, '{c}' AS column_name, '{fk.parent}' AS parent, "
-                         f"count(*) FILTER (WHERE c.{c} IS NOT NULL AND {cond}) AS orphans "
+            parts.append(f"SELECT '{n}' AS child, '{','.join(fk.columns)}' AS column_name, '{fk.parent}' AS parent, "
+                         f"count(*) FILTER (WHERE {known} AND {cond}) AS orphans "
                          f"FROM t_{n} c")
     return ctes() + "\n" + "\nUNION ALL ".join(parts)
 
@@ -345,12 +322,13 @@ def unique_sql(collation: str | None) -> str:
     parts = []
     for n in T_TABLES:
         for u in RULES.get(n, {}).get("unique", ()):
-            c = u.columns[0]
-            expr = f"{c} COLLATE NOCASE" if collation else c
+            text = {c for c, k in typed_schemas()[n] if k == "text"}
+            exprs = ", ".join(f"{c} COLLATE NOCASE" if collation and c in text else c for c in u.columns)
+            known = " AND ".join(f"{c} IS NOT NULL" for c in u.columns)
             parts.append(
-                f"SELECT '{n}' AS table_name, '{c}' AS column_name, "
+                f"SELECT '{n}' AS table_name, '{','.join(u.columns)}' AS column_name, "
                 f"'{collation or 'UTF8_BINARY'}' AS collation, count(*) AS dup_values FROM "
-                f"(SELECT {expr} AS v FROM t_{n} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+                f"(SELECT count(*) FROM t_{n} WHERE {known} GROUP BY {exprs} HAVING count(*) > 1)")
     return ctes() + "\n" + "\nUNION ALL ".join(parts)
 
 
@@ -399,6 +377,33 @@ def column_audit_sql() -> str:
     return ctes() + "\n" + "\nUNION ALL ".join(parts)
 
 
+def refused_sql() -> str:
+    """Rules that rows of the target's tables break, with the rows (of keys: the keys)."""
+    parts = []
+    for n in T_TABLES:
+        rules = RULES.get(n, {})
+        items = [("not_null", c, f"count(*) FILTER (WHERE {c} IS NULL)") for c, _ in raw_schemas()[n]]
+        items += [("max_len", c, f"count(*) FILTER (WHERE length({c}) > {m})") for c, m in rules.get("max_len", {}).items()]
+        parts += [f"SELECT '{n}' AS table_name, '{r}' AS rule, '{c}' AS column_name, {v} AS n_violations FROM t_{n}" for r, c, v in items]
+        keys = [("primary_key", rules["primary_key"])] if rules.get("primary_key") else []
+        keys += [("unique", u.columns) for u in rules.get("unique", ())]
+        parts += [f"SELECT '{n}', '{r}', '{','.join(k)}', count(*) FROM (SELECT 1 FROM t_{n} WHERE "
+                  + " AND ".join(f"{c} IS NOT NULL" for c in k) + f" GROUP BY {', '.join(k)} HAVING count(*) > 1)" for r, k in keys]
+    return ctes() + "\nSELECT * FROM (" + "\nUNION ALL ".join(parts) + ") WHERE n_violations > 0"
+
+
+def unreadable_sql() -> str:
+    """Mismatches of the common tables without orders, and orders' error row."""
+    return reconcile_sql("""SELECT * FROM mism WHERE table_name <> 'orders'
+UNION ALL SELECT 'orders', 'ERROR', '(message)', '-', 'source error'""", strings=False)
+
+
+WIDE_SCALE_SQL = """SELECT 'orders' AS table_name, 'sum:total' AS metric, CAST(s AS VARCHAR) AS source_value,
+  CAST(s + d AS VARCHAR) AS target_value, 'diff=' || CAST(d AS VARCHAR) AS reason
+FROM (SELECT CAST(SUM(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(28,10))) AS DECIMAL(38,10)) AS s,
+             CAST(SUM(CAST('0.0000000001' AS DECIMAL(28,10))) AS DECIMAL(38,10)) AS d FROM orders)"""
+
+
 def load_report_sql(request, available) -> str:
     loaded = [n for n in sorted(available) if n in request]
     missing = sorted(set(request) - set(available))
@@ -414,7 +419,6 @@ def oracle_sql() -> dict[str, str]:
     cte = ctes()
     customer_cols = ", ".join(c for c, _ in raw_schemas()["customer"])
     return {
-        "validation_plan": plan_sql(),
         "source_metrics": _reports() + "\nSELECT table_name, metric, value FROM src",
         "target_metrics": _reports() + "\nSELECT table_name, metric, value FROM tgt",
         "reconcile_detail": reconcile_sql("SELECT * FROM detail"),
@@ -423,15 +427,22 @@ def oracle_sql() -> dict[str, str]:
         "reconcile_verdict": reconcile_sql(VERDICT_FINAL),
         "reconcile_identical": reconcile_sql(VERDICT_FINAL, identical=True),
         "reconcile_metrics_verdict": reconcile_sql(VERDICT_FINAL, strings=False),
-        "migrate_and_verify": reconcile_sql(VERDICT_FINAL, identical=True),
+        "migrate_and_verify": reconcile_sql(VERDICT_FINAL, identical=True, tables=ALL_TABLES),
         "reconcile_source_error": (_reports() + ",\n" + detail_with_source_error(["orders"])
                                    + "\nSELECT * FROM detail"),
         "evidence_csv": reconcile_sql("SELECT * FROM detail"),
-        "load_full_report": load_report_sql(S_TABLES, S_TABLES),
+        "load_full_report": load_report_sql(ALL_TABLES, ALL_TABLES),
+        "load_refused_report": refused_sql(),
+        "load_binary_guids": GUID_SQL,
+        "reconcile_odd_names": reconcile_sql("SELECT * REPLACE (replace(key_range, '=', '.a:v=') AS key_range) FROM summary",
+                                             tables=["orders"]),
+        "reconcile_unreadable": unreadable_sql(),
+        "reconcile_wide_scale": WIDE_SCALE_SQL,
+        "text_key_parity": cte + "\n" + parity_select("customer", ("c_name",), []) + """
+UNION ALL SELECT 'labels', '(key)', NULL, NULL, NULL, NULL, 'SKIPPED', 'no manifest entry'""",
         "stream_load_orders": cte + "\nSELECT * FROM s_orders",
         "guid_text_canonical": GUID_SQL,
         "column_audit": column_audit_sql(),
-        "table_set_diff": reconcile_sql("SELECT * FROM names"),
         "string_parity": cte + ",\n" + parity_body() + "\nSELECT * FROM parity",
         "string_parity_raw": cte + ",\n" + parity_body() + "\nSELECT * FROM parity",
         "string_parity_skipped": cte + "\n" + parity_select(
@@ -445,11 +456,11 @@ def oracle_sql() -> dict[str, str]:
         "guid_canonical": GUID_SQL,
         "supplier_catalog": ("SELECT s_suppkey, s_name, n_name, CAST(s_acctbal AS DECIMAL(12,2)) AS s_acctbal "
                              "FROM supplier JOIN nation ON s_nationkey = n_nationkey"),
-        "customer_order_totals": cte + f"""
+        "customer_order_totals": cte + """
 SELECT c.c_custkey, c.c_name, count(o.o_orderkey) AS order_count,
        CAST(COALESCE(SUM(CAST(o.o_totalprice AS DECIMAL(38,2))), CAST(0 AS DECIMAL(38,2))) AS VARCHAR)
          AS total_spent
-FROM s_customer c LEFT JOIN (SELECT * FROM t_orders WHERE {ORDERS_KEPT_FOR_TOTALS}) o
+FROM s_customer c LEFT JOIN t_orders o
   ON o.o_custkey = c.c_custkey
 GROUP BY c.c_custkey, c.c_name""",
         "pk_audit": pk_audit_sql(),
@@ -458,6 +469,7 @@ GROUP BY c.c_custkey, c.c_name""",
         "fk_audit": fk_sql(),
         "not_null_audit": column_check_sql("not_null"),
         "length_audit": column_check_sql("max_len"),
-        "locale_order": ("SELECT DISTINCT word FROM (SELECT unnest(regexp_split_to_array(text, "
-                         "'[ \\t\\n\\r\\f]+')) AS word FROM documents) WHERE word <> ''"),
+        "locale_order": ("SELECT word, length(word) AS word_length, row_number() OVER (PARTITION BY length(word) "
+                         "ORDER BY word COLLATE es, word) AS place FROM (SELECT DISTINCT word FROM (SELECT "
+                         "unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents) WHERE word <> '')"),
     }
