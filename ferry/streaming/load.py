@@ -18,7 +18,7 @@ from ..operators.load import conform, enforced, project
 
 
 def start_stream_load(spark: SparkSession, source_dir: str, spec: TableSpec, sink_dir: str,
-                      checkpoint_dir: str, source_schema=None, max_bytes_per_trigger: int | str | None = "16g",
+                      checkpoint_dir: str, source_schema=None, max_bytes_per_trigger: int = 16 << 30,
                       max_files_per_trigger: int | None = None, available_now: bool = False,
                       interval: str = "10 seconds") -> StreamingQuery:
     """Start the copy of ``source_dir`` into ``sink_dir`` for table ``spec``.

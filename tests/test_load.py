@@ -110,3 +110,112 @@ def test_empty_table_replace_load(spark):
     res = L.load(spark, empty, _manifest(), sink, tables=["item"])
     assert res.counts == {"item": 0}
     assert sink.read("item").count() == 0 and sink.read("item").columns == ["id", "name", "price"]
+
+
+def _one(spark, rows, ddl, spec, mode="overwrite", sink=None):
+    sink = sink or L.ParquetSink(spark, fresh_dir(spark, "t-rules"))
+    L.load(spark, {spec.name: spark.createDataFrame(rows, ddl)}, Manifest([spec]), sink, mode=mode)
+    return sink
+
+
+def test_rules_refuse_the_table(spark):
+    from ferry.manifest import UniqueKey
+    schema = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("qty", T.IntegerType()),
+                           T.StructField("code", T.StringType())])
+    spec = TableSpec("x", schema, primary_key=("id",), max_len={"code": 3}, unique=(UniqueKey(("code",)),))
+    ddl = "id int, qty double, code string"
+    for rows, rule in (([(1, 2.2, "a")], "whole"), ([(None, 2.0, "a")], "not_null of id"), ([(1, 2.0, "abcd")], "max_len of code"),
+                       ([(1, 2.0, "a"), (1, 3.0, "b")], "primary_key of id"), ([(1, 2.0, "a"), (2, 3.0, "a")], "unique of code")):
+        sink = L.ParquetSink(spark, fresh_dir(spark, "t-rules"))
+        _one(spark, [(7, 1.0, "old")], ddl, spec, sink=sink)
+        for mode in ("overwrite", "append"):
+            with pytest.raises(L.LoadError, match=rule):
+                _one(spark, rows, ddl, spec, mode, sink)
+            assert [tuple(r) for r in sink.read("x").collect()] == [(7, 1, "old")]
+            left = sink._fs.listStatus(sink._Path(f"{sink.root}/_staging"))
+            assert len(left) == 0
+    assert _one(spark, [(1, 2.0, None), (2, 3.0, None)], ddl, spec).read("x").count() == 2
+
+
+def test_casts_keep_whole_values(spark):
+    for ddl, value, target in (("v double", 2.2, T.IntegerType()), ("v decimal(6,2)", Decimal("3.40"), T.LongType()),
+                               ("v string", "2.2", T.IntegerType()), ("v timestamp", __import__("datetime").datetime(2020, 1, 2, 3), T.DateType()),
+                               ("v binary", bytearray(b"ab"), T.StringType()), ("v double", 1e12, T.IntegerType())):
+        spec = TableSpec("x", T.StructType([T.StructField("v", target)]))
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            try:
+                with pytest.raises(Exception):
+                    L.conform(spark.createDataFrame([(value,)], ddl), spec).collect()
+            finally:
+                spark.conf.set("spark.sql.ansi.enabled", "true")
+    spec = TableSpec("x", T.StructType([T.StructField("v", T.DecimalType(6, 1))]))
+    assert L.conform(spark.createDataFrame([(2.26,)], "v double"), spec).first().v == Decimal("2.3")
+    spec = TableSpec("x", T.StructType([T.StructField("v", T.IntegerType())]))
+    assert L.conform(spark.createDataFrame([(2.0,), (None,)], "v double"), spec).collect() == [(2,), (None,)]
+
+
+def test_binary_guid_becomes_its_text(spark):
+    import uuid
+    u = uuid.uuid4()
+    spec = TableSpec("x", T.StructType([T.StructField("g", T.StringType())]), logical={"g": "uuid"})
+    assert _one(spark, [(bytearray(u.bytes_le),)], "g binary", spec).read("x").first().g == str(u)
+    assert _one(spark, [("{" + str(u).upper() + "}",)], "g string", spec).read("x").first().g == str(u)
+
+
+def test_failed_swap_brings_the_previous_table_back(spark):
+    sink = L.ParquetSink(spark, fresh_dir(spark, "t-swap"))
+    L.load(spark, _source(spark), _manifest(), sink, tables=["item"])
+    sink._moved = lambda source, target: False
+    with pytest.raises(L.LoadError, match="previous one is back"):
+        L.load(spark, _source(spark), _manifest(), sink, tables=["item"])
+    assert sink.read("item").count() == 2
+    assert len(sink._fs.listStatus(sink._Path(f"{sink.root}/_staging"))) == 0
+
+
+def test_catalog_replace_keeps_the_previous_table_on_failure(spark):
+    db = "ferry_swap_db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    sink = L.CatalogSink(spark, db)
+    L.load(spark, _source(spark), _manifest(), sink, tables=["item"])
+    bad = {"item": spark.createDataFrame([(1, "a", 1e13)], "id int, name string, price double")}
+    with pytest.raises(L.LoadError):
+        L.load(spark, bad, _manifest(), sink, tables=["item"])
+    L.load(spark, _source(spark), _manifest(), sink, tables=["item"])
+    assert sink.read("item").count() == 2
+    assert [t.name for t in spark.catalog.listTables(db)] == ["item"]
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_no_table_starts_after_a_failure(spark):
+    schema = T.StructType([T.StructField("id", T.LongType(), False)])
+    m = Manifest([TableSpec(n, schema) for n in "abcd"])
+    ok, bad = spark.range(3), spark.createDataFrame([(None,)], "id long")
+    sink = L.ParquetSink(spark, fresh_dir(spark, "t-stop"))
+    with pytest.raises(L.LoadError) as e:
+        L.load(spark, {"a": bad, "b": ok, "c": ok, "d": ok}, m, sink, parallelism=1)
+    assert e.value.table == "a" and not any(sink.exists(n) for n in "bcd")
+    with pytest.raises(L.LoadError) as e:
+        L.load(spark, {"a": bad, "b": bad, "c": ok, "d": ok}, m, sink, parallelism=2)
+    assert {e.value.table, *(x.table for x in e.value.others)} == {"a", "b"} and not sink.exists("d")
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
+    from ferry.session import shared_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(Session())

@@ -4,7 +4,7 @@ duplicate keys and tables without a key."""
 from pyspark.sql import types as T
 
 from ferry.manifest import Manifest, TableSpec
-from ferry.operators.parity import collect_parity, string_parity, table_parity
+from ferry.operators.parity import one_table_parity, string_parity, table_parity
 
 SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("body", T.StringType()),
                        T.StructField("note", T.StringType())])
@@ -79,8 +79,8 @@ def test_uuid_logical_column_is_not_text(spark):
     spec = TableSpec("ApiToken", schema, primary_key=("id",), logical={"owner": "uuid"})
     assert spec.text_columns() == ["token"]
     s = spark.createDataFrame([("3f2504e0-4f89-11d3-9a0c-0305e82c3301", "t1", "o")], schema)
-    r = collect_parity(spark, {"ApiToken": s}, {"ApiToken": s}, Manifest([spec])).collect()
-    assert [(x.column_name, x.status) for x in r] == [("token", "OK")]
+    r = one_table_parity(spark, "ApiToken", s, s, spec)
+    assert [(x[1], x[6]) for x in r] == [("token", "OK")]
 
 
 def test_key_override_pairs_a_table_without_primary_key(spark):
@@ -91,3 +91,27 @@ def test_key_override_pairs_a_table_without_primary_key(spark):
     got = {r.column_name: (r.paired, r.identical, r.status)
            for r in string_parity(spark, {"q": s}, {"q": t}, m, keys={"q": ("a",)}).collect()}
     assert got == {"txt": (2, 1, "DIFF")}
+
+
+def test_text_key_null_key_and_no_entry(spark):
+    from ferry.operators.reconcile import reconcile
+    schema = T.StructType([T.StructField("k", T.StringType())])
+    s = spark.createDataFrame([("é",), ("b",), (None,)], schema)
+    t = spark.createDataFrame([("Ã©",), ("b",), (None,)], schema)
+    m = Manifest([TableSpec("p", schema, primary_key=("k",))])
+    got = {r.table_name: tuple(r)[1:] for r in string_parity(spark, {"p": s, "q": s}, {"p": t, "q": s}, m).collect()}
+    assert got["p"] == ("(key)", 1, 2, 2, 1, "DIFF", None)
+    assert got["q"] == ("(key)", None, None, None, None, "SKIPPED", "no manifest entry")
+    assert not reconcile(spark, {"p": s}, {"p": t}, m).passed()
+    same = s.where("k is not null")
+    assert reconcile(spark, {"p": same}, {"p": same}, m).passed()
+
+
+def test_text_of_any_length_follows_one_rule(spark):
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("txt", T.StringType())])
+    rows = [(i, "x" * n) for i, n in enumerate((0, 31, 32, 33, 1000))]
+    s = spark.createDataFrame(rows, schema)
+    t = spark.createDataFrame([(i, x[:-1] + "y" if x else "") for i, x in rows], schema)
+    for digest in (True, False):
+        r = table_parity(spark, "p", s, t, ["a"], ["txt"], digest).first()
+        assert (r.paired, r.identical) == (5, 1)

@@ -3,7 +3,9 @@ is not exercised: it would need a database, and none is started here."""
 
 import os
 
-from ferry.sources.tables import parquet_tables
+import pytest
+
+from ferry.sources.tables import jdbc_options, jdbc_tables, parquet_tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,46 +27,49 @@ def test_entry_and_registry(spark):
     assert os.path.exists(SF)
 
 
-class _RecordingReader:
-    """Stands in for spark.read: records format and options, loads nothing."""
+def test_missing_and_hidden_tables(spark, tmp_path):
+    for name in ("_kept", "plain", "_staging", "_old"):
+        spark.range(3).write.parquet(str(tmp_path / name))
+    assert set(parquet_tables(spark, str(tmp_path))) == {"_kept", "plain"}
+    tables = parquet_tables(spark, str(tmp_path), ["plain", "gone"])
+    assert tables["plain"].count() == 3
+    with pytest.raises(RuntimeError, match="gone"):
+        tables["gone"].columns
+
+
+def test_jdbc_options_without_a_database():
+    """Only the options: the reader itself needs a database, and none is started here."""
+    got = jdbc_options("jdbc:x://h/db", "Order", ["o_orderkey", 'a"b', "c.d"], partition_column="Order", bounds=(1, 1001), num_partitions=16)
+    assert got["dbtable"] == '(SELECT "o_orderkey", "a""b", "c.d" FROM "Order") t' and got["fetchsize"] == "5000"
+    assert (got["partitionColumn"], got["lowerBound"], got["upperBound"], got["numPartitions"]) == ('"Order"', "1", "1001", "16")
+    plain = jdbc_options("jdbc:x://h/db", "sales.nation", fetchsize=100, quote="`")
+    assert plain == {"url": "jdbc:x://h/db", "fetchsize": "100", "dbtable": "(SELECT * FROM `sales`.`nation`) t"}
+
+
+class _Recorder:
+    """Stands in for spark.read: records options, answers the bounds query."""
 
     def __init__(self):
-        self.opts, self.fmt = {}, None
+        self.calls = []
+        self.read = self
 
-    def format(self, fmt):
-        self.fmt = fmt
+    def format(self, name):
         return self
 
-    def option(self, key, value):
-        self.opts[key] = value
+    def options(self, **options):
+        self.calls.append(options)
         return self
 
     def load(self):
-        return dict(self.opts, format=self.fmt)
+        return self
 
+    def first(self):
+        return (3, 90)
 
-class _FakeSpark:
-    def __init__(self):
-        self.readers = []
-
-    @property
-    def read(self):
-        self.readers.append(_RecordingReader())
-        return self.readers[-1]
-
-
-def test_jdbc_reader_options_without_a_database():
-    from ferry.sources.tables import jdbc_table, jdbc_tables
-    fake = _FakeSpark()
-    got = jdbc_table(fake, "jdbc:x://h/db", "orders", ["o_orderkey", "o_totalprice"],
-                     partition_column="o_orderkey", lower_bound=1, upper_bound=1000,
-                     num_partitions=16, properties={"user": "u"})
-    assert got["format"] == "jdbc" and got["fetchsize"] == 5000
-    assert got["dbtable"] == "(SELECT o_orderkey, o_totalprice FROM orders) AS t"
-    assert (got["partitionColumn"], got["lowerBound"], got["upperBound"], got["numPartitions"]) == \
-        ("o_orderkey", 1, 1000, 16)
-    assert got["user"] == "u" and "query" not in got
-    plain = jdbc_table(_FakeSpark(), "jdbc:x://h/db", "nation", fetchsize=100)
-    assert plain["dbtable"] == "nation" and plain["fetchsize"] == 100 and "partitionColumn" not in plain
-    both = jdbc_tables(_FakeSpark(), "jdbc:x://h/db", ["a", "b"], key_bounds={"a": ("id", 0, 9)})
-    assert both["a"]["partitionColumn"] == "id" and "partitionColumn" not in both["b"]
+
+def test_jdbc_bounds_are_asked_of_the_database():
+    spark = _Recorder()
+    jdbc_tables(spark, "jdbc:x://h/db", ["Order", "nation"], {"Order": "id"}, properties={"user": "u"})
+    assert spark.calls[0]["query"] == 'SELECT MIN("id") AS lo, MAX("id") AS hi FROM "Order"'
+    assert (spark.calls[1]["lowerBound"], spark.calls[1]["upperBound"], spark.calls[1]["user"]) == ("3", "91", "u")
+    assert "partitionColumn" not in spark.calls[2]
