@@ -94,4 +94,40 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_windows, op2_bpe, op3_near_duplicates, op4_quality_rules, op5_line_dedup, op6_license_scan,
     op7_personal_data, op8_substring_dedup, op9_decontamination, op10_language_id, pipeline)}
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _quality_sql() -> str:
+    """The quality measures and the verdict of the threshold table, in SQL."""
+    from ferry.llm.quality import RULES, STOP_WORDS
+
+    def broken(measure: str, least: float | None, greatest: float | None) -> str:
+        top, _, base = measure.partition(" / ")
+        value = f"({top} / CAST(greatest({base}, 1) AS DOUBLE))"
+        return " OR ".join([f"{value} < {least}"] * (least is not None) + [f"{value} > {greatest}"] * (greatest is not None))
+
+    word = r"[^\x20\x09-\x0D]+"
+    rules = ", ".join(f"CASE WHEN {broken(m, a, b)} THEN '{name}' END" for name, m, a, b in RULES)
+    stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    return rf"""WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS ls
+  FROM documents),
+place AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM split),
+seen AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM place),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM seen WHERE n > 1) GROUP BY doc_id),
+m AS (
+  SELECT split.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+         len(list_filter(ws, lambda w: lower(w) IN ({stop}))) AS n_stop_words,
+         len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+         len(list_filter(ls, lambda x: regexp_matches(x, '^[\x20\t]*[-*•]'))) AS n_bullet_lines,
+         len(list_filter(ls, lambda x: regexp_matches(x, '(?:\.\.\.|…)[\x20\t\r]*$'))) AS n_ellipsis_lines,
+         coalesce(covered.n, 0) AS n_repeat_words
+  FROM split LEFT JOIN covered ON covered.doc_id = split.doc_id),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             list_filter([{rules}], lambda x: x IS NOT NULL) AS bad FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND len(bad) = 0 AS kept, array_to_string(bad, ',') AS broken FROM v"""
+
+
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _quality_sql()}

@@ -94,15 +94,15 @@ def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, min_bytes: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, end, n_chunks, n_bytes, first_doc_id): stretches of documents, in
-    code points, that repeat text standing elsewhere.
+    """(doc_id, start, end, n_chunks, n_bytes, first_doc_id, source_doc_ids): stretches of
+    documents, in code points, that repeat text standing elsewhere.
 
     A text is cut where a gear hash of the last ``WINDOW`` bytes calls for it, so equal
     passages are cut alike wherever they stand. A chunk repeats if its digest stands
     earlier in the document or in a document of smaller id; the smallest id's first
     occurrence stays. Consecutive repeated chunks form a span; spans of fewer than
-    ``min_bytes`` bytes are ordinary phrases and are not returned. ``first_doc_id`` is the
-    smallest document that holds a chunk of the span.
+    ``min_bytes`` bytes are ordinary phrases and are not returned. ``source_doc_ids`` are the
+    documents that keep the span's chunks, at most one each, ``first_doc_id`` the smallest.
 
     Null and empty texts have no chunks; rows with a null id are left out; rows that
     repeat an id count as one document, whose later row does not repeat the earlier.
@@ -117,7 +117,8 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 64, id_col: str = "doc_id",
     runs = spans.select("doc_id", F.posexplode("c").alias("i", "c")).select(
         "doc_id", (F.col("c.seq") - F.col("i")).alias("run"), "c.*")
     return (runs.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_chunks"),
-                                              F.sum("size").alias("n_bytes"), F.min("first_doc_id").alias("first_doc_id"))
+                                              F.sum("size").alias("n_bytes"), F.min("first_doc_id").alias("first_doc_id"),
+                                              F.array_sort(F.collect_set("first_doc_id")).alias("source_doc_ids"))
             .where(F.col("n_bytes") >= min_bytes).drop("run"))
 
 
