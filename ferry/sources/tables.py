@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..manifest import TableSet
+from ..manifest import INTEGRAL_TYPES, Manifest, TableSet, TableSpec
 
 #: Folders beside the tables that hold none: a sink's own, and writers' metadata.
 NO_TABLES = ("_staging", "_old", "_SUCCESS", "_temporary", "_spark_metadata", "_delta_log")
@@ -108,8 +108,17 @@ def jdbc_table(spark: SparkSession, url: str, table: str, columns=None, *, fetch
     return spark.read.format("jdbc").options(**options, **(properties or {})).load()
 
 
-def jdbc_tables(spark: SparkSession, url: str, names, partition_columns: dict | None = None, **kwargs) -> TableSet:
-    """Several JDBC tables; ``partition_columns`` maps a table to the integer column its
-    read is split on (a manifest's identity or first key column serves)."""
-    split = partition_columns or {}
+def split_column(spec: TableSpec) -> str | None:
+    """The integer column that a table's read can be split on: its identity or key."""
+    kinds = {f.name: f.dataType for f in spec.schema.fields}
+    return next((c for c in (spec.identity, *spec.primary_key) if isinstance(kinds.get(c), INTEGRAL_TYPES)), None)
+
+
+def jdbc_tables(spark: SparkSession, url: str, names, partition_columns: dict | None = None,
+                manifest: Manifest | None = None, **kwargs) -> TableSet:
+    """Several JDBC tables. Each read is split on the integer column that
+    ``partition_columns`` names for it, else on the manifest's identity or integer key
+    column; a table with neither is read in one task."""
+    split = {n: split_column(manifest[n]) for n in names if n in manifest} if manifest else {}
+    split |= partition_columns or {}
     return {n: opened(n, lambda n=n: jdbc_table(spark, url, n, partition_column=split.get(n), **kwargs)) for n in names}

@@ -4,7 +4,9 @@ is not exercised: it would need a database, and none is started here."""
 import os
 
 import pytest
+from pyspark.sql import types as T
 
+from ferry.manifest import Manifest, TableSpec
 from ferry.sources.tables import jdbc_options, jdbc_tables, parquet_tables
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +75,7 @@ def test_jdbc_bounds_are_asked_of_the_database():
     assert spark.calls[0]["query"] == 'SELECT MIN("id") AS lo, MAX("id") AS hi FROM "Order"'
     assert (spark.calls[1]["lowerBound"], spark.calls[1]["upperBound"], spark.calls[1]["user"]) == ("3", "91", "u")
     assert "partitionColumn" not in spark.calls[2]
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("no", T.IntegerType())])
+    spark = _Recorder()
+    jdbc_tables(spark, "jdbc:x://h/db", ["a", "b"], manifest=Manifest([TableSpec("a", schema, ("name", "no")), TableSpec("b", schema, ("name",))]))
+    assert spark.calls[1]["partitionColumn"] == '"no"' and "partitionColumn" not in spark.calls[2]
