@@ -18,6 +18,8 @@ from ferry.llm.common import shipped, text_slices
 #: Bytes of texts that are handled at once, and bytes of words that one recursive query
 #: takes; a longer text or word goes alone.
 TEXT_BYTES, QUERY_BYTES = 4 << 20, 1 << 20
+#: Words of more bytes are long.
+LONG_WORD = 256
 #: Pieces whose ids a worker remembers between batches: a bound on memory, not on results.
 REMEMBERED = 300_000
 
@@ -45,6 +47,29 @@ with recursive t(w, pos, tok, live) as (
 ) select w, list(tok order by pos) ids from t where not live group by w order by w
 """
 
+# For long words: besides the leftmost pair of least rank every further place of that rank
+# that overlaps none taken is contracted in the same round, every other one of a run of
+# such places. The rounds grow with the ranks that occur, not with the word.
+ENCODE_LONG = """
+with recursive t(w, pos, tok, live) as (
+  select w, pos, tok, true from seed
+  union all
+  (with pair as materialized (
+     select p.w, p.pos, p.tok, p.next_pos, p.i, g.merged, min(g.merged) over (partition by p.w) as least
+     from (select w, pos, tok, lead(pos) over o next_pos, row_number() over o i,
+                  case when lead(w) over o = w then lead(tok) over o end next_tok
+           from t where live window o as (order by pos)) p
+     left join merges g on g.l = p.tok and g.r = p.next_tok),
+   place as (
+     select w, pos, next_pos, least, row_number() over (partition by w, run order by i) k
+     from (select *, i - row_number() over (partition by w order by i) run from pair where merged = least)),
+   taken as (select * from place where k % 2 = 1)
+   select p.w, p.pos, case when a.pos is not null then a.least else p.tok end, p.least is not null
+   from pair p left join taken a on a.pos = p.pos
+   where p.pos not in (select next_pos from taken))
+) select w, list(tok order by pos) ids from t where not live group by w order by w
+"""
+
 DECODE = "select string_agg(v.bytes, '' order by s.pos) s from seed s join vocabulary v on v.id = s.id"
 
 
@@ -87,7 +112,7 @@ class Codec:
         flat = np.frombuffer(b"".join(pieces), np.uint8)
         seed = pa.table({"w": np.repeat(np.arange(len(pieces), dtype=np.int32), size),
                          "pos": np.arange(len(flat), dtype=np.int64), "tok": self.single[flat]})
-        ids = self._query(ENCODE, seed)["ids"].combine_chunks()
+        ids = self._query(ENCODE_LONG if size.max() > LONG_WORD else ENCODE, seed)["ids"].combine_chunks()
         ends, values = np.asarray(ids.offsets), np.asarray(ids.values, np.int32)
         return [values[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
@@ -105,6 +130,9 @@ class Codec:
 
         for i, x in enumerate(out):
             if x is None:
+                if len(pieces[i]) > LONG_WORD:
+                    out[i] = self._encode_new([pieces[i]])[0]
+                    continue
                 if todo and held + len(pieces[i]) > QUERY_BYTES:
                     run()
                     todo, held = [], 0
@@ -221,7 +249,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...
     Each match of ``pattern`` is encoded separately. A match that is itself a token
     becomes it; the others' bytes become token-position rows of a recursive DuckDB
     query that joins the merge table and contracts each word's leftmost pair of least
-    rank until none is left. Decoding joins ids to the vocabulary and aggregates the
+    rank until none is left (of a long word, all places of that rank in one round). Decoding joins ids to the vocabulary and aggregates the
     bytes in order. Equal words are solved once per slice of texts.
     Token-position rows of one query stem from at most ``QUERY_BYTES`` bytes or one word.
 
