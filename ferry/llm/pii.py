@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -75,6 +76,7 @@ HOMOGLYPHS = {
     "\u2024": ".", "\u3002": ".", "\u2010": "-", "\u2011": "-", "\u2013": "-", "\u00a0": " ", "\u2009": " ", "\u202f": " ",
     "\ufe6b": "@", "\ufe62": "+", "\ufe52": ".",
 }
+HOMOGLYPHS |= {chr(c): str(unicodedata.decimal(chr(c))) for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Nd"}
 HOMOGLYPHS |= {chr(0xFF00 + i): chr(0x20 + i) for i in range(1, 0x5F)}  # full-width forms
 HIDDEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 DIGITS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
@@ -86,11 +88,14 @@ _LOOKS = re.compile("[" + "".join(map(re.escape, HOMOGLYPHS)) + "]|[" + HIDDEN +
 _DIGIT = r"(?:%s)" % "|".join(DIGITS)
 _SPELLED = re.compile(rf"(?i)(?:\bplus[\x20-]+)?\b{_DIGIT}(?:[\x20,-]{{1,2}}{_DIGIT}\b){{{LEAST_SPELLED - 1},}}")
 _ONE_SPELLED = re.compile(rf"(?i){_DIGIT}|plus")
-_SIGN = r"(?:\x20?[(\[{<]\x20?%s\x20?[)\]}>]\x20?|[\x20_]%s[\x20_])"
-_DOT = _SIGN % ("dot", "dot")
-_AT = re.compile(rf"(?i)(?<=[a-z0-9])(?:\x20?[(\[{{<]\x20?at\x20?[)\]}}>]\x20?|[\x20_]at[\x20_](?=[a-z0-9-]{{1,63}}(?:{_DOT}|\.)[a-z]))")
+#: Letters that stand for digits between digits.
+_LETTER_DIGIT = re.compile(r"(?<=[0-9])[OolI](?=[0-9])")
+_OPEN, _SHUT = r"\x20?[(\[{<]\x20?", r"\x20?[)\]}>]\x20?"
+_DOT = rf"(?:{_OPEN}(?:dot|\.){_SHUT}|[\x20_]dot[\x20_])"
+_HOST = rf"(?=[a-z0-9-]{{1,63}}(?:{_DOT}|\.)[a-z])"
+_AT = re.compile(rf"(?i)(?<=[a-z0-9])(?:{_OPEN}(?:at|@){_SHUT}|[\x20_]at[\x20_]{_HOST}|(?:\x20@\x20?|@\x20){_HOST})")
 _DOTS = re.compile(rf"(?i)(?<=[a-z0-9]){_DOT}(?=[a-z0-9])")
-_AT_OR_DOT = re.compile(r"(?i)[(\[{<]\x20?(?:at|dot)\x20?[)\]}>]|[\x20_](?:at[\x20_][a-z0-9-]{1,63}\.|dot[\x20_])")
+_AT_OR_DOT = re.compile(r"(?i)[(\[{<]\x20?(?:at|dot|@|\.)\x20?[)\]}>]|[\x20_](?:at[\x20_][a-z0-9-]{1,63}\.|dot[\x20_])|\x20@|@\x20")
 
 
 class Rewritten:
@@ -152,13 +157,15 @@ def normalised(text: str) -> Rewritten | None:
         spelled.append((m.start(), m.end(), number))
     if spelled:
         out.replace(spelled)
+    if letters := [(m.start(), m.end(), "0" if m[0] in "Oo" else "1") for m in _LETTER_DIGIT.finditer(out.text)]:
+        out.replace(letters)
     signs = False
     if _AT_OR_DOT.search(out.text):
         for pattern, sign in ((_AT, "@"), (_DOTS, ".")):
             if found := [(m.start(), m.end(), sign) for m in pattern.finditer(out.text)]:
                 out.replace(found)
                 signs = True
-    return out if looks or spelled or signs else None
+    return out if looks or spelled or letters or signs else None
 
 
 def personal_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -238,6 +238,13 @@ def test_personal_data_base(spark, docs, no_docs):
     ("jo​hn@mail.example.com", 0, "jo​hn@mail.example.com"),
     ("card four one one one 1111 1111 1111 x", 2, "four one one one 1111 1111 1111"),
     ("we met at noon, dot by dot. one two three", 0, None),
+    ("john dot doe at mail dot example dot co dot uk", 0, "john dot doe at mail dot example dot co dot uk"),
+    ("JOHN [AT] EXAMPLE [DOT] COM", 0, "JOHN [AT] EXAMPLE [DOT] COM"),
+    ("john @ example.com or", 0, "john @ example.com"),
+    ("john[@]example[.]com", 0, "john[@]example[.]com"),
+    ("call +1 (555) O1O-9999 or +1 555 0l0 9999", 3, "+1 555 0l0 9999"),
+    ("+٣٣ ٦١٢ ٣٤٥ ٦٧٨", 3, "+٣٣ ٦١٢ ٣٤٥ ٦٧٨"),
+    ("ten @ noon. we met at home.", 0, None),
 ])
 def test_disguised_identifiers(text, kind, found):
     from ferry.llm.pii import personal_spans
