@@ -13,21 +13,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferry.session import shared_dir
+
 #: Bytes of text handled at once inside a task; a longer single text is handled alone.
 SLICE_BYTES = 1 << 20
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared checkpoint folder, its lineage cut.
-
-    The folder is ``spark.checkpoint.dir``; only where that is unset (tests) and the
-    master is local does a temporary folder stand in.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and not sc.getCheckpointDir():
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ferry-checkpoint-"))
+    """``df`` computed once into the shared checkpoint folder, its lineage cut."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
