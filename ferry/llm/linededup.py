@@ -1,4 +1,4 @@
-"""Line dedup: globally repeated multi-line chunks with content-defined bounds."""
+"""Line dedup: globally repeated multi-line chunks with bounds set by what repeats."""
 
 from __future__ import annotations
 
@@ -7,29 +7,69 @@ from pyspark.sql import functions as F
 
 from ferry.llm.common import in_place, saved
 
-#: Lines under one rolling hash.
-WINDOW = 2
 #: Lines that a chunk needs to be removed.
 LEAST_LINES = 2
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def _split(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n")
+
+
+def joints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, of, at): for each text (``of`` is its hash) the line counts after which a
+    chunk goes on. Texts of lone lines have no row.
+
+    A window is two neighbouring lines. One that occurs once parts its lines. Of a
+    repeated one it is known whether always the same window stands before and after it.
+    Where two repeated windows follow each other and the first is elsewhere followed by
+    another, the second parts its lines; else, if the second elsewhere follows another,
+    the first does. That depends on the windows alone, so a passage is cut alike wherever
+    it stands, whatever its length and surroundings."""
+    df = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("of"), in_place(F.transform(_split(F.col(text_col)), lambda x: F.xxhash64(x))).alias("lines"))
+    pairs = F.transform("lines", lambda x, i: F.xxhash64(x, F.get("lines", i + 1)))
+    df = df.where(F.size("lines") > 1).withColumn("pairs", in_place(F.slice(pairs, F.lit(1), F.size("lines") - 1)))
+    rows = df.select("doc_id", "of", F.explode(F.transform("pairs", lambda h, i: F.struct(
+        h.alias("h"), (i + 1).alias("end"), F.coalesce(F.get("pairs", i - 1), F.lit(0)).alias("before"), F.coalesce(F.get("pairs", i + 1), F.lit(0)).alias("after"),
+        (F.get("lines", i) == F.get("lines", i + 1)).alias("same")))).alias("w")).select("doc_id", "of", "w.*")
+    often = saved(rows.groupBy("h").agg(
+        F.count("*").alias("n"), (F.min("before") != F.max("before")).alias("begins"), (F.min("after") != F.max("after")).alias("ends"),
+        F.first("same").alias("same")).where("n > 1").drop("n"))
+    rows = saved(rows.drop("before", "same").join(often, "h"))
+    follow = often.select(F.col("h").alias("after"), F.col("begins").alias("begins2"), F.col("same").alias("same2"))
+    # windows of one line twice are left to the runs of equal lines
+    parts = rows.select("h", "after", "ends", "same").distinct().join(follow, "after").select(
+        F.when(F.col("ends"), F.when(~F.col("same2"), F.col("after"))).when(F.col("begins2") & ~F.col("same"), F.col("h")).alias("h")).dropna().distinct()
+    return rows.join(parts, "h", "left_anti").groupBy("doc_id", "of").agg(F.collect_set("end").alias("at"))
+
+
+def _chunks() -> tuple[Column, ...]:
+    """Starts of runs of equal lines of ``lines``, cuts in runs of four and more (into twos,
+    an odd last line goes to the two before), ends and codes of the chunks, which go on
+    after ``at`` lines elsewhere; each from those before it."""
+    starts = F.filter(F.transform("lines", lambda x, i: F.when((i == 0) | (x != F.get("lines", i - 1)), i)), lambda i: i.isNotNull())
+    run = lambda s, k: F.coalesce(F.get("starts", k + 1), F.size("lines")) - s
+    twos = F.flatten(F.transform("starts", lambda s, k: F.when(run(s, k) >= 4, F.sequence(s + 2, s + run(s, k) - 2, F.lit(2))).otherwise(F.array().cast("array<int>"))))
+    ends = F.array_except(F.sequence(F.lit(1), F.size("lines")), F.array_except(F.coalesce("at", F.array().cast("array<int>")), F.col("twos")))
+    before = lambda i: F.coalesce(F.get("ends", i - 1), F.lit(0)).cast("long")
+    chunk = F.transform("ends", lambda e, i: F.shiftleft(before(i), 32).bitwiseOR(e.cast("long") - before(i)))
+    return starts, twos, ends, chunk
+
+
+def _cut_up(df: DataFrame) -> DataFrame:
+    """``df`` with ``chunks`` from ``lines`` and ``at``."""
+    names = df.columns
+    for name, value in zip(("starts", "twos", "ends", "chunks"), _chunks(), strict=True):
+        df = df.withColumn(name, in_place(value))
+    return df.select(*names, "chunks")
+
+
+def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, lines, chunks): each text's lines, and its chunks as ``first << 32 | n``,
-    the first line and the number of lines.
-
-    A rolling hash covers the last ``WINDOW`` line hashes up to each line. A chunk ends
-    after a line whose rolling hash is a local minimum. That depends on the lines around
-    alone, so equal passages are cut alike wherever they stand; two minima are at least
-    two lines apart."""
-    df = docs.select(*keep, F.col(id_col).cast("long").alias("doc_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
-    df = df.withColumn("roll", F.transform("lines", lambda x: F.xxhash64(x)))
-    df = df.withColumn("roll", F.transform("roll", lambda x, i: F.xxhash64(x, *[F.coalesce(F.get("roll", i - k), F.lit(0)) for k in range(1, WINDOW)])))
-    lowest = F.filter(F.transform("roll", lambda x, i: F.when((x < F.get("roll", i - 1)) & (x <= F.get("roll", i + 1)), (i + 1).cast("long"))),
-                      lambda x: x.isNotNull())
-    df = df.withColumn("ends", F.array_distinct(F.concat(lowest, F.array(F.size("lines").cast("long")))))
-    before = lambda i: F.coalesce(F.get("ends", i - 1), F.lit(0).cast("long"))
-    chunk = F.transform("ends", lambda e, i: F.shiftleft(before(i), 32).bitwiseOR(e - before(i)))
-    return df.withColumn("chunks", in_place(chunk)).select(*keep, "doc_id", "lines", "chunks")
+    the first line and the number of lines. Lines in no repeated passage are chunks of
+    their own."""
+    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("of"), _split(F.col(text_col)).alias("lines"))
+    return _cut_up(df.join(joints(docs, id_col, text_col), ["doc_id", "of"], "left")).select("doc_id", "lines", "chunks")
 
 
 def _lines(code: Column) -> Column:
@@ -37,20 +77,22 @@ def _lines(code: Column) -> Column:
     return F.array_join(F.slice(F.col("lines"), (F.shiftright(code, 32) + 1).cast("int"), code.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")), "\n")
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, code): multi-line chunks whose very bytes stand earlier, by id and line.
+def repeated_chunks(docs: DataFrame, at: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, of, code): multi-line chunks whose very bytes stand earlier, by id and line;
+    ``at`` are the ``joints`` of ``docs``.
 
     Chunk hashes that occur once are dropped first; the texts of the rest are grouped by
     their bytes, and all but the first occurrence of each are returned. Chunks of fewer
     than ``LEAST_LINES`` lines or of white space alone are never returned."""
-    rows = (chunked(docs, id_col, text_col).where("doc_id is not null")
-            .withColumn("code", F.explode(F.filter("chunks", lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF)) >= LEAST_LINES)))
-            .select("doc_id", "code", _lines(F.col("code")).alias("chunk")).where(F.col("chunk").rlike(r"[^\x20\x09-\x0D]"))
+    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("of"), F.col(text_col).alias("text"))
+    df = _cut_up(df.join(at, ["doc_id", "of"]).select("doc_id", "of", "at", in_place(_split(F.col("text"))).alias("lines")))
+    rows = (df.withColumn("code", F.explode(F.filter("chunks", lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF)) >= LEAST_LINES)))
+            .select("doc_id", "of", "code", _lines(F.col("code")).alias("chunk")).where(F.col("chunk").rlike(r"[^\x20\x09-\x0D]"))
             .withColumn("h", F.xxhash64("chunk")))
     often = rows.groupBy("h").agg(F.count("*").alias("often")).where("often > 1").select("h")
     texts = saved(rows.join(often, "h", "left_semi"))
     keepers = texts.groupBy("h", "chunk").agg(F.min(F.struct("doc_id", "code")).alias("keeper"))
-    return texts.join(keepers, ["h", "chunk"]).where(F.struct("doc_id", "code") != F.col("keeper")).select("doc_id", "code").distinct()
+    return texts.join(keepers, ["h", "chunk"]).where(F.struct("doc_id", "code") != F.col("keeper")).select("doc_id", "of", "code").distinct()
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -64,10 +106,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     if clash := {"n_lines", "n_removed_lines"} & set(docs.columns):
         raise ValueError(f"columns already exist: {sorted(clash)}")
-    cut = repeated_chunks(docs, id_col, text_col).groupBy("doc_id").agg(F.collect_list("code").alias("cut"))
-    every = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("doc_id"))
-    rows = every.join(cut, "doc_id", "left")
-    parts = chunked(rows.select("row", "cut", "doc_id", F.col(f"row.{text_col}").alias(text_col)), "doc_id", text_col, ("row", "cut"))
+    at = saved(joints(docs, id_col, text_col))
+    cut = repeated_chunks(docs, at, id_col, text_col).groupBy("doc_id", "of").agg(F.collect_list("code").alias("cut")).join(at, ["doc_id", "of"])
+    every = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("of"))
+    rows = every.join(cut, ["doc_id", "of"], "left").withColumn("lines", in_place(_split(F.col(f"row.{text_col}"))))
+    parts = _cut_up(rows)
     kept = F.array_except("chunks", "cut")
     text = F.when(F.col("cut").isNull(), F.col(f"row.{text_col}")).otherwise(F.array_join(F.transform(kept, _lines), "\n"))
     lost = F.aggregate(F.coalesce("cut", F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, x: a + x.bitwiseAND(F.lit(0xFFFFFFFF)))

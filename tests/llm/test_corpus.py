@@ -212,3 +212,33 @@ def test_hash_bitmap(spark):
     assert passes(table, held).all()
     assert passes(table, W.constants(200_000, 4)).mean() < 1e-4
     assert not passes(bitmap(spark.createDataFrame([], "hash bigint")), held).any()
+
+
+def test_line_dedup_short_passages(spark):
+    """Passages of 2 to 8 lines go whole, whatever stands around them and however often
+    shorter ones stand elsewhere; runs of one line too."""
+    from ferry.llm.linededup import line_dedup
+
+    r = random.Random(16)
+    line = lambda: " ".join(invented(r, 5))
+    own = lambda least=0: [line() for _ in range(r.randrange(least, 7))]
+    rows, want = [], {}
+    for k in range(350):
+        passage = [line() for _ in range(2 + k % 7)]
+        for copy in range(3):
+            before, after = own(), own()
+            rows.append((3 * k + copy, "\n".join(before + passage + after)))
+            want[3 * k + copy] = "\n".join(before + passage + after if not copy else before + after)
+    long = [line() for _ in range(7)]  # its start and its end also stand alone
+    for k, part in enumerate((long, long[:3], long[:3], long, long[5:], long[5:])):
+        before, after = own(1), own(1)
+        rows.append((2000 + k, "\n".join(before + part + after)))
+        want[2000 + k] = "\n".join(before + (long if not k else []) + after) if k != 3 else "\n".join(before + after)
+    one = line()
+    for k, n in enumerate((6, 8, 2, 20)):
+        before, after = line(), line()
+        rows.append((3000 + k, "\n".join([before] + [one] * n + [after])))
+        want[3000 + k] = "\n".join([before] + [one] * (0 if k else 2) + [after])
+    got = {g.doc_id: g for g in line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {i: g.text for i, g in got.items() if want[i]} == {i: t for i, t in want.items() if t}
+    assert all(g.n_removed_lines == g.n_lines for i, g in got.items() if not want[i])
