@@ -130,8 +130,10 @@ def merged(diagonals: DataFrame) -> DataFrame:
 
 def verified(spans: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, template, first_word, last_word, share): spans whose words, read from the
-    text, hold ``LEAST_SHARE`` of the template's words in order. A template's length of
-    words on either side is read too, for what no vote reached."""
+    text, hold ``LEAST_SHARE`` of the template's words in order. A template's length of words on
+    either side is read too, for what no vote reached: a stretch inserted anywhere, of up
+    to three quarters of that length, hides no text of which ``GRAM`` words are left in
+    a row."""
     shared = docs.sparkSession.sparkContext.broadcast(id_bitmap(spans.select("doc_id")))
     known = [_words_of(t)[1] for t, _ in PHRASES] + [_words_of(t)[1] for _, t in TEMPLATES]
 
@@ -150,7 +152,7 @@ def verified(spans: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> D
             share = []
             for t, a, b, w in zip(*(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
                 template, own = known[t], np.frombuffer(w, np.int64)
-                reach = own[max(0, a - len(template) // 4) : b + 1 + len(template) // 4].tolist()
+                reach = own[max(0, a - len(template)) : b + 1 + len(template)].tolist()
                 blocks = SequenceMatcher(None, template, reach, autojunk=False).get_matching_blocks()
                 share.append(sum(x.size for x in blocks) / len(template))
             out = batch.select([0, 1, 2, 3]).append_column("share", pa.array(share, pa.float64()))

@@ -186,6 +186,25 @@ def test_license_base_and_labels(spark, docs, no_docs):
     assert license_scan(no_docs).collect() == []
 
 
+def test_license_inserted_stretch(spark):
+    """A stretch of 3 to 20 words, at every place of each licence text, hides none of them."""
+    from ferry.llm.licenses import GRAM, TEMPLATES, license_scan
+
+    rows, want = [], []
+    for name, text in TEMPLATES:
+        words = PLAIN.findall(text.translate(LOW))
+        for size in (3, 6, 9, 14, 20):
+            if size > 0.75 * len(words):
+                continue
+            for at in range(1, len(words)):
+                if max(at, len(words) - at) >= GRAM:
+                    own = [f"own{len(rows)}x{k}" for k in range(size)]
+                    rows.append((len(rows), " ".join(["before"] * 30 + words[:at] + own + words[at:] + ["after"] * 30)))
+                    want.append(name)
+    got = by_id(license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert [(i, n) for i, n in enumerate(want) if n not in got[i].labels.split(",")] == []
+
+
 def plain_identifiers(text):
     def luhn(d):
         t = 0
