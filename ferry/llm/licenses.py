@@ -79,40 +79,41 @@ def template_rows() -> list[tuple[int, int, int, int]]:
 
 
 def word_grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_words, g2, g4): all rolling gram hashes."""
+    """(doc_id, of, n_words, g2, g4): all rolling gram hashes of each text; ``of`` is its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, bounds in text_slices(batch.column(1), 1 << 19):
+            for first, end, data, bounds in text_slices(batch.column(2), 1 << 19):
                 words = W.split(data, bounds, "plain")
                 columns = [pa.array(words.counts(), pa.int64())]
                 for size in (PHRASE_GRAM, GRAM):
                     hashes, at = W.grams(words, tuple(range(size)), salt=size)
                     columns.append(pa.ListArray.from_arrays(
                         pa.array(np.searchsorted(at, words.of), pa.int32()), pa.array(hashes.view(np.int64))))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), *columns],
-                                                 names=["doc_id", "n_words", "g2", "g4"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(first, end - first) for i in (0, 1)), *columns],
+                                                 names=["doc_id", "of", "n_words", "g2", "g4"])
 
-    return shipped(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id bigint, n_words bigint, g2 array<bigint>, g4 array<bigint>")
+    return shipped(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("of"), F.col(text_col).alias("text")).mapInArrow(
+        run, "doc_id bigint, of bigint, n_words bigint, g2 array<bigint>, g4 array<bigint>")
 
 
 def votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_words, template, diagonal, votes, first_word, last_word): every rolling
-    gram of every text joined to the template positions of equal hash, counted by
-    diagonal (document position less template position). Template -1 keeps a row of
-    each document."""
+    """(doc_id, of, n_words, template, diagonal, held, first_word, last_word): every rolling
+    gram of every text joined to the template positions of equal hash, by diagonal
+    (document position less template position). Bit i of ``held`` says that a phrase's
+    gram i stands there; rows that repeat a text set the same bits. Template -1 keeps a
+    row of each text."""
     templates = F.broadcast(docs.sparkSession.createDataFrame(template_rows(), "gram int, hash bigint, template int, pos int"))
 
     def gram(size: int, column: str):
         return F.transform(column, lambda h, i: F.struct(F.lit(size).alias("gram"), i.alias("at"), h.alias("hash")))
 
     none = F.struct(F.lit(0).alias("gram"), F.lit(-1).alias("at"), F.lit(None).cast("bigint").alias("hash"))
-    grams = word_grams(docs, id_col, text_col).select("doc_id", "n_words", F.explode(F.concat(
-        F.array(none), gram(PHRASE_GRAM, "g2"), gram(GRAM, "g4"))).alias("g")).select("doc_id", "n_words", "g.*")
+    grams = word_grams(docs, id_col, text_col).select("doc_id", "of", "n_words", F.explode(F.concat(
+        F.array(none), gram(PHRASE_GRAM, "g2"), gram(GRAM, "g4"))).alias("g")).select("doc_id", "of", "n_words", "g.*")
     hits = grams.join(templates, ["gram", "hash"], "left").where("gram = 0 or template is not null")
-    return hits.groupBy("doc_id", F.coalesce("template", F.lit(-1)).alias("template"), (F.col("at") - F.col("pos")).alias("diagonal")).agg(
-        F.max("n_words").alias("n_words"), F.count("*").alias("votes"), F.min("at").alias("first_word"),
+    return hits.groupBy("doc_id", "of", F.coalesce("template", F.lit(-1)).alias("template"), (F.col("at") - F.col("pos")).alias("diagonal")).agg(
+        F.max("n_words").alias("n_words"), F.expr("bit_or(case when gram = %d then shiftleft(1, pos) end)" % PHRASE_GRAM).alias("held"), F.min("at").alias("first_word"),
         F.max(F.col("at") + F.col("gram") - 1).alias("last_word"))
 
 
@@ -169,24 +170,24 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased.
     All rolling word grams of a text are joined to the positions of fixed phrases and
-    licence texts; hits vote for diagonals. A phrase stands where one diagonal has every
-    one of its votes: ``n_base`` places, the smallest and largest start in words, their
+    licence texts; hits vote for diagonals. A phrase stands where one diagonal of a text
+    has each of its grams: ``n_base`` places, the smallest and largest start in words, their
     ``base_labels``. For licence texts, neighbouring diagonals are merged and the spans
     verified word by word; their labels join the phrases' in ``labels``. ``score`` is the
     largest verified share of a licence text's words, at least 0.5 where a phrase stands,
     0 without either.
 
-    One row per id (rows that repeat an id are one document; null is an id whose phrases
-    count and whose licence texts don't). A null or empty text gives zeros, null
+    One row per id (rows that repeat an id are one document, in which a phrase at the same
+    word counts once; null is an id whose phrases count and whose licence texts don't). A null or empty text gives zeros, null
     positions and empty labels. Columns beside id and text are ignored; an empty table
     gives an empty result.
     """
     found = saved(votes(docs, id_col, text_col))
     need = [len(_words_of(p)[1]) - PHRASE_GRAM + 1 for p, _ in PHRASES]
-    whole = F.expr("case template " + " ".join(f"when {i} then {n}" for i, n in enumerate(need)) + " end")
+    whole = F.expr("case template " + " ".join(f"when {i} then {(1 << n) - 1}" for i, n in enumerate(need)) + " end")
     names = F.expr("case template " + " ".join(f"when {i} then '{x}'" for i, x in enumerate([x for _, x in PHRASES] + [x for x, _ in TEMPLATES])) + " end")
-    phrases = found.where((F.col("template") >= 0) & (F.col("votes") == whole)).select(
-        "doc_id", names.alias("label"), F.col("first_word").alias("place"), F.lit(0.5).alias("share"))
+    phrases = found.where((F.col("template") >= 0) & (F.col("held") == whole)).select(
+        "doc_id", names.alias("label"), F.col("first_word").alias("place"), F.lit(0.5).alias("share")).distinct()
     spans = saved(merged(found.where(F.col("template") >= len(PHRASES))).where("doc_id is not null"))
     texts = verified(spans, docs, id_col, text_col).select(
         "doc_id", names.alias("label"), F.lit(None).cast("int").alias("place"), "share")

@@ -205,6 +205,17 @@ def test_license_inserted_stretch(spark):
     assert [(i, n) for i, n in enumerate(want) if n not in got[i].labels.split(",")] == []
 
 
+def test_license_phrases_of_repeated_rows(spark):
+    from ferry.llm.licenses import license_scan
+
+    rows = [(1, "the mit license here"), (1, "the mit license here"), (2, "General Public License, apache license"), (2, "General Public License, apache license"),
+            (3, "a general public matter"), (3, "a new public license"), (None, "an mit license"), (None, "no mit license"), (None, "say mit license, apache license")]
+    got = by_id(license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    found = {i: (g.n_words, g.n_base, g.first_word, g.last_word, g.base_labels, g.score) for i, g in got.items()}
+    assert found == {1: (4, 1, 1, 1, "mit", 0.5), 2: (5, 2, 0, 3, "apache,gpl", 0.5), 3: (4, 0, None, None, "", 0.0), None: (5, 2, 1, 3, "apache,mit", 0.5)}
+    assert [got[i].labels for i in (1, 2, 3, None)] == ["mit", "apache,gpl", "", "apache,mit"]
+
+
 def plain_identifiers(text):
     def luhn(d):
         t = 0
