@@ -242,3 +242,36 @@ def test_line_dedup_short_passages(spark):
     got = {g.doc_id: g for g in line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert {i: g.text for i, g in got.items() if want[i]} == {i: t for i, t in want.items() if t}
     assert all(g.n_removed_lines == g.n_lines for i, g in got.items() if not want[i])
+
+
+def test_near_duplicates_sole_links(spark):
+    """Documents linked with one member of a family of thousands alone are found."""
+    from ferry.llm.neardup import near_duplicates
+
+    r = random.Random(26)
+    base = invented(r, 100)
+    family = []
+    for k in range(2500):
+        words = list(base)
+        words[r.randrange(10, 90)] = f"own{k}"
+        family.append(words)
+    rows = [(1000 + k, " ".join(w)) for k, w in enumerate(family)]
+    for k in range(100):  # one word of the base fewer than a link with other members allows
+        words = list(family[20 * k])
+        at = next(i for i, w in enumerate(words) if w.startswith("own"))
+        free = [i for i in (2, 8, 14, 20, 26, 32, 38, 44, 50, 56, 62, 68, 74, 80, 86, 92) if abs(i - at) > 9]
+        for i in r.sample(free, 2):
+            words[i] = f"far{k}x{i}"
+        rows.append((10_000 + k, " ".join(words) + " " + " ".join(f"end{k}x{j}" for j in range(3))))
+    got = {g.doc_id: g.component_id for g in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    links = [k for k in range(100) if linked(dict(rows)[10_000 + k], dict(rows)[1000 + 20 * k])]
+    sole = [k for k in links if sum(linked(dict(rows)[10_000 + k], " ".join(w)) for w in family[1::50]) == 0]
+    assert len(sole) >= 90
+    assert [k for k in sole if got[10_000 + k] != 1000] == []
+
+
+def linked(a, b):
+    from tests_llm_brute import shingles
+
+    x, y = shingles(a), shingles(b)
+    return 100 * len(x & y) >= 75 * len(x | y)
