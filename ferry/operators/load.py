@@ -109,6 +109,19 @@ def append_conflicts(incoming: DataFrame, existing: DataFrame, key) -> DataFrame
     return own.join(held, same, "left_semi")
 
 
+def unique_conflicts(incoming: DataFrame, existing: DataFrame, spec: TableSpec) -> list[tuple[str, str, int]]:
+    """(rule, columns, incoming rows) of the UNIQUE rules whose values, under the rule's
+    collation, the target already holds; a null part equals nothing."""
+    found = []
+    for u in spec.unique:
+        text = {f.name for f in spec.schema.fields if isinstance(f.dataType, T.StringType)}
+        parts = [F.collate(named(c), u.collation) if u.collation and c in text else named(c) for c in u.columns]
+        own, held = (df.select(*[c.alias(f"_{side}{i}") for i, c in enumerate(parts)]) for df, side in ((incoming, "u"), (existing, "k")))
+        same = reduce(lambda a, b: a & b, [own[f"_u{i}"] == held[f"_k{i}"] for i in range(len(parts))])
+        found.append(("unique", ",".join(u.columns), own.join(held, same, "left_semi").count()))
+    return [x for x in found if x[2]]
+
+
 class ParquetSink:
     """One Parquet folder per table under ``root``.
 
@@ -262,6 +275,8 @@ def load_table(spec: TableSpec, df: DataFrame, sink, mode: str, enforce: bool =
             broken = [(rule, c, seen.get[f"v{i}"]) for i, (rule, c, _) in enumerate(rules) if seen.get[f"v{i}"]]
             rows = sink.staged(staged)
             broken += key_rules(rows, spec) if enforce else []
+            if enforce and mode == "append" and spec.unique and sink.exists(name):
+                broken += unique_conflicts(rows, sink.read(name), spec)
             if broken:
                 told = ", ".join(f"{rule} of {c} ({n})" for rule, c, n in broken)
                 raise LoadError(name, f"rows break {told}", broken)
@@ -284,7 +299,7 @@ def load(spark: SparkSession, source: TableSet, manifest: Manifest, sink, tables
     """Load the selected tables (target = manifest) from ``source`` into ``sink``.
 
     ``mode`` "overwrite" replaces each table; "append" adds rows and first refuses a
-    table whose incoming keys already exist in the target. Rows that break the target's
+    table whose incoming keys, or values under a UNIQUE rule, the target already holds. Rows that break the target's
     NOT NULL, length, primary-key or UNIQUE rules refuse their table (``enforce=False``
     leaves that to the audits); foreign keys are never enforced, as parents may load later.
     Up to ``parallelism`` tables load at once as independent Spark jobs that share the

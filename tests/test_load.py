@@ -219,3 +219,18 @@ def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         shared_dir(Session())
+
+
+@pytest.mark.parametrize("collation", [None, "UNICODE_CI"])
+def test_append_refuses_unique_values_of_the_target(spark, collation):
+    from ferry.manifest import UniqueKey
+
+    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("code", T.StringType())])
+    manifest = Manifest([TableSpec("item", schema, primary_key=("id",), unique=(UniqueKey(("code",), collation),))])
+    sink = L.ParquetSink(spark, fresh_dir(spark, "t-append-unique"))
+    rows = lambda *x: {"item": spark.createDataFrame(x, "id bigint, code string")}
+    L.load(spark, rows((1, "a"), (2, None)), manifest, sink)
+    with pytest.raises(L.LoadError, match="unique of code"):
+        L.load(spark, rows((3, "A" if collation else "a")), manifest, sink, mode="append")
+    L.load(spark, rows((4, "b"), (5, None), (6, "a " if collation else "A")), manifest, sink, mode="append")
+    assert sink.read("item").count() == 5
