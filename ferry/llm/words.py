@@ -10,6 +10,8 @@ import numpy as np
 U64 = np.uint64
 #: Seed of every fixed random constant here.
 SEED = 20_011
+#: Bytes that part a text into pieces, which no phrase crosses.
+PIECE_ENDS = tuple(b".,;:!?\x0a\x0b\x0c\x0d")
 BASE = 0x9E3779B97F4A7C15 | 3  # 3 mod 4, so 1 - BASE**d keeps most bits
 
 
@@ -47,6 +49,8 @@ def _tables(kind: str) -> tuple[np.ndarray, np.ndarray]:
         member = ~((b == 0x20) | ((b >= 0x09) & (b <= 0x0D)))
     elif kind == "plain":  # [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing A-Z
         member = (b >= 0x80) | ((b >= 0x30) & (b <= 0x39)) | ((b >= 0x41) & (b <= 0x5A)) | ((b >= 0x61) & (b <= 0x7A))
+    elif kind == "pieces":  # [^\x20\x09]+ within pieces between [.,;:!?\x0A-\x0D]
+        member = ~(np.isin(b, [0x20, *PIECE_ENDS]) | (b == 0x09))
     else:
         raise ValueError(kind)
     value = constants(256)
