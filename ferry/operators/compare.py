@@ -68,7 +68,7 @@ def mismatches(j: DataFrame, common: list[str]) -> DataFrame:
     in_common = F.col("table_name").isin(list(common)) if common else F.lit(False)
     numeric = (F.col("_sv") != EMPTY) & (F.col("_tv") != EMPTY)
     se, te = F.col("_se").isNotNull(), F.col("_te").isNotNull()
-    difference = F.coalesce(abs_difference_text(F.col("_sv"), F.col("_tv")), F.lit("more than 38 digits"))
+    difference = F.coalesce(abs_difference_text(F.col("_sv"), F.col("_tv")), F.lit("more than 56 digits"))
     reason = (F.when(se & te, "source and target error").when(se, "source error").when(te, "target error")
               .when(F.col("_sv").isNull(), "missing in source")
               .when(F.col("_tv").isNull(), "missing in target")

@@ -10,18 +10,21 @@ passes through the driver. Keys are copied as they are, never regenerated.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import audit
-from ..functions.exprs import ansi_enabled, canonical_uuid, exact_cast, named
+from ..functions.exprs import ansi_enabled, named, target_value
 from ..manifest import Manifest, TableSet, TableSpec
+from ..sources.tables import data_files
 
 LOADED, NOT_FOUND, TOTAL = "LOADED", "NOT_FOUND", "TOTAL"
 REPORT_SCHEMA = "table_name string, n_rows bigint, status string"
@@ -64,14 +67,10 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     ansi = ansi_enabled(df)
 
     def cast(f) -> Column:
-        own = current[f.name]
-        if spec.logical.get(f.name) == "uuid" and isinstance(f.dataType, T.StringType):
-            return canonical_uuid(named(f.name), own)
-        if own == f.dataType:
-            return named(f.name)
-        if isinstance(own, T.BinaryType) and isinstance(f.dataType, T.StringType):
-            raise LoadError(spec.name, f"column {f.name} holds bytes, not text")
-        return exact_cast(named(f.name), own, f.dataType, ansi)
+        try:
+            return target_value(f.name, current[f.name], f.dataType, spec.logical.get(f.name), ansi)
+        except ValueError as exc:
+            raise LoadError(spec.name, str(exc)) from exc
 
     return df.select(*[cast(f).alias(f.name) for f in spec.schema.fields])
 
@@ -127,8 +126,8 @@ class ParquetSink:
 
     Every load first writes a staging folder. A replacement is then swapped in with
     file-system renames, and the previous table is moved back if that fails; an append
-    writes the staged rows with the write's own commit protocol (files appear only on
-    commit). So a failed load never leaves a half-written table or loses the previous one.
+    moves the staged files in, as a write's own commit does, and takes them out again if
+    that fails. So a failed load never leaves a half-written table or loses the previous one.
     The swap is atomic where renames are (HDFS and similar); on an object store a rename
     is a copy, so there a table format or a committer should hold the target."""
 
@@ -164,7 +163,20 @@ class ParquetSink:
         self._fs.delete(self._Path(staged), True)
 
     def append(self, staged: str, table: str) -> None:
-        self.staged(staged).write.mode("append").parquet(self.path(table))
+        """Move the staged files, whose names are unique, beside the table's: rows are
+        written once. If a move fails, those moved before go back out."""
+        final, moved = self._Path(self.path(table)), []
+        self._fs.mkdirs(final)
+        for status in self._fs.listStatus(self._Path(staged)):
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            target = self._Path(f"{self.path(table)}/{name}")
+            if not self._moved(status.getPath(), target):
+                for path in moved:
+                    self._fs.delete(path, True)
+                raise LoadError(table, f"could not move {name} into place; the table is as it was")
+            moved.append(target)
 
     def replace(self, staged: str, table: str) -> None:
         final, old = self._Path(self.path(table)), self._Path(f"{self.root}/_old/{table}-{uuid.uuid4().hex[:12]}")
@@ -253,6 +265,48 @@ class CatalogSink:
 class LoadResult:
     report: DataFrame
     counts: dict
+    skipped: tuple = ()     # tables that the ledger shows as loaded and unchanged
+
+
+class RunLedger:
+    """What was loaded from which input, by table, under ``path`` (shared by all runs).
+
+    An entry is written after its table is published, so a run after a failure loads the
+    tables that failed or were not reached, and those whose input, rules or target
+    changed. An input is known by its files' paths, sizes and times of change, the plan
+    over them and the target's spec; one that reads no files is always loaded again."""
+
+    SCHEMA = "table_name string, input string, mode string, n_rows bigint"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def input_of(self, df: DataFrame, spec: TableSpec) -> str | None:
+        files = sorted(df.inputFiles())
+        if not files:
+            return None
+        stamps = [x for f in files for x in data_files(self.spark, unquote(f))]
+        if len(stamps) != len(files):
+            return None
+        plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+        return hashlib.sha256(repr((stamps, plan, spec)).encode()).hexdigest()
+
+    def entry(self, table: str):
+        if not data_files(self.spark, f"{self.path}/{table}"):
+            return None
+        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/{table}").first()
+
+    def loaded(self, table: str, df: DataFrame, spec: TableSpec, sink, mode: str) -> int | None:
+        """The table's rows if this input was loaded and the target still holds as many."""
+        old = self.entry(table)
+        if old is None or old["mode"] != mode or old["input"] != self.input_of(df, spec) or not sink.exists(table):
+            return None
+        held = sink.read(table).count()
+        return old["n_rows"] if held == old["n_rows"] or mode == "append" and held >= old["n_rows"] else None
+
+    def record(self, table: str, key: str | None, mode: str, n: int) -> None:
+        if key is not None:
+            self.spark.createDataFrame([(table, key, mode, n)], self.SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{table}")
 
 
 def load_table(spec: TableSpec, df: DataFrame, sink, mode: str, enforce: bool = True) -> int:
@@ -295,7 +349,7 @@ def load_table(spec: TableSpec, df: DataFrame, sink, mode: str, enforce: bool =
 
 
 def load(spark: SparkSession, source: TableSet, manifest: Manifest, sink, tables=None,
-         mode: str = "overwrite", parallelism: int = 8, enforce: bool = True) -> LoadResult:
+         mode: str = "overwrite", parallelism: int = 8, enforce: bool = True, ledger: RunLedger | None = None) -> LoadResult:
     """Load the selected tables (target = manifest) from ``source`` into ``sink``.
 
     ``mode`` "overwrite" replaces each table; "append" adds rows and first refuses a
@@ -305,7 +359,7 @@ def load(spark: SparkSession, source: TableSet, manifest: Manifest, sink, tables
     Up to ``parallelism`` tables load at once as independent Spark jobs that share the
     executors. After a failure no further table is started; the first ``LoadError`` is
     raised with those of tables already under way in ``others``, and tables already
-    loaded stay."""
+    loaded stay. With a ``ledger`` the next run skips them while their input is unchanged."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
     selected, missing = select_tables(manifest.keys(), tables)
@@ -314,7 +368,14 @@ def load(spark: SparkSession, source: TableSet, manifest: Manifest, sink, tables
             raise LoadError(name, "table not found in the source")
     counts: dict[str, int] = {}
     failures: list[LoadError] = []
-    waiting, running = list(selected), {}
+    waiting, running, skipped = list(selected), {}, []
+    keys = {n: ledger.input_of(source[n], manifest[n]) for n in selected} if ledger else {}
+    for name in selected if ledger else ():
+        n = ledger.loaded(name, source[name], manifest[name], sink, mode)
+        if n is not None:
+            counts[name] = n
+            waiting.remove(name)
+            skipped.append(name)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         while running or (waiting and not failures):
             while waiting and not failures and len(running) < max(1, parallelism):
@@ -328,10 +389,12 @@ def load(spark: SparkSession, source: TableSet, manifest: Manifest, sink, tables
                     raise error
                 else:
                     counts[name] = future.result()
+                    if ledger:
+                        ledger.record(name, keys[name], mode, counts[name])
     if failures:
         failures[0].others = failures[1:]
         raise failures[0]
-    return LoadResult(load_report(spark, counts, missing), counts)
+    return LoadResult(load_report(spark, counts, missing), counts, tuple(skipped))
 
 
 def load_report(spark: SparkSession, counts: dict, missing=()) -> DataFrame:

@@ -30,7 +30,7 @@ def metric_columns(tp: TablePlan, schema=None, ansi: bool = False) -> list[tuple
             return rowcount_text()
         if m.kind == SUM:
             return exact_sum_text(m.column, m.scale, types.get(m.column), ansi)
-        return key_bound_text({LOW: F.min, HIGH: F.max}[m.kind], m.column, types.get(m.column))
+        return key_bound_text({LOW: F.min, HIGH: F.max}[m.kind], m.column, types.get(m.column), ansi)
 
     return [(m.label, value(m)) for m in tp.metrics]
 

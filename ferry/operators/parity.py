@@ -8,7 +8,9 @@ ever formed, so a duplicated (even hot) key cannot fan out into pairs, and
 partial aggregation collapses it map-side. A second, global aggregate then
 counts per column how many paired rows carry identical text.
 
-Text travels as ``text_digest`` (SHA-256), so a 100 KB document shuffles as 32 bytes.
+Both sides are first brought to the target's types, as a load brings them: a uuid key
+held as bytes or in upper case pairs with its canonical text, and a number or date that
+the target keeps as text is compared as that text. Text travels as ``text_digest`` (SHA-256), so a 100 KB document shuffles as 32 bytes.
 
 Decisions the documentation leaves open: null = null is identical, null vs
 text is not; rows on one side only are never identical; status OK needs
@@ -25,9 +27,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.exprs import named, text_digest
-from ..manifest import Manifest, TableSet
+from ..functions.exprs import ansi_enabled, canonical_json, named, target_value, text_digest
+from ..manifest import Manifest, TableSet, TableSpec
 from .compare import DIFF, OK, SKIPPED
 from .metrics import error_text, missing_columns
 
@@ -44,6 +47,21 @@ def _skipped(spark: SparkSession, table: str, columns: list[str], reason: str) -
     return spark.createDataFrame(rows, PARITY_SCHEMA)
 
 
+def conformed(df: DataFrame, columns: list[str], schema: T.StructType, logical: dict) -> DataFrame:
+    """``columns`` of one side as the target holds them, by the casts that a load applies:
+    uuids in canonical text, numbers and dates rendered where the target's column is text;
+    and JSON in its canonical form, as the target's type keeps no key order."""
+    own = {f.name: f.dataType for f in df.schema.fields}
+    to = {f.name: f.dataType for f in schema.fields}
+    ansi = ansi_enabled(df)
+
+    def value(c: str):
+        out = target_value(c, own[c], to[c], logical.get(c), ansi) if c in own and c in to else named(c)
+        return canonical_json(out) if logical.get(c) == "json" and isinstance(to.get(c), T.StringType) else out
+
+    return df.select(*[value(c).alias(c) for c in columns])
+
+
 def pair_counts(src: DataFrame, tgt: DataFrame, key: list[str], columns: list[str],
                 digest: bool = True) -> DataFrame:
     """One row: dup_keys, paired, only_source, only_target, and per text
@@ -81,12 +99,19 @@ def pair_counts(src: DataFrame, tgt: DataFrame, key: list[str], columns: list[st
 
 
 def table_parity(spark: SparkSession, table: str, src: DataFrame, tgt: DataFrame,
-                 key, columns: list[str], digest: bool = True) -> DataFrame:
-    """Lazy parity rows for one table: one per text column, or one for the key."""
+                 key, columns: list[str], digest: bool = True, spec: TableSpec | None = None,
+                 alike: int = 0) -> DataFrame:
+    """Lazy parity rows for one table: one per text column, or one for the key. Both sides
+    are compared as the target holds them: by ``spec``, else by the target's own types.
+    ``alike`` rows are known to be paired and identical and are not in the frames."""
     key = list(key or [])
     if not key:
         return _skipped(spark, table, columns or [KEY_ROW], "no primary key")
+    schema, logical = (spec.schema, spec.logical) if spec else (tgt.schema, {})
+    src, tgt = (conformed(df, [*key, *columns], schema, logical) for df in (src, tgt))
     counts = pair_counts(src, tgt, key, columns, digest)
+    if alike:
+        counts = counts.withColumns({c: F.col(c) + F.lit(alike) for c in ("paired", *[f"c{i}" for i in range(len(columns))])})
     cells = [(F.lit(c), F.col(f"c{i}")) for i, c in enumerate(columns)] or [(F.lit(KEY_ROW), F.col("paired"))]
     long = counts.select("dup_keys", "paired", "only_source", "only_target",
                          F.stack(F.lit(len(cells)), *[x for cell in cells for x in cell]).alias("column_name", "identical"))
@@ -119,12 +144,14 @@ def string_parity(spark: SparkSession, source: TableSet, target: TableSet, manif
             parts.append(_skipped(spark, n, [KEY_ROW], NO_ENTRY))
             continue
         key = keys.get(n, manifest[n].primary_key)
-        parts.append(table_parity(spark, n, source[n], target[n], key, paired_columns(manifest[n], key), digest))
+        parts.append(table_parity(spark, n, source[n], target[n], key, paired_columns(manifest[n], key), digest, manifest[n]))
     return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], PARITY_SCHEMA))
 
 
 def paired_columns(spec, key) -> list[str]:
-    return [c for c in spec.text_columns() if c not in key]
+    """Text columns outside the key, and JSON ones."""
+    held = {*spec.text_columns(), *(c for c, kind in spec.logical.items() if kind == "json")}
+    return [f.name for f in spec.schema.fields if f.name in held and isinstance(f.dataType, T.StringType) and f.name not in key]
 
 
 def parity_tables(source: TableSet, target: TableSet) -> list[str]:
@@ -142,6 +169,6 @@ def one_table_parity(spark: SparkSession, name: str, src: DataFrame, tgt: DataFr
         if lost := sorted({*missing_columns(src, needed), *missing_columns(tgt, needed)}):
             raise ValueError(f"[MISSING_COLUMN] table lacks column(s) {', '.join(lost)}")
         return [tuple(r) for r in
-                table_parity(spark, name, src, tgt, spec.primary_key, cols, digest).collect()]
+                table_parity(spark, name, src, tgt, spec.primary_key, cols, digest, spec).collect()]
     except Exception as exc:
         return [(name, c, None, None, None, None, "ERROR", error_text(exc)) for c in cols or [KEY_ROW]]

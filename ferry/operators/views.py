@@ -4,10 +4,11 @@ Views hold no data and never enter a ``TableSet``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ansi_enabled, decimal_type, strict_cast
+from .ranking import places
 
 
 def catalog_view(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
@@ -47,14 +48,25 @@ def locale_sorted(df: DataFrame, column: str, locale: str = "es") -> DataFrame:
     default: accents are secondary, ñ sorts after n). Rows are never merged
     or changed; only the order uses the collation, with the raw value as
     the tie-break. The sort is Spark's range-partitioned global sort."""
-    return df.orderBy(F.collate(F.col(column), locale), F.col(column))
+    return df.orderBy(*locale_order(column, locale))
 
 
 def locale_rank(df: DataFrame, column: str, group: Column, locale: str = "es") -> DataFrame:
     """``df`` with ``group_key`` and the row's ``place`` in its group under the locale's
-    order. Groups are ranked apart, so that no task orders everything."""
-    own = Window.partitionBy("group_key").orderBy(F.collate(F.col(column), locale), F.col(column))
-    return df.withColumn("group_key", group).withColumn("place", F.row_number().over(own))
+    order. Places come from one range partitioning of all rows (``places``), so a group
+    that holds most of them spreads over many tasks."""
+    rows = places(df.withColumn("group_key", group), locale_order(column, locale), ["group_key"])
+    return rows.withColumn("place", F.col("place") + 1).drop("overall", "group_size")
+
+
+def locale_places(df: DataFrame, column: str, locale: str = "es") -> DataFrame:
+    """``df`` with the row's ``place``, from 1, in the locale's order of all rows."""
+    rows = places(df, locale_order(column, locale))
+    return rows.withColumn("place", F.col("place") + 1).drop("overall", "group_size")
+
+
+def locale_order(column: str, locale: str) -> list[Column]:
+    return [F.collate(F.col(column), locale), F.col(column)]
 
 
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> list[str]:

@@ -51,6 +51,24 @@ def parquet_tables(spark: SparkSession, root: str, names=None) -> TableSet:
     return {n: opened(n, lambda n=n: spark.read.parquet(path(n))) for n in names}
 
 
+def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(path, size, time of change) of the data files under ``folder``, or of the file that it
+    is; paths are URIs, as Spark's file metadata has them, with ``file:/`` for local ones."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    root = Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    out, listed = [], fs.listFiles(root, True)
+    while listed.hasNext():
+        status = listed.next()
+        path = status.getPath()
+        if not path.getName().startswith(("_", ".")) and "/_" not in path.toString().removeprefix(root.toString()):
+            name = path.toUri().toString()
+            out.append(("file:/" + name.removeprefix("file:").lstrip("/") if name.startswith("file:") else name, status.getLen(), status.getModificationTime()))
+    return sorted(out)
+
+
 def catalog_tables(spark: SparkSession, database: str | None = None, names=None) -> TableSet:
     """Base tables of a catalogue database (views excluded: they hold no data)."""
     listed = spark.catalog.listTables(database) if database else spark.catalog.listTables()
@@ -98,9 +116,16 @@ def key_range(spark: SparkSession, url: str, table: str, column: str, quote: str
 
 def jdbc_table(spark: SparkSession, url: str, table: str, columns=None, *, fetchsize: int = 5000,
                partition_column: str | None = None, bounds: tuple[int, int] | None = None,
-               num_partitions: int = 8, quote: str = '"', properties: dict | None = None) -> DataFrame:
+               num_partitions: int = 8, quote: str = '"', properties: dict | None = None,
+               predicates: list[str] | None = None) -> DataFrame:
     """One database table as a DataFrame. With an integer ``partition_column`` the read is
-    split into parallel ranges; their bounds are asked of the database if not given."""
+    split into parallel ranges; their bounds are asked of the database if not given. These
+    are even in the key's values; ``predicates`` (``ranges.range_predicates``) split it
+    evenly in rows instead, for keys of any type, a task each."""
+    if predicates:
+        options = jdbc_options(url, table, columns, fetchsize=fetchsize, quote=quote)
+        what = options.pop("dbtable")
+        return spark.read.jdbc(options.pop("url"), what, predicates=predicates, properties=options | (properties or {}))
     if partition_column and bounds is None:
         bounds = key_range(spark, url, table, partition_column, quote, properties)
     options = jdbc_options(url, table, columns, fetchsize=fetchsize, partition_column=partition_column,

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from .fixtures import fixture, loadable, raw_tables, source_tables
 from .functions.exprs import guid_from_le_bytes, guid_from_text
 from .manifest import Manifest, spec_from_frame
-from .operators import audit, load as loadop, views
+from .operators import audit, damage, fingerprint, load as loadop, metric_state, subset, tree, views
 from .operators.metrics import metrics_report
 from .operators.transfer import migrate
 from .operators.parity import string_parity, table_parity
 from .operators.reconcile import Reconciliation, reconcile
 from .plans.validation import build_plan
 from .session import fresh_dir
+from .sources import ranges
 from .sources.tables import parquet_tables
 
 # Fixed values of the fixture (see FIXTURES.md).
@@ -319,6 +320,197 @@ def locale_order(spark, sf_dir):
         "word", F.col("group_key").cast("long").alias("word_length"), F.col("place").cast("long").alias("place"))
 
 
+def _keyed_by_guid(spark, sf_dir):
+    """(source, target, manifest) of orders under a uuid key that the source holds as 16
+    bytes in one table and in braces and capitals in another, with a date, a number and a
+    decimal that the target keeps as text; of every 101st order the target's text is cut."""
+    orders = raw_tables(spark, sf_dir, ["orders"])["orders"]
+    raw = F.unhex(F.md5(F.col("o_orderkey").cast("string")))
+    spelled = F.concat(F.lit("{"), F.upper(guid_from_le_bytes(raw)), F.lit("}"))
+    columns = ["guid", F.col("o_orderdate").cast("date").alias("day"), F.col("o_custkey").alias("customer"),
+               F.col("o_totalprice").cast("decimal(12,2)").alias("total"), F.col("o_orderpriority").alias("priority"), "o_orderkey"]
+    source = {"orders_bytes": orders.withColumn("guid", raw).select(*columns), "orders_spelled": orders.withColumn("guid", spelled).select(*columns)}
+    texts = {c: F.col(c).cast("string") for c in ("day", "customer", "total")}
+    sink = loadop.ParquetSink(spark, fresh_dir(spark, "guid-keys"))
+    manifest = Manifest(spec_from_frame(n, df.withColumn("guid", F.lit("")).withColumns(texts), primary_key=("guid",), logical={"guid": "uuid"})
+                        for n, df in source.items())
+    loadop.load(spark, source, manifest, sink)
+    cut = F.when(F.col("o_orderkey") % 101 == 7, F.substring("priority", 1, 2)).otherwise(F.col("priority"))
+    return source, {n: sink.read(n).withColumn("priority", cut) for n in source}, manifest
+
+
+def uuid_key_parity(spark, sf_dir):
+    """Text parity of tables that load converted: uuid keys and rendered texts pair."""
+    source, target, manifest = _keyed_by_guid(spark, sf_dir)
+    return string_parity(spark, source, target, manifest)
+
+
+def text_key_range(spark, sf_dir):
+    """Orders whose key the source holds as text and the target as an integer."""
+    s, t, m = fixture(spark, sf_dir)
+    source = s["orders"].withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    return reconcile(spark, {"orders": source}, {"orders": s["orders"]}, Manifest([m["orders"]])).table_summary
+
+
+def tree_parity(spark, sf_dir):
+    """Text parity by the digest tree: the same rows as ``string_parity``."""
+    s, t, m = fixture(spark, sf_dir)
+    return tree.tree_parity(spark, s, t, m)
+
+
+def tree_differences(spark, sf_dir):
+    """Every key that one side lacks or whose texts differ, from differing ranges only."""
+    s, t, m = fixture(spark, sf_dir)
+    return tree.tree_differences(spark, s, t, m).withColumn("columns", F.array_join("columns", ","))
+
+
+def row_fingerprints(spark, sf_dir):
+    """Whole rows and single columns of every common table, doubles and times included."""
+    s, t, m = fixture(spark, sf_dir)
+    return fingerprint.fingerprints(spark, s, t, m)
+
+
+def text_damage(spark, sf_dir):
+    """Every differing text, its class of damage and where it begins."""
+    s, t, m = fixture(spark, sf_dir)
+    return damage.text_damage(spark, s, t, m)
+
+
+def text_damage_summary(spark, sf_dir):
+    """Differing texts by table, column and class of damage."""
+    s, t, m = fixture(spark, sf_dir)
+    return damage.damage_summary(damage.text_damage(spark, s, t, m))
+
+
+def reconcile_wide_sums(spark, sf_dir):
+    """Order totals times 10 ** 20, whose sum passes 38 digits; the target's is one unit
+    more in one order."""
+    orders = raw_tables(spark, sf_dir, ["orders"])["orders"]
+    total = F.concat(F.col("o_totalprice").cast("decimal(12,2)").cast("decimal(14,2)").cast("string"), F.lit("00000000000000000000000")).cast("string")
+    wide = F.replace(total, F.lit("."), F.lit("")).cast("decimal(38,0)")
+    source = orders.select("o_orderkey", wide.alias("total"), wide.alias("same"))
+    one = F.when(F.col("o_orderkey") == 7, 1).otherwise(0).cast("decimal(38,0)")
+    target = source.withColumn("total", (F.col("total") + one).cast("decimal(38,0)"))
+    manifest = Manifest([spec_from_frame("orders", source, primary_key=("o_orderkey",))])
+    return reconcile(spark, {"orders": source}, {"orders": target}, manifest, strings=False).detail
+
+
+def locale_places(spark, sf_dir):
+    """Every distinct word of every document, with its place in the Spanish order of all."""
+    docs = source_tables(spark, sf_dir)["documents"]
+    words = docs.select(F.explode(F.split("text", WORD_SPLIT)).alias("word")).where(F.col("word") != "").distinct()
+    return views.locale_places(words, "word", "es")
+
+
+def key_ranges(spark, sf_dir):
+    """Reads of orders (integer keys, and uuids), documents and conversations (two columns)
+    split into ranges of equal depth."""
+    raw = raw_tables(spark, sf_dir, ["orders", "documents", "conversations"])
+    guids = raw["orders"].select(guid_from_le_bytes(F.unhex(F.md5(F.col("o_orderkey").cast("string")))).alias("guid"))
+    parts = [("orders", raw["orders"], ["o_orderkey"], 1000), ("orders_guid", guids, ["guid"], 700), ("documents", raw["documents"], ["doc_id"], 64),
+             ("conversations", raw["conversations"], ["conv_id", "turn"], 100)]
+
+    def shown(c):
+        return F.array_join(F.expr(f"array({', '.join(f'cast({c}.k{i} as string)' for i in range(width))})"), ",").alias(c)
+
+    out = None
+    for name, df, key, batch in parts:
+        width = len(key)
+        one = ranges.key_ranges(df, key, batch).select(F.lit(name).alias("table_name"), "ordinal", shown("low"), shown("high"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def read_by_ranges(spark, sf_dir):
+    """Orders read range by range through the predicates of their uuid key: rows a range."""
+    orders = raw_tables(spark, sf_dir, ["orders"])["orders"]
+    orders = orders.withColumn("guid", guid_from_le_bytes(F.unhex(F.md5(F.col("o_orderkey").cast("string")))))
+    predicates = ranges.range_predicates(ranges.key_ranges(orders, ["guid"], 500), ["guid"], quote="`")
+    parts = [orders.where(p).select(F.lit(i).cast("bigint").alias("ordinal"), "o_orderkey") for i, p in enumerate(predicates)]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.union(p)
+    return rows.groupBy("ordinal").agg(F.count("*").alias("n_rows"), F.sum("o_orderkey").alias("keys"))
+
+
+#: What the subset begins with.
+SUBSET_SEEDS = {"lineitem": "l_orderkey % 97 = 5 AND l_linenumber = 1", "labels": "doc_id % 10 = 3", "events": "event_id % 211 = 7"}
+
+
+def closed_subset(spark, sf_dir):
+    """Rows and orphans of a subset that is closed under the foreign keys."""
+    s, m = loadable(spark, sf_dir)
+    part = subset.closed_subset(spark, s, m, SUBSET_SEEDS)
+    rows = None
+    for n in sorted(part):
+        one = part[n].select(F.lit(n).alias("table_name"), F.xxhash64(*[F.col(c) for c in m[n].primary_key or ["l_orderkey", "l_linenumber"]]).alias("x"))
+        rows = one if rows is None else rows.unionByName(one)
+    orphans = audit.fk_audit(spark, part, Manifest([m[n] for n in part])).groupBy(F.col("child").alias("table_name")).agg(F.sum("orphans").alias("orphans"))
+    return rows.groupBy("table_name").agg(F.count("*").alias("n_rows")).join(orphans, "table_name", "left").withColumn("orphans", F.coalesce("orphans", F.lit(0)))
+
+
+def metrics_incremental(spark, sf_dir):
+    """Metrics of orders kept file by file: the report after a fifth file (the target's
+    first thousand keys) joined four, and the files that this second refresh read."""
+    s, t, m = fixture(spark, sf_dir)
+    folder, state = fresh_dir(spark, "metric-src"), metric_state.MetricState(spark, fresh_dir(spark, "metric-state"))
+    plan = [p for p in build_plan(t, m) if p.table == "orders"][0]
+    s["orders"].repartition(4).write.parquet(folder)
+    state.refresh(plan, folder)
+    t["orders"].where("o_orderkey < 1000").coalesce(1).write.mode("append").parquet(folder)
+    last = state.refresh(plan, folder)
+    return last.report.withColumn("files_read", F.lit(len(last.read)).cast("bigint")).withColumn("files_kept", F.lit(last.kept).cast("bigint"))
+
+
+def load_resumed(spark, sf_dir):
+    """A load that a bad table ended, run again with its ledger after the mend: what was
+    loaded the first time is left alone."""
+    s, m = loadable(spark, sf_dir)
+    names = ["customer", "orders", "nation"]
+    sink = loadop.ParquetSink(spark, fresh_dir(spark, "load-resumed"))
+    ledger = loadop.RunLedger(spark, fresh_dir(spark, "load-ledger"))
+    bad = dict(s, orders=s["orders"].unionByName(s["orders"].where("o_orderkey < 100")))
+    try:
+        loadop.load(spark, bad, m, sink, tables=names, parallelism=1, ledger=ledger)
+        raise AssertionError("the repeated keys were loaded")
+    except loadop.LoadError as error:
+        refused = error.table
+    result = loadop.load(spark, s, m, sink, tables=names, parallelism=1, ledger=ledger)
+    return result.report.withColumn("skipped", F.col("table_name").isin(list(result.skipped))).withColumn("refused_before", F.col("table_name") == refused)
+
+
+def stream_keyed_orders(spark, sf_dir):
+    """Orders in four files and a fifth that repeats some of their keys, copied file by
+    file with the key held: the refused rows, and the accepted rows as one."""
+    from .streaming.load import start_keyed_stream_load
+    s, t, m = fixture(spark, sf_dir)
+    raw = raw_tables(spark, sf_dir, ["orders"])["orders"]
+    src, sink, refused = (fresh_dir(spark, f"keyed-{x}") for x in ("src", "sink", "refused"))
+    ckpt = fresh_dir(spark, "keyed-ckpt")
+
+    def run():
+        start_keyed_stream_load(spark, src, m["orders"], sink, refused, ckpt, source_schema=raw.schema, max_files_per_trigger=1, available_now=True).awaitTermination()
+
+    raw.repartition(4).write.parquet(src)
+    run()
+    raw.where("o_orderkey % 50 = 3").coalesce(1).write.mode("append").parquet(src)
+    run()
+    accepted = spark.read.parquet(sink).agg(F.lit("(accepted)").alias("key"), F.lit("").alias("reason"), F.count("*").alias("n_rows"))
+    return spark.read.parquet(refused).select("key", "reason", F.col("n_rows").cast("bigint").alias("n_rows")).unionByName(accepted)
+
+
+def json_parity(spark, sf_dir):
+    """Orders with a JSON column whose keys, white space and fractions the target spells in
+    another way, and of every 101st order another value."""
+    orders = raw_tables(spark, sf_dir, ["orders"])["orders"]
+    total, key = F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.col("o_orderkey").cast("string")
+    source = orders.select("o_orderkey", F.format_string('{"k": %s, "price": {"total": %s, "list": [1.50, null]}, "p": "%s"}', key, total, "o_orderpriority").alias("doc"))
+    other = F.when(F.col("o_orderkey") % 101 == 7, "2.5").otherwise("1.5")
+    target = orders.select("o_orderkey", F.format_string('{"p":"%s","price":{"list":[%s,null],"total":%s0},"k":%s}', "o_orderpriority", other, total, key).alias("doc"))
+    manifest = Manifest([spec_from_frame("orders", source, primary_key=("o_orderkey",), logical={"doc": "json"})])
+    return string_parity(spark, {"orders": source}, {"orders": target}, manifest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_metrics": source_metrics,
     "target_metrics": target_metrics,
@@ -359,4 +551,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "not_null_audit": not_null_audit,
     "length_audit": length_audit,
     "locale_order": locale_order,
+    "uuid_key_parity": uuid_key_parity,
+    "text_key_range": text_key_range,
+    "tree_parity": tree_parity,
+    "tree_differences": tree_differences,
+    "row_fingerprints": row_fingerprints,
+    "text_damage": text_damage,
+    "text_damage_summary": text_damage_summary,
+    "reconcile_wide_sums": reconcile_wide_sums,
+    "locale_places": locale_places,
+    "key_ranges": key_ranges,
+    "read_by_ranges": read_by_ranges,
+    "closed_subset": closed_subset,
+    "metrics_incremental": metrics_incremental,
+    "load_resumed": load_resumed,
+    "stream_keyed_orders": stream_keyed_orders,
+    "json_parity": json_parity,
 }

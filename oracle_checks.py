@@ -415,6 +415,129 @@ def load_report_sql(request, available) -> str:
     return ctes() + "\n" + "\nUNION ALL ".join(rows)
 
 
+UUID_PARITY_SQL = """SELECT t.table_name, c.column_name, count(*) AS paired, CAST(0 AS BIGINT) AS only_source, CAST(0 AS BIGINT) AS only_target,
+  count(*) FILTER (WHERE c.column_name <> 'priority' OR o_orderkey % 101 <> 7 OR length(o_orderpriority) <= 2) AS identical,
+  CASE WHEN identical = paired THEN 'OK' ELSE 'DIFF' END AS status, CAST(NULL AS VARCHAR) AS reason
+FROM orders, (VALUES ('orders_bytes'), ('orders_spelled')) t(table_name), (VALUES ('day'), ('customer'), ('total'), ('priority')) c(column_name)
+GROUP BY ALL"""
+
+WIDE_SUMS_SQL = """WITH v AS (SELECT CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 100 AS HUGEINT) AS x, o_orderkey FROM orders),
+s AS (SELECT sum(x) AS x, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi, sum(o_orderkey) AS k, count(*) FILTER (WHERE o_orderkey = 7) AS one FROM v)
+SELECT 'orders' AS table_name, m AS metric, a AS source_value, b AS target_value, CASE WHEN a = b THEN 'OK' ELSE 'DIFF' END AS status FROM (
+  SELECT 'rowcount' AS m, CAST(n AS VARCHAR) AS a, a AS b FROM s
+  UNION ALL SELECT 'sum:o_orderkey', CAST(k AS VARCHAR), CAST(k AS VARCHAR) FROM s
+  UNION ALL SELECT 'sum:total', x || repeat('0', 23), x || CASE one WHEN 0 THEN repeat('0', 23) ELSE repeat('0', 22) || '1' END FROM s
+  UNION ALL SELECT 'sum:same', x || repeat('0', 23), x || repeat('0', 23) FROM s
+  UNION ALL SELECT 'pkmin:o_orderkey', CAST(lo AS VARCHAR), CAST(lo AS VARCHAR) FROM s
+  UNION ALL SELECT 'pkmax:o_orderkey', CAST(hi AS VARCHAR), CAST(hi AS VARCHAR) FROM s)"""
+
+
+def differences_sql() -> str:
+    """Keys that one side lacks or whose texts differ."""
+    parts = []
+    for n in COMMON:
+        key = RULES.get(n, {}).get("primary_key", ())
+        if not key:
+            continue
+        shown = " || ',' || ".join(f"CAST({k} AS VARCHAR)" for k in key)
+        names = ", ".join(f"CASE WHEN s.{c} IS DISTINCT FROM t.{c} THEN '{c}' END" for c in text_columns(n, key)) or "NULL"
+        parts.append(f"""SELECT '{n}' AS table_name, {shown} AS key, CASE WHEN t._p IS NULL THEN 'only_source' WHEN s._p IS NULL THEN 'only_target' ELSE 'differs' END AS state,
+  CASE WHEN s._p = 1 AND t._p = 1 THEN concat_ws(',', {names}) ELSE '' END AS columns
+FROM (SELECT *, 1 AS _p FROM s_{n}) s FULL OUTER JOIN (SELECT *, 1 AS _p FROM t_{n}) t USING ({', '.join(key)})
+WHERE t._p IS NULL OR s._p IS NULL OR concat_ws(',', {names}) <> ''""")
+    return ctes() + "\n" + "\nUNION ALL ".join(parts)
+
+
+def fingerprint_sql() -> str:
+    """Whole rows, and each column beside the key, compared as multisets."""
+    parts = []
+    for n in COMMON:
+        key = list(RULES.get(n, {}).get("primary_key", ()))
+        columns = [c for c, _ in raw_schemas()[n]]
+        for label, names in [("(row)", columns), *[(c, [*key, c]) for c in columns if c not in key]]:
+            cols = ", ".join(names)
+            parts.append(f"""SELECT '{n}' AS table_name, '{label}' AS column_name, (SELECT count(*) FROM s_{n}) AS source_rows, (SELECT count(*) FROM t_{n}) AS target_rows,
+  CASE WHEN EXISTS (SELECT {cols} FROM s_{n} EXCEPT ALL SELECT {cols} FROM t_{n}) OR EXISTS (SELECT {cols} FROM t_{n} EXCEPT ALL SELECT {cols} FROM s_{n})
+  THEN 'DIFF' ELSE 'OK' END AS status""")
+    return ctes() + "\n" + "\nUNION ALL ".join(parts)
+
+
+def damage_sql(final: str) -> str:
+    """Differing texts of paired keys. The seeded double encoding is of one letter, so
+    undoing it is one replacement."""
+    parts = []
+    for n in COMMON:
+        key = RULES.get(n, {}).get("primary_key", ())
+        shown = " || ',' || ".join(f"CAST({k} AS VARCHAR)" for k in key)
+        for c in text_columns(n, key) if key else []:
+            on = " AND ".join(f"s.{k} = t.{k}" for k in key)
+            parts.append(f"SELECT '{n}' AS table_name, {shown.replace('CAST(', 'CAST(s.')} AS key, '{c}' AS column_name, s.{c} AS s, t.{c} AS t FROM s_{n} s JOIN t_{n} t ON {on} WHERE s.{c} IS DISTINCT FROM t.{c}")
+    char = "CASE WHEN position <= len({0}) THEN 'U+' || printf('%04X', unicode({0}[position])) END"
+    return ctes() + ",\npairs AS (" + "\nUNION ALL ".join(parts) + """),
+split AS (SELECT *, string_split(s, '') AS a, string_split(t, '') AS b FROM pairs),
+placed AS (SELECT *, CASE WHEN s IS NOT NULL AND t IS NOT NULL THEN coalesce(list_min(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[i] <> b[i])), least(len(a), len(b)) + 1) END AS position FROM split),
+damaged AS (SELECT table_name, key, column_name,
+  CASE WHEN t IS NULL THEN 'nulled' WHEN s IS NULL THEN 'filled' WHEN replace(t, 'Ã©', 'é') = s THEN 'double_encoded' WHEN starts_with(s, t) THEN 'truncated' ELSE 'other' END AS damage,
+  position, """ + char.format("a") + " AS source_char, " + char.format("b") + " AS target_char FROM placed)\n" + final
+
+
+def ranges_sql() -> str:
+    guid = GUID_SQL
+    parts = []
+    for name, table, key, batch in (("orders", "orders", ["o_orderkey"], 1000), ("orders_guid", f"({guid})", ["guid"], 700),
+                                    ("documents", "documents", ["doc_id"], 64), ("conversations", "conversations", ["conv_id", "turn"], 100)):
+        k = ", ".join(key)
+        shown = " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in key)
+        parts.append(f"""SELECT '{name}' AS table_name, ordinal, arg_min(shown, place) AS low, arg_max(shown, place) AS high, count(*) AS n_rows
+FROM (SELECT {shown} AS shown, place, place // {batch} AS ordinal FROM (SELECT {k}, row_number() OVER (ORDER BY {k}) - 1 AS place FROM {table})) GROUP BY ordinal""")
+    return "\nUNION ALL ".join(parts)
+
+
+BY_RANGES_SQL = f"""SELECT place // 500 AS ordinal, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY guid) - 1 AS place FROM ({GUID_SQL})) GROUP BY 1"""
+
+
+def subset_sql() -> str:
+    """The closed subset by recursion over (table, key) pairs."""
+    edges, nodes = [], []
+    for n in ALL_TABLES:
+        rules = RULES.get(n, {})
+        own = rules.get("primary_key")
+        own = "CAST(" + " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in own) + " AS VARCHAR)" if own else "CAST(l_orderkey || ',' || l_linenumber AS VARCHAR)"
+        for fk in rules.get("foreign_keys", ()):
+            if fk.parent == "lineitem":
+                continue
+            edges.append(f"SELECT '{n}' AS child, {own} AS child_key, '{fk.parent}' AS parent, CAST({fk.columns[0]} AS VARCHAR) AS parent_key FROM {n}")
+    from ferry.suite import SUBSET_SEEDS
+    for n, where in SUBSET_SEEDS.items():
+        own = RULES.get(n, {}).get("primary_key") or ("l_orderkey", "l_linenumber")
+        nodes.append(f"SELECT '{n}' AS t, CAST({' || chr(44) || '.join(f'CAST({c} AS VARCHAR)' for c in own)} AS VARCHAR) AS k FROM {n} WHERE {where}")
+    seeds = "\nUNION ALL ".join(nodes)
+    return f"""WITH RECURSIVE edge AS ({" UNION ALL ".join(edges)}),
+lines AS (SELECT count(*) AS n FROM lineitem WHERE {SUBSET_SEEDS['lineitem']}),
+reached(t, k) AS (SELECT DISTINCT t, k FROM ({seeds})
+  UNION SELECT e.parent, e.parent_key FROM reached r JOIN edge e ON e.child = r.t AND e.child_key = r.k)
+SELECT t AS table_name, CASE t WHEN 'lineitem' THEN (SELECT n FROM lines) ELSE count(*) END AS n_rows, CAST(0 AS BIGINT) AS orphans FROM reached GROUP BY t"""
+
+
+def incremental_sql() -> str:
+    d = "DECIMAL(38,2)"
+    return ctes() + f""", every AS (SELECT * FROM s_orders UNION ALL SELECT * FROM t_orders WHERE o_orderkey < 1000)
+SELECT 'orders' AS table_name, metric, value, CAST(1 AS BIGINT) AS files_read, CAST(4 AS BIGINT) AS files_kept FROM (
+""" + "\nUNION ALL ".join(
+        f"SELECT '{m}' AS metric, " + ("CAST(count(*) AS VARCHAR)" if m == "rowcount" else
+                                       f"CAST(sum(CAST({c} AS DECIMAL(38,{k}))) AS VARCHAR)" if m.startswith("sum") else
+                                       f"CAST({'min' if m.startswith('pkmin') else 'max'}({c}) AS VARCHAR)") + " AS value FROM every"
+        for n, m, c, k in plan(["orders"])) + ")"
+
+
+RESUMED_SQL = """SELECT table_name, n_rows, status, table_name = 'customer' OR table_name = 'nation' AS skipped, table_name = 'orders' AS refused_before FROM (
+  SELECT 'customer' AS table_name, count(*) AS n_rows, 'LOADED' AS status FROM customer
+  UNION ALL SELECT 'nation', count(*), 'LOADED' FROM nation
+  UNION ALL SELECT 'orders', count(*), 'LOADED' FROM orders
+  UNION ALL SELECT '(total)', (SELECT count(*) FROM customer) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM orders), 'TOTAL')"""
+
+
 def oracle_sql() -> dict[str, str]:
     cte = ctes()
     customer_cols = ", ".join(c for c, _ in raw_schemas()["customer"])
@@ -463,6 +586,25 @@ SELECT c.c_custkey, c.c_name, count(o.o_orderkey) AS order_count,
 FROM s_customer c LEFT JOIN t_orders o
   ON o.o_custkey = c.c_custkey
 GROUP BY c.c_custkey, c.c_name""",
+        "uuid_key_parity": UUID_PARITY_SQL,
+        "text_key_range": reconcile_sql("SELECT * FROM summary", identical=True, tables=["orders"]),
+        "tree_parity": cte + ",\n" + parity_body() + "\nSELECT * FROM parity",
+        "tree_differences": differences_sql(),
+        "row_fingerprints": fingerprint_sql(),
+        "text_damage": damage_sql("SELECT * FROM damaged"),
+        "text_damage_summary": damage_sql("SELECT table_name, column_name, damage, count(*) AS n_rows, min(position) AS first_position FROM damaged GROUP BY ALL"),
+        "reconcile_wide_sums": WIDE_SUMS_SQL,
+        "locale_places": ("SELECT word, row_number() OVER (ORDER BY word COLLATE es, word) AS place FROM (SELECT DISTINCT word FROM (SELECT "
+                          "unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents) WHERE word <> '')"),
+        "key_ranges": ranges_sql(),
+        "read_by_ranges": BY_RANGES_SQL,
+        "closed_subset": subset_sql(),
+        "metrics_incremental": incremental_sql(),
+        "load_resumed": RESUMED_SQL,
+        "stream_keyed_orders": ("SELECT CAST(o_orderkey AS VARCHAR) AS key, 'earlier batch' AS reason, CAST(1 AS BIGINT) AS n_rows FROM orders WHERE o_orderkey % 50 = 3 "
+                                "UNION ALL SELECT '(accepted)', '', count(*) FROM orders"),
+        "json_parity": ("SELECT 'orders' AS table_name, 'doc' AS column_name, count(*) AS paired, CAST(0 AS BIGINT) AS only_source, CAST(0 AS BIGINT) AS only_target, "
+                        "count(*) FILTER (WHERE o_orderkey % 101 <> 7) AS identical, 'DIFF' AS status, CAST(NULL AS VARCHAR) AS reason FROM orders"),
         "pk_audit": pk_audit_sql(),
         "unique_audit": unique_sql(None),
         "unique_ci_audit": unique_sql("UNICODE_CI"),
