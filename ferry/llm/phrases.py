@@ -22,7 +22,7 @@ HOT, HOT_SHIFT = 1 << 16, 20
 #: Buckets that suffixes are routed to: at least so many, and one for so many words.
 BUCKETS, BUCKET_WORDS = 1024, 1 << 18
 #: Bytes of text whose suffixes are combined before they are sent.
-SEND_BYTES = 4 << 20
+SEND_BYTES = 2 << 20
 DEAL = 8
 UNKNOWN = "und"
 
@@ -221,27 +221,14 @@ def sorted_counts(words: np.ndarray, weight: np.ndarray, depth: np.ndarray, leas
 
 
 def phrase_counts(routed_rows: DataFrame, least: int) -> DataFrame:
-    """(words, a): the frequent phrases of every bucket of ``routed``."""
-    rows = routed_rows.repartition("bucket").sortWithinPartitions("bucket")
+    """(words, a): the frequent phrases of every bucket of ``routed``, a bucket at a time."""
 
-    def solved(parts: list[bytes]) -> pa.RecordBatch:
-        table = np.concatenate([np.frombuffer(x, np.int64).reshape(DEPTH + 1, -1) for x in parts], axis=1)
-        parts.clear()
+    def solved(bucket: pa.Table) -> pa.Table:
+        table = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(DEPTH + 1, -1) for x in bucket.column("suffixes")], axis=1)
         found = list(sorted_counts(table[:DEPTH].view(W.U64), table[DEPTH] >> 8, table[DEPTH] & 255, least))
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.int64())], names=["words", "a"])
+        return pa.table({"words": pa.array([x for x, _ in found], pa.list_(pa.int64())), "a": pa.array([n for _, n in found], pa.int64())})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts = None, []
-        for batch in batches:
-            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if bucket != now and parts:
-                    yield solved(parts)
-                now = bucket
-                parts.append(blob)
-        if parts:
-            yield solved(parts)
-
-    return rows.mapInArrow(run, "words array<bigint>, a bigint")
+    return routed_rows.groupBy("bucket").applyInArrow(solved, "words array<bigint>, a bigint")
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
