@@ -16,11 +16,12 @@ from ferry.llm.filters import bitmap, passes
 
 #: Words of the longest phrase, which is the greatest depth of the sort.
 DEPTH = 5
-#: A prefix of more occurrences is hot, and so is one that a 2**20th of all words begin;
-#: so at most 2**20 prefixes of each length are hot, whatever the input.
-HOT, HOT_SHIFT = 1 << 16, 20
+#: A prefix is hot that begins a 1,024th of all words, or this many: so many words' suffixes
+#: fit a task's memory. So at most 1,024 prefixes of each length are hot, and of a larger
+#: input one for so many words.
+HOT_SHIFT, HOT_MOST = 10, 1 << 23
 #: Buckets that suffixes are routed to: at least so many, and one for so many words.
-BUCKETS, BUCKET_WORDS = 1024, 1 << 18
+BUCKETS, BUCKET_WORDS = 256, 1 << 18
 #: Bytes of text whose suffixes are combined before they are sent.
 SEND_BYTES = 2 << 20
 DEAL = 8
@@ -152,14 +153,33 @@ def hot_prefixes(texts: DataFrame, hot_words: list[int], bound: int) -> dict[tup
     return {tuple(x.words): x.n for x in rows.collect()}
 
 
+def packed(words: np.ndarray, n: np.ndarray, depth: np.ndarray) -> bytes:
+    """Suffixes (depth, n), zero beyond their ends, with their numbers and the lengths of
+    their routing prefixes: their distinct words once, then small places among these."""
+    distinct, place = np.unique(words, return_inverse=True)
+    kind = np.uint16 if len(distinct) <= 1 << 16 else np.uint32
+    head = np.array([words.shape[1], len(distinct)], np.int64)
+    return b"".join(x.tobytes() for x in (head, distinct, place.reshape(words.shape).astype(kind), n.astype(np.uint32), depth.astype(np.uint8)))
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What was ``packed``."""
+    size, held = np.frombuffer(data, np.int64, 2).tolist()
+    distinct = np.frombuffer(data, W.U64, held, 16)
+    kind = np.dtype(np.uint16 if held <= 1 << 16 else np.uint32)
+    at = 16 + 8 * held
+    place = np.frombuffer(data, kind, DEPTH * size, at).reshape(DEPTH, size)
+    at += kind.itemsize * DEPTH * size
+    return distinct[place], np.frombuffer(data, np.uint32, size, at).astype(np.int64), np.frombuffer(data, np.uint8, size, at + 4 * size)
+
+
 def routed(texts: DataFrame, frequent: np.ndarray, hot: Prefixes, buckets: int) -> DataFrame:
     """(bucket, suffixes): suffix pointers with the words they lead to, by leading words.
 
     A suffix is cut before the first word that is too rare. It is routed by its first word,
     or by the fewest leading words that are no hot prefix; one that is hot in full is left
     out, as all its prefixes are counted. Equal suffixes of a slice are sent once, with
-    their number. ``suffixes`` holds for each of them the words, zero beyond the end, and
-    number << 8 | length of its routing prefix, as columns of 64-bit integers."""
+    their number (``packed``)."""
     spark = texts.sparkSession
     common, prefixes = spark.sparkContext.broadcast(frequent), spark.sparkContext.broadcast(hot)
 
@@ -182,10 +202,9 @@ def routed(texts: DataFrame, frequent: np.ndarray, hot: Prefixes, buckets: int)
             bucket = (route % W.U64(buckets)).astype(np.int64)
             keep = np.flatnonzero(depth <= length)
             order = keep[np.lexsort((words[1, keep], words[0, keep], bucket[keep]))]
-            rows = np.vstack([words[:, order].view(np.int64), (n[order] << 8 | depth[order])[None]])
-            own = bucket[order]
+            words, n, depth, own = words[:, order], n[order], depth[order], bucket[order]
             cuts = np.flatnonzero(np.diff(own, prepend=-1, append=buckets + 1))
-            parts = [np.ascontiguousarray(rows[:, i:j]).tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+            parts = [packed(words[:, i:j], n[i:j], depth[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(own[cuts[:-1]]), pa.array(parts, pa.binary())], names=["bucket", "suffixes"])
 
     return texts.mapInArrow(run, "bucket bigint, suffixes binary")
@@ -224,8 +243,9 @@ def phrase_counts(routed_rows: DataFrame, least: int) -> DataFrame:
     """(words, a): the frequent phrases of every bucket of ``routed``, a bucket at a time."""
 
     def solved(bucket: pa.Table) -> pa.Table:
-        table = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(DEPTH + 1, -1) for x in bucket.column("suffixes")], axis=1)
-        found = list(sorted_counts(table[:DEPTH].view(W.U64), table[DEPTH] >> 8, table[DEPTH] & 255, least))
+        parts = [unpacked(x.as_py()) for x in bucket.column("suffixes")]
+        words, n, depth = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
+        found = list(sorted_counts(words, n, depth, least))
         return pa.table({"words": pa.array([x for x, _ in found], pa.list_(pa.int64())), "a": pa.array([n for _, n in found], pa.int64())})
 
     return routed_rows.groupBy("bucket").applyInArrow(solved, "words array<bigint>, a bigint")
@@ -256,7 +276,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, text_col: s
     totals = saved(known.groupBy("lang").agg(F.sum("n").alias("n")))
     every = totals.agg(F.sum("n")).first()[0] or 0
     common = saved(known.where(F.col("n") >= least))
-    bound = max(HOT, least, every >> HOT_SHIFT)
+    bound = max(least, min(every >> HOT_SHIFT, HOT_MOST))
     hot_words = [x.key for x in common.where(F.col("n") >= bound).select("key").collect()]
     hot = hot_prefixes(texts, hot_words, bound)
     suffixes = routed(texts, bitmap(common.select(F.col("key").alias("hash"))), Prefixes([(x,) for x in hot_words] + list(hot)),

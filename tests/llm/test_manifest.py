@@ -141,12 +141,12 @@ def brute_phrases(rows, least, top):
                   for i, (s, a, p, l, r) in enumerate(sorted(x)[:top]))
 
 
-@pytest.mark.parametrize("hot", [40, 1 << 16])
+@pytest.mark.parametrize("hot", [40, 1 << 23])
 def test_phrases_match_brute_force(spark, edge_rows, no_docs, hot, monkeypatch):
     """With hot prefixes of every length, and without."""
     from ferry.llm import phrases
 
-    monkeypatch.setattr(phrases, "HOT", hot)
+    monkeypatch.setattr(phrases, "HOT_MOST", hot)
     r = random.Random(8)
     words = ["red", "Green", "blue", "ünder", "of", "the", "end", "x\x0by", " "]
     rows = [("en" if k % 3 else None, t) for k, (_, t) in enumerate(edge_rows)]
@@ -160,6 +160,17 @@ def test_phrases_match_brute_force(spark, edge_rows, no_docs, hot, monkeypatch):
     assert phrases.collocations(no_docs).collect() == []
 
 
+def test_packed_suffixes_come_back():
+    from ferry.llm.phrases import packed, unpacked
+
+    r = np.random.default_rng(7)
+    for n, kinds in ((1, 1), (500, 40), (40_000, 10**9)):
+        words = r.integers(0, kinds + 1, (5, n)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        number, depth = r.integers(1, 1 << 32, n), r.integers(1, 6, n)
+        got = unpacked(packed(words, number, depth))
+        assert (got[0] == words).all() and (got[1] == number).all() and (got[2] == depth).all()
+
+
 def test_abandoned_parts_never_hold_a_frequent_phrase():
     from ferry.llm.phrases import combined, sorted_counts
 
