@@ -1,4 +1,4 @@
-"""Line dedup: globally repeated multi-line chunks with bounds set by what repeats."""
+"""Line dedup: globally repeated multi-line chunks, found by rolling hashes over line hashes."""
 
 from __future__ import annotations
 
@@ -7,92 +7,64 @@ from pyspark.sql import functions as F
 
 from ferry.llm.common import in_place, saved
 
-#: Lines that a chunk needs to be removed.
-LEAST_LINES = 2
+#: Lines that the rolling hash spans, which is the smallest chunk that can go.
+WINDOW = 2
+#: Parts in which the rows of a common window meet what is known of it.
+DEAL = 16
 
 
 def _split(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def joints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, of, at): for each text (``of`` is its hash) the line counts after which a
-    chunk goes on. Texts of lone lines have no row.
+def _dealt(df: DataFrame, *by: str) -> DataFrame:
+    return df.withColumn("deal", F.pmod(F.xxhash64(*by), F.lit(DEAL)).cast("int"))
 
-    A window is two neighbouring lines. One that occurs once parts its lines. Of a
-    repeated one it is known whether always the same window stands before and after it.
-    Where two repeated windows follow each other and the first is elsewhere followed by
-    another, the second parts its lines; else, if the second elsewhere follows another,
-    the first does. That depends on the windows alone, so a passage is cut alike wherever
-    it stands, whatever its length and surroundings."""
+
+def _to_all(df: DataFrame) -> DataFrame:
+    return df.withColumn("deal", F.explode(F.expr(f"sequence(0, {DEAL - 1})")))
+
+
+def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, of, h, at): the rolling hash of every ``WINDOW`` lines in a row and the first
+    of them; ``of`` is the text's hash. A hash depends on its own lines alone, so what is
+    inserted elsewhere, or in another text, moves nothing."""
     df = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("of"), in_place(F.transform(_split(F.col(text_col)), lambda x: F.xxhash64(x))).alias("lines"))
-    pairs = F.transform("lines", lambda x, i: F.xxhash64(x, F.get("lines", i + 1)))
-    df = df.where(F.size("lines") > 1).withColumn("pairs", in_place(F.slice(pairs, F.lit(1), F.size("lines") - 1)))
-    rows = df.select("doc_id", "of", F.explode(F.transform("pairs", lambda h, i: F.struct(
-        h.alias("h"), (i + 1).alias("end"), F.coalesce(F.get("pairs", i - 1), F.lit(0)).alias("before"), F.coalesce(F.get("pairs", i + 1), F.lit(0)).alias("after"),
-        (F.get("lines", i) == F.get("lines", i + 1)).alias("same")))).alias("w")).select("doc_id", "of", "w.*")
-    often = saved(rows.groupBy("h").agg(
-        F.count("*").alias("n"), (F.min("before") != F.max("before")).alias("begins"), (F.min("after") != F.max("after")).alias("ends"),
-        F.first("same").alias("same")).where("n > 1").drop("n"))
-    rows = saved(rows.drop("before", "same").join(often, "h"))
-    follow = often.select(F.col("h").alias("after"), F.col("begins").alias("begins2"), F.col("same").alias("same2"))
-    # windows of one line twice are left to the runs of equal lines
-    parts = rows.select("h", "after", "ends", "same").distinct().join(follow, "after").select(
-        F.when(F.col("ends"), F.when(~F.col("same2"), F.col("after"))).when(F.col("begins2") & ~F.col("same"), F.col("h")).alias("h")).dropna().distinct()
-    return rows.join(parts, "h", "left_anti").groupBy("doc_id", "of").agg(F.collect_set("end").alias("at"))
-
-
-def _chunks() -> tuple[Column, ...]:
-    """Starts of runs of equal lines of ``lines``, cuts in runs of four and more (into twos,
-    an odd last line goes to the two before), ends and codes of the chunks, which go on
-    after ``at`` lines elsewhere; each from those before it."""
-    starts = F.filter(F.transform("lines", lambda x, i: F.when((i == 0) | (x != F.get("lines", i - 1)), i)), lambda i: i.isNotNull())
-    run = lambda s, k: F.coalesce(F.get("starts", k + 1), F.size("lines")) - s
-    twos = F.flatten(F.transform("starts", lambda s, k: F.when(run(s, k) >= 4, F.sequence(s + 2, s + run(s, k) - 2, F.lit(2))).otherwise(F.array().cast("array<int>"))))
-    ends = F.array_except(F.sequence(F.lit(1), F.size("lines")), F.array_except(F.coalesce("at", F.array().cast("array<int>")), F.col("twos")))
-    before = lambda i: F.coalesce(F.get("ends", i - 1), F.lit(0)).cast("long")
-    chunk = F.transform("ends", lambda e, i: F.shiftleft(before(i), 32).bitwiseOR(e.cast("long") - before(i)))
-    return starts, twos, ends, chunk
-
-
-def _cut_up(df: DataFrame) -> DataFrame:
-    """``df`` with ``chunks`` from ``lines`` and ``at``."""
-    names = df.columns
-    for name, value in zip(("starts", "twos", "ends", "chunks"), _chunks(), strict=True):
-        df = df.withColumn(name, in_place(value))
-    return df.select(*names, "chunks")
-
-
-def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, lines, chunks): each text's lines, and its chunks as ``first << 32 | n``,
-    the first line and the number of lines. Lines in no repeated passage are chunks of
-    their own."""
-    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("of"), _split(F.col(text_col)).alias("lines"))
-    return _cut_up(df.join(joints(docs, id_col, text_col), ["doc_id", "of"], "left")).select("doc_id", "lines", "chunks")
-
-
-def _lines(code: Column) -> Column:
-    """The text of the chunk ``code`` of ``lines``."""
-    return F.array_join(F.slice(F.col("lines"), (F.shiftright(code, 32) + 1).cast("int"), code.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")), "\n")
-
-
-def repeated_chunks(docs: DataFrame, at: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, of, code): multi-line chunks whose very bytes stand earlier, by id and line;
-    ``at`` are the ``joints`` of ``docs``.
-
-    Chunk hashes that occur once are dropped first; the texts of the rest are grouped by
-    their bytes, and all but the first occurrence of each are returned. Chunks of fewer
-    than ``LEAST_LINES`` lines or of white space alone are never returned."""
+    rolled = F.transform("lines", lambda x, i: F.xxhash64(x, *[F.get("lines", i + k) for k in range(1, WINDOW)]))
+    return df.where(F.size("lines") >= WINDOW).select("doc_id", "of", F.posexplode(F.slice(rolled, F.lit(1), F.size("lines") - (WINDOW - 1))).alias("at", "h"))
+
+
+def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, of, at, first): windows whose very bytes stand elsewhere too, and whether this
+    is the first place by id and line, which keeps them.
+
+    Hashes that occur once are dropped first; the texts of the rest are grouped by their
+    bytes. A window that holds much of all lines is counted where it stands, and what is
+    known of it meets its rows in ``DEAL`` parts. White space alone is never repeated."""
+    rows = windows(docs, id_col, text_col)
+    often = saved(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    hit = _dealt(rows, "doc_id", "at").join(_to_all(often), ["h", "deal"], "left_semi").groupBy("doc_id", "of").agg(F.collect_set("at").alias("places"))
     df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("of"), F.col(text_col).alias("text"))
-    df = _cut_up(df.join(at, ["doc_id", "of"]).select("doc_id", "of", "at", in_place(_split(F.col("text"))).alias("lines")))
-    rows = (df.withColumn("code", F.explode(F.filter("chunks", lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF)) >= LEAST_LINES)))
-            .select("doc_id", "of", "code", _lines(F.col("code")).alias("chunk")).where(F.col("chunk").rlike(r"[^\x20\x09-\x0D]"))
-            .withColumn("h", F.xxhash64("chunk")))
-    often = rows.groupBy("h").agg(F.count("*").alias("often")).where("often > 1").select("h")
-    texts = saved(rows.join(often, "h", "left_semi"))
-    keepers = texts.groupBy("h", "chunk").agg(F.min(F.struct("doc_id", "code")).alias("keeper"))
-    return texts.join(keepers, ["h", "chunk"]).where(F.struct("doc_id", "code") != F.col("keeper")).select("doc_id", "of", "code").distinct()
+    df = df.join(hit, ["doc_id", "of"]).select("doc_id", "of", "places", in_place(_split(F.col("text"))).alias("lines"))
+    texts = df.select("doc_id", "of", F.explode(F.transform("places", lambda i: F.struct(
+        i.alias("at"), F.array_join(F.slice("lines", i + 1, F.lit(WINDOW)), "\n").alias("chunk")))).alias("w")).select("doc_id", "of", "w.*")
+    texts = saved(texts.where(F.col("chunk").rlike(r"[^\x20\x09-\x0D]")).distinct())
+    keepers = texts.groupBy("chunk").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "of")).alias("keeper")).where("n > 1").drop("n")
+    return _dealt(texts, "doc_id", "at").join(_to_all(keepers), ["chunk", "deal"]).select(
+        "doc_id", "of", "at", (F.struct("doc_id", "at", "of") == F.col("keeper")).alias("first"))
+
+
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, of, cut): the lines of each text that go. Windows that follow or overlap one
+    another make up a chunk; its bounds are where a window stops repeating. A line goes
+    that is in a window whose first place is elsewhere, and in none whose first place this is."""
+    def lines(of: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(of, lambda i: F.sequence(i, i + (WINDOW - 1)))))
+
+    per_text = repeated_windows(docs, id_col, text_col).groupBy("doc_id", "of").agg(
+        F.collect_list(F.when(~F.col("first"), F.col("at"))).alias("again"), F.collect_list(F.when(F.col("first"), F.col("at"))).alias("here"))
+    return per_text.select("doc_id", "of", F.array_except(lines(F.col("again")), lines(F.col("here"))).alias("cut")).where(F.size("cut") > 0)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,18 +73,18 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Of equal chunks the one in the smallest id stays, there the first. A text without
     repeated chunks stays as it is, null included. Rows with a null id stay as they are
-    and are no one's copy; rows that repeat an id are one document and lose the same
-    lines. An empty table gives none. Columns named like the added ones raise.
+    and are no one's copy; equal rows are one document, rows of one id with different
+    texts are ordered by the line. An empty table gives none. Columns named like the added
+    ones raise.
     """
     if clash := {"n_lines", "n_removed_lines"} & set(docs.columns):
         raise ValueError(f"columns already exist: {sorted(clash)}")
-    at = saved(joints(docs, id_col, text_col))
-    cut = repeated_chunks(docs, at, id_col, text_col).groupBy("doc_id", "of").agg(F.collect_list("code").alias("cut")).join(at, ["doc_id", "of"])
+    cut = repeated_lines(docs, id_col, text_col)
     every = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("of"))
     rows = every.join(cut, ["doc_id", "of"], "left").withColumn("lines", in_place(_split(F.col(f"row.{text_col}"))))
-    parts = _cut_up(rows)
-    kept = F.array_except("chunks", "cut")
-    text = F.when(F.col("cut").isNull(), F.col(f"row.{text_col}")).otherwise(F.array_join(F.transform(kept, _lines), "\n"))
-    lost = F.aggregate(F.coalesce("cut", F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, x: a + x.bitwiseAND(F.lit(0xFFFFFFFF)))
-    return parts.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns],
-                        F.size("lines").cast("long").alias("n_lines"), lost.alias("n_removed_lines"))
+    rows = rows.withColumn("gone", in_place(F.coalesce("cut", F.array().cast("array<int>"))))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.transform(left, lambda i: F.get("lines", i))
+    text = F.when(F.col("cut").isNull(), F.col("row")[text_col]).otherwise(F.array_join(kept, "\n"))
+    return rows.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns],
+                       F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed_lines"))
