@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
+import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,39 +20,17 @@ from ferry.llm.common import shipped, text_slices
 #: Bytes of texts that are handled at once, and bytes of words that one recursive query
 #: takes; a longer text or word goes alone.
 TEXT_BYTES, QUERY_BYTES = 4 << 20, 1 << 20
-#: Words of more bytes are long.
-LONG_WORD = 256
 #: Pieces whose ids a worker remembers between batches: a bound on memory, not on results.
 REMEMBERED = 300_000
 
-# Token-position rows join the merge table on (token, next token). Per word the pair of
-# least rank, and of those the leftmost, is contracted; rows of words without a pair
-# leave the recursion. Ranks are token ids, so the merged token is its own rank.
+# Token-position rows join the merge table on (token, next token). Per word the leftmost
+# pair of least rank is contracted, and in the same round, from left to right, every further
+# pair of that rank that overlaps none taken (every other one of a run of such pairs). The
+# order is that of one leftmost pair at a time: a contraction's new pairs rank behind it,
+# since a token's rank lies behind those of its parts. Rows of words without a pair leave
+# the recursion. Ranks are token ids, so the merged token is its own rank. The rounds of a
+# word grow with the ranks that occur in it, not with its length.
 ENCODE = """
-with recursive t(w, pos, tok, live) as (
-  select w, pos, tok, true from seed
-  union all
-  (with pair as materialized (
-     select p.w, p.pos, p.tok, p.next_pos, g.merged
-     from (select w, pos, tok, lead(pos) over o next_pos,
-                  case when lead(w) over o = w then lead(tok) over o end next_tok
-           from t where live window o as (order by pos)) p
-     left join merges g on g.l = p.tok and g.r = p.next_tok),
-   best as (
-     select w, min(merged) merged,
-            arg_min(pos, merged::bigint * 4294967296 + pos) as spot,
-            arg_min(next_pos, merged::bigint * 4294967296 + pos) as gone
-     from pair where merged is not null group by w)
-   select p.w, p.pos, case when p.pos = b.spot then b.merged else p.tok end, b.spot is not null
-   from pair p left join best b on p.w = b.w
-   where b.spot is null or p.pos <> b.gone)
-) select w, list(tok order by pos) ids from t where not live group by w order by w
-"""
-
-# For long words: besides the leftmost pair of least rank every further place of that rank
-# that overlaps none taken is contracted in the same round, every other one of a run of
-# such places. The rounds grow with the ranks that occur, not with the word.
-ENCODE_LONG = """
 with recursive t(w, pos, tok, live) as (
   select w, pos, tok, true from seed
   union all
@@ -84,7 +64,8 @@ class Codec:
         pairs = [(a, b, i) for t, i in self.ranks.items() for k in range(1, len(t))
                  if (a := self.ranks.get(t[:k])) is not None and (b := self.ranks.get(t[k:])) is not None]
         l, r, m = (pa.array(x, pa.int32()) for x in zip(*pairs, strict=True)) if pairs else [pa.array([], pa.int32())] * 3
-        self.db = duckdb.connect(config={"threads": "1", "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": "1", "memory_limit": "300MB",
+                                      "temp_directory": os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")})
         self._table("merges", pa.table({"l": l, "r": r, "merged": m}))
         # bytes as the 256 first code points: string_agg keeps them one to one
         self._table("vocabulary", pa.table({"id": pa.array(self.ranks.values(), pa.int32()),
@@ -112,7 +93,7 @@ class Codec:
         flat = np.frombuffer(b"".join(pieces), np.uint8)
         seed = pa.table({"w": np.repeat(np.arange(len(pieces), dtype=np.int32), size),
                          "pos": np.arange(len(flat), dtype=np.int64), "tok": self.single[flat]})
-        ids = self._query(ENCODE_LONG if size.max() > LONG_WORD else ENCODE, seed)["ids"].combine_chunks()
+        ids = self._query(ENCODE, seed)["ids"].combine_chunks()
         ends, values = np.asarray(ids.offsets), np.asarray(ids.values, np.int32)
         return [values[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
@@ -130,9 +111,6 @@ class Codec:
 
         for i, x in enumerate(out):
             if x is None:
-                if len(pieces[i]) > LONG_WORD:
-                    out[i] = self._encode_new([pieces[i]])[0]
-                    continue
                 if todo and held + len(pieces[i]) > QUERY_BYTES:
                     run()
                     todo, held = [], 0
@@ -248,8 +226,8 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...
 
     Each match of ``pattern`` is encoded separately. A match that is itself a token
     becomes it; the others' bytes become token-position rows of a recursive DuckDB
-    query that joins the merge table and contracts each word's leftmost pair of least
-    rank until none is left (of a long word, all places of that rank in one round). Decoding joins ids to the vocabulary and aggregates the
+    query that joins the merge table and contracts each word's leftmost pairs of least
+    rank until none is left. Decoding joins ids to the vocabulary and aggregates the
     bytes in order. Equal words are solved once per slice of texts.
     Token-position rows of one query stem from at most ``QUERY_BYTES`` bytes or one word.
 
