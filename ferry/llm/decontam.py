@@ -15,17 +15,18 @@ from ferry.llm.filters import bitmap, passes
 
 #: Seed masks: 1 takes the word into the hash, 0 ignores it.
 MASKS = ("111101111", "11011011", "1110111", "101110011", "1100110101")
-#: Contiguous seeds stand in for the masks on items shorter than every mask, from so many words on.
+#: Items shorter than some mask are sought by a contiguous seed of so many words too, and
+#: shorter ones not at all.
 SHORTEST = 4
 #: Words around hits that a segment carries for the verification.
 MARGIN = 96
-#: Words between hits up to which they share a segment.
-JOINED = 48
+#: Words between hits up to which they share a segment: what their margins reach.
+JOINED = 2 * MARGIN
 
 
 def _seeds(masks: tuple[str, ...]) -> list[tuple[int, ...]]:
     spaced = [tuple(i for i, x in enumerate(m) if x == "1") for m in masks]
-    return spaced + [tuple(range(n)) for n in range(SHORTEST, max(map(len, masks)))]
+    return [*spaced, tuple(range(SHORTEST))]
 
 
 def _hashes(words: W.Words, seeds: list[tuple[int, ...]], which) -> tuple[np.ndarray, np.ndarray]:
@@ -47,7 +48,7 @@ def item_index(benchmark: DataFrame, masks: tuple[str, ...], id_col: str, text_c
                 for i, n in enumerate(words.counts()):
                     own = words.hash[words.of[i] : words.of[i + 1]]
                     one = W.Words(own, own, own, np.array([0, n]))
-                    which = range(len(masks)) if n >= longest else [len(masks) + n - SHORTEST] if n >= SHORTEST else []
+                    which = [k for k, m in enumerate(masks) if len(m) <= n] + [len(masks)] * int(SHORTEST <= n < longest)
                     h, at = _hashes(one, seeds, which) if len(which) else (np.zeros(0, W.U64), np.zeros(0, np.int64))
                     rows.append((n, own.tobytes(), [{"hash": int(x), "pos": int(y)} for x, y in zip(h.view(np.int64), at, strict=True)]))
                 yield pa.RecordBatch.from_arrays(
@@ -62,12 +63,12 @@ def item_index(benchmark: DataFrame, masks: tuple[str, ...], id_col: str, text_c
         F.min("item_id").alias("item_id"), F.first("n_words").alias("n_words"), F.first("hashes").alias("hashes"))
 
 
-def segments(docs: DataFrame, masks: tuple[str, ...], short: tuple[int, ...], shared, id_col: str, text_col: str) -> DataFrame:
+def segments(docs: DataFrame, masks: tuple[str, ...], short: bool, shared, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, seg, first, words, hits): stretches of documents around seeds that pass the
     filter, with their words' hashes and the (hash, pos) of those seeds; ``seg`` is the
     first seed's word, ``first`` that of the words carried."""
     seeds = _seeds(masks)
-    which = [*range(len(masks)), *(len(masks) + n - SHORTEST for n in short)]
+    which = range(len(seeds) - (not short))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -126,8 +127,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, min_words: int = 10, m
     overlap. It counts if it has ``min_words`` equal words or spans ``min_share`` of the
     item's words, in either case at least ``SHORTEST`` equal ones.
 
-    Items shorter than every mask are sought by one contiguous seed of their own length;
-    items of fewer than ``SHORTEST`` words are evidence of nothing and match nothing.
+    Of an alignment's overlaps the one with most equal words counts, the first of equal ones.
+
+    Items shorter than some mask are sought by the masks that they hold and by every
+    ``SHORTEST`` words in a row, which finds each item of 7 to 9 words with one other word;
+    one of 4 to 6 is found where ``SHORTEST`` words in a row are left. Shorter items are
+    evidence of nothing and match nothing.
     Equal items are represented by the smallest id. A filter of fixed size keeps
     documents' seeds that no item has out of the join. Null, empty and wordless texts and
     null ids match nothing; repeated rows of a document are one; columns beside id and
@@ -138,7 +143,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, min_words: int = 10, m
     seeds = items.select("item_id", F.explode("hashes").alias("s")).select("item_id", "s.hash", F.col("s.pos").alias("item_pos"))
     table = docs.sparkSession.sparkContext.broadcast(bitmap(seeds.select("hash").distinct()))
     longest = max(map(len, masks))
-    short = tuple(r[0] for r in items.where(F.col("n_words") < longest).select("n_words").distinct().collect())
+    short = bool(items.where(F.col("n_words") < longest).head(1))
     found = saved(segments(docs, masks, short, table, id_col, text_col).withColumn("seg", F.xxhash64("seg", "words"))
                   .dropDuplicates(["doc_id", "seg"]))
     hits = found.select("doc_id", "seg", F.explode("hits").alias("h")).select("doc_id", "seg", "h.hash", "h.pos")
@@ -164,10 +169,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, min_words: int = 10, m
                                              + [pa.array([r[k] for r in out], pa.int64()) for k in range(1, 5)],
                                              names=["doc_id", "item_id", "doc_word", "item_word", "n_words", "n_equal"])
 
-    return rows.mapInArrow(run, "doc_id bigint, item_id bigint, doc_word bigint, item_word bigint, n_words bigint, n_equal bigint").distinct()
+    found = rows.mapInArrow(run, "doc_id bigint, item_id bigint, doc_word bigint, item_word bigint, n_words bigint, n_equal bigint")
+    best = F.max_by(F.struct("doc_word", "item_word", "n_words", "n_equal"), F.struct("n_equal", F.negate("doc_word"), F.negate("n_words")))
+    return found.groupBy("doc_id", "item_id", (F.col("doc_word") - F.col("item_word")).alias("offset")).agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows of contaminated documents; rows with a null id stay."""
-    bad = contaminations(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, docs[id_col].cast("long") == F.col("__id"), "left_anti")
+    """``docs`` without the rows of contaminated documents; rows with a null id stay. No
+    column name of ``docs`` can clash with a helper's."""
+    bad = contaminations(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("bad")).distinct()
+    return docs.join(bad, docs[id_col].cast("long") == bad["bad"], "left_anti")

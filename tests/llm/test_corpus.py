@@ -85,10 +85,46 @@ def test_region_parts_stay_small(spark):
     assert leads == counts.count()
 
 
+def brute_lines(rows):
+    """{(id, text): (what is left, lines gone)} of texts that lose lines: every two lines in
+    a row that stand earlier too go, unless they are the first of another such pair."""
+    rows = sorted({x for x in rows if x[0] is not None and x[1] is not None}, key=repr)
+    places = defaultdict(set)
+    for i, text in rows:
+        lines = text.split("\n")
+        for k, pair in enumerate(zip(lines, lines[1:])):
+            if SPACED.search("\n".join(pair)):
+                places[pair].add((i, k, text))
+    again, here = defaultdict(set), defaultdict(set)
+    for found in places.values():
+        if len(found) > 1:
+            for i, k, text in found:
+                (here if (i, k) == min(found)[:2] else again)[i, text] |= {k, k + 1}
+    out = {}
+    for (i, text), gone in again.items():
+        if gone := gone - here[i, text]:
+            out[i, text] = ("\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone))
+    return out
+
+
+def test_another_document_moves_no_bound(spark):
+    """What goes from a document does not change with documents that come later."""
+    from ferry.llm.linededup import line_dedup, windows
+
+    r = random.Random(26)
+    shared, other = ([" ".join(invented(r, 4)) for _ in range(12)] for _ in range(2))
+    rows = [(1, "\n".join(["a", *shared, "b"])), (2, "\n".join(["c", *shared, "d"])), (3, "\n".join([*other[:2], *shared[4:7], *other[2:4]]))]
+    frames = [spark.createDataFrame(rows[:n], "doc_id bigint, text string") for n in (2, 3)]
+    few, more = ({x.doc_id: (x.text, x.n_removed_lines) for x in line_dedup(df).collect()} for df in frames)
+    assert few == {1: (rows[0][1], 0), 2: ("c\nd", 12)} and more == few | {3: ("\n".join(other[:4]), 3)}
+    few, more = ({tuple(x) for x in windows(df, "doc_id", "text").collect()} for df in frames)
+    assert few == {x for x in more if x[0] < 3}
+
+
 def test_line_dedup(spark, docs, no_docs):
     from pyspark.sql import functions as F
 
-    from ferry.llm.linededup import chunked, line_dedup
+    from ferry.llm.linededup import line_dedup
 
     r = random.Random(6)
     shared = [" ".join(invented(r, 9)) for _ in range(12)]
@@ -101,28 +137,12 @@ def test_line_dedup(spark, docs, no_docs):
     df = spark.createDataFrame([(*x, "n") for x in rows], "doc_id bigint, text string, lines string")
     got = line_dedup(df).collect()
     assert len(got) == len(rows)
-    # brute force over the chunks of each text
-    chunks = {}
-    for x in chunked(df, "doc_id", "text").collect():
-        lines = x.lines
-        parts = [(c >> 32, c & 0xFFFFFFFF) for c in x.chunks]
-        assert sum(n for _, n in parts) == len(lines) and [p[0] for p in parts] == list(np.cumsum([0] + [n for _, n in parts[:-1]]))
-        chunks[x.doc_id] = [("\n".join(lines[a : a + n]), n) for a, n in parts]
-    seen, want = set(), {}
-    for i in sorted(k for k in chunks if k is not None):
-        keep, lost = [], 0
-        for text, n in chunks[i]:
-            if n >= 2 and SPACED.search(text) and text in seen:
-                lost += n
-                continue
-            seen.add(text)
-            keep.append(text)
-        want[i] = ("\n".join(keep), lost)
+    want = brute_lines(rows)
     for g, (i, text) in zip(sorted(got, key=lambda x: (x.doc_id or 0, x.text or "")), sorted(rows, key=lambda x: (x[0] or 0, x[1] or ""))):
-        if i is None or not want[i][1]:
+        if i is None or (i, text) not in want:
             assert g.n_removed_lines == 0
         else:
-            assert (g.text, g.n_removed_lines) == want[i]
+            assert (g.text, g.n_removed_lines) == want[i, text]
     untouched = {g.doc_id: g.text for g in got if not g.n_removed_lines}
     assert all(untouched[i] == t for i, t in rows if i in untouched and i != 100_008)
     passages = [g for g in got if g.doc_id and 500_001 <= g.doc_id < 600_000]
@@ -203,6 +223,32 @@ def test_decontamination(spark, docs, no_docs):
     assert contaminations(docs, bench).count() == 0
 
 
+def test_short_items_and_gaps(spark):
+    """Items of 7 to 9 words with one other word at any place; one row an alignment."""
+    from ferry.llm.decontam import contaminations, decontaminated
+
+    r = random.Random(19)
+    items, rows, want = [], [], set()
+    for n in range(7, 10):
+        for at in range(n):
+            words = invented(r, n)
+            items.append((len(items), " ".join(words)))
+            words[at] = "other"
+            rows.append((len(items) - 1, " ".join(invented(r, 30) + words + invented(r, 30))))
+            want.add((len(items) - 1, len(items) - 1))
+    long = invented(r, 500)
+    items.append((100, " ".join(long)))
+    for i, gap in enumerate((20, 60, 100, 250)):  # other words of the same number in the middle
+        rows.append((100 + i, " ".join(invented(r, 9) + long[:100] + invented(r, gap) + long[100 + gap :])))
+        want.add((100 + i, 100))
+    docs = spark.createDataFrame([(*x, 1, 2, 3) for x in rows], "doc_id bigint, text string, bad int, item_id int, best int")
+    got = contaminations(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(g.doc_id, g.item_id) for g in got} == want and len(got) == len(want)
+    assert {g.doc_id: g.n_equal for g in got if g.doc_id >= 100} == {100: 480, 101: 440, 102: 400, 103: 150}
+    left = decontaminated(docs, spark.createDataFrame(items[:3], "item_id bigint, text string"))
+    assert left.columns == docs.columns and left.count() == len(rows) - 3
+
+
 def test_hash_bitmap(spark):
     from ferry.llm import words as W
     from ferry.llm.filters import bitmap, passes
@@ -244,6 +290,47 @@ def test_line_dedup_short_passages(spark):
     assert all(g.n_removed_lines == g.n_lines for i, g in got.items() if not want[i])
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """An id of several texts stands for one of them, whatever the order of its rows."""
+    from ferry.llm.neardup import near_duplicates
+
+    r = random.Random(5)
+    a, b, c = (invented(r, 60) for _ in range(3))
+    near = lambda x: " ".join(x[:58] + ["aa", "bb"])
+    rows = [(1, " ".join(a)), (2, near(a)), (2, " ".join(b)), (3, near(b)), (4, near(c)), (5, " ".join(c)), (5, " ".join(c)), (6, None), (6, " ".join(c)), (7, "")]
+    seen = {tuple(sorted((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in near_duplicates(spark.createDataFrame(part, "doc_id bigint, text string")).collect()))
+            for part in (rows, rows[::-1], rows[5:] + rows[:5])}
+    assert len(seen) == 1
+    found = {}
+    for i, n, component, kept in seen.pop():
+        assert found.setdefault(i, component) == component and kept == (i == component)
+    assert found[1] == 1 and found[2] in (1, 2) and found[3] == (2 if found[2] == 2 else 3) and found[5] == found[6] == 4 and found[7] == 7
+
+
+def test_spanning_forest_is_a_heaviest_one():
+    from ferry.llm.neardup import forest
+
+    r = np.random.default_rng(3)
+    for n in (2, 5, 40):
+        x, y = np.triu_indices(n, 1)
+        keep = r.random(len(x)) < 0.6
+        x, y = x[keep], y[keep]
+        w = r.integers(0, 9, len(x)) / 8
+        got = forest(x, y, w, n)
+        parent, total = list(range(n)), 0.0
+
+        def root(k):
+            while parent[k] != k:
+                k = parent[k]
+            return k
+
+        for k in np.argsort(-w, kind="stable"):
+            if root(x[k]) != root(y[k]):
+                parent[root(x[k])] = root(y[k])
+                total += w[k]
+        assert abs(w[got].sum() - total) < 1e-9 and len(got) == n - sum(parent[k] == k for k in range(n))
+
+
 def test_near_duplicates_sole_links(spark):
     """Documents linked with one member of a family of thousands alone are found."""
     from ferry.llm.neardup import near_duplicates
