@@ -107,10 +107,11 @@ def segments(docs: DataFrame, masks: tuple[str, ...], short: bool, shared, id_co
 
 def best_overlap(same: np.ndarray, penalty: int) -> tuple[int, int]:
     """Bounds of the stretch of aligned words with the largest sum of 1 per equal and
-    -``penalty`` per unequal word."""
+    -``penalty`` per unequal word, the longest of equal ones."""
     sums = np.append(0, np.cumsum(np.where(same, 1, -penalty)))
     low = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - low))
+    gain = sums - low
+    end = len(gain) - 1 - int(np.argmax(gain[::-1]))
     return int(np.argmin(sums[: end + 1])), end
 
 
