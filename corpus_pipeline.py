@@ -39,8 +39,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each near-duplicate component. Rows with a null id, which no
     component can hold, stay; of rows that repeat an id all stay or go."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
