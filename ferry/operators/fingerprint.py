@@ -79,8 +79,19 @@ def table_fingerprint(table: str, src: DataFrame, tgt: DataFrame, spec: TableSpe
         "table_name", "column_name", "source_rows", "target_rows", "status")
 
 
+SCHEMA = "table_name string, column_name string, source_rows bigint, target_rows bigint, status string"
+
+
+def one_table_fingerprint(name: str, src: DataFrame, tgt: DataFrame, spec: TableSpec) -> list[tuple]:
+    """Fingerprint rows of one table (one small job); a failure gives one ERROR row."""
+    try:
+        return [tuple(r) for r in table_fingerprint(name, src, tgt, spec).collect()]
+    except Exception:
+        return [(name, ROW, None, None, "ERROR")]
+
+
 def fingerprints(spark: SparkSession, source: TableSet, target: TableSet, manifest: Manifest, tables=None) -> DataFrame:
     """``table_fingerprint`` of every table (of ``tables``) on both sides and in the manifest."""
     names = [n for n in sorted(set(source) & set(target) & set(manifest)) if tables is None or n in tables]
-    empty = spark.createDataFrame([], "table_name string, column_name string, source_rows bigint, target_rows bigint, status string")
+    empty = spark.createDataFrame([], SCHEMA)
     return reduce(DataFrame.unionByName, [table_fingerprint(n, source[n], target[n], manifest[n]) for n in names], empty)

@@ -370,6 +370,15 @@ def row_fingerprints(spark, sf_dir):
     return fingerprint.fingerprints(spark, s, t, m)
 
 
+def reconcile_rows_verdict(spark, sf_dir):
+    """Verdict where only a double of the events differs: sums and texts agree, the rows'
+    fingerprints don't."""
+    s, t, m = fixture(spark, sf_dir)
+    target = dict(s, events=s["events"].withColumn("value", F.when(F.col("event_id") % 101 == 7, F.col("value") + 1).otherwise(F.col("value"))))
+    plain, whole = (reconcile(spark, s, target, m, strings=False, rows=rows).verdict for rows in (False, True))
+    return plain.withColumn("rows", F.lit(False)).unionByName(whole.withColumn("rows", F.lit(True)))
+
+
 def text_damage(spark, sf_dir):
     """Every differing text, its class of damage and where it begins."""
     s, t, m = fixture(spark, sf_dir)
@@ -556,6 +565,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tree_parity": tree_parity,
     "tree_differences": tree_differences,
     "row_fingerprints": row_fingerprints,
+    "reconcile_rows_verdict": reconcile_rows_verdict,
     "text_damage": text_damage,
     "text_damage_summary": text_damage_summary,
     "reconcile_wide_sums": reconcile_wide_sums,

@@ -591,6 +591,8 @@ GROUP BY c.c_custkey, c.c_name""",
         "tree_parity": cte + ",\n" + parity_body() + "\nSELECT * FROM parity",
         "tree_differences": differences_sql(),
         "row_fingerprints": fingerprint_sql(),
+        "reconcile_rows_verdict": reconcile_sql("SELECT v.* REPLACE (v.passed AND (NOT r OR NOT EXISTS (SELECT 1 FROM events WHERE event_id % 101 = 7)) AS passed), r AS rows "
+                                                f"FROM ({VERDICT_FINAL}) v, (VALUES (false), (true)) x(r)", identical=True, strings=False),
         "text_damage": damage_sql("SELECT * FROM damaged"),
         "text_damage_summary": damage_sql("SELECT table_name, column_name, damage, count(*) AS n_rows, min(position) AS first_position FROM damaged GROUP BY ALL"),
         "reconcile_wide_sums": WIDE_SUMS_SQL,

@@ -113,6 +113,18 @@ def test_swapped_and_repeated_rows_differ(spark):
     assert ROW in prints(spark, *twice, key=())
 
 
+def test_verdict_with_row_fingerprints(spark):
+    s = spark.createDataFrame(ROWS, KIND)
+    m = Manifest([TableSpec("p", KIND, primary_key=("id",))])
+    t = s.withColumn("d", F.when(F.col("id") == 2, F.lit(ROWS[3][1])).when(F.col("id") == 3, F.lit(ROWS[2][1])).otherwise(F.col("d")))
+    assert reconcile(spark, {"p": s}, {"p": t}, m).passed()
+    r = reconcile(spark, {"p": s}, {"p": t}, m, rows=True)
+    assert not r.passed() and {x.column_name for x in r.fingerprints.collect() if x.status == "DIFF"} == {ROW, "d"}
+    assert reconcile(spark, {"p": s}, {"p": s}, m, rows=True).passed()
+    broken = reconcile(spark, {"p": s}, {"p": s.drop("f")}, m, rows=True)
+    assert not broken.passed() and [x.status for x in broken.fingerprints.collect()] == ["ERROR"]
+
+
 def test_equal_values_in_other_forms_are_equal(spark):
     kind = struct(("id", TEXT), ("d", T.DoubleType()), ("n", T.DecimalType(12, 2)))
     u = uuid.uuid4()
