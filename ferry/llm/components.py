@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 from ferry.llm.common import saved
 
 
-def _stars(edges: DataFrame, larger: bool) -> DataFrame:
+#: Links that a task of a round takes.
+PART = 100_000
+
+
+def _stars(edges: DataFrame, larger: bool, parts: int) -> DataFrame:
     """One star step. ``larger``: the larger neighbours of a node move to its smallest
-    neighbour; else the smaller ones and the node itself do."""
+    neighbour; else the smaller ones and the node itself do. Its rows go on in ``parts``
+    partitions, so that few links don't spread over as many files as many do."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if larger else edges
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     moved = both.join(least, "u").where((F.col("v") > F.col("u")) if larger else (F.col("v") != F.col("m")))
     out = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not larger:
         out = out.union(least.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    out = out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    return out.coalesce(parts).distinct().coalesce(parts)
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -29,9 +35,11 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     edges = saved(links.where("a is not null and b is not null and a <> b")
                   .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    parts = max(1, -(-edges.count() // PART))
+    edges = edges.coalesce(parts)
     seen = None
     for _ in range(max_rounds):
-        edges = saved(_stars(_stars(edges, True), False))
+        edges = saved(_stars(_stars(edges, True, parts), False, parts))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("u").alias("id"), F.col("v").alias("component_id")).union(
