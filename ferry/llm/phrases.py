@@ -173,19 +173,62 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return distinct[place], np.frombuffer(data, np.uint32, size, at).astype(np.int64), np.frombuffer(data, np.uint8, size, at + 4 * size)
 
 
-def routed(texts: DataFrame, frequent: np.ndarray, hot: Prefixes, buckets: int) -> DataFrame:
+def _pairs(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and 32-bit fragment of each word's hash with the next one."""
+    h = W.mix((key[:-1] ^ W.mix(key[1:])) * W.U64(W.BASE))
+    return (h % W.U64(buckets)).astype(np.int64), (h >> W.U64(32)).astype(np.uint32)
+
+
+def _pair_key(bucket: np.ndarray, fragment: np.ndarray) -> np.ndarray:
+    return W.mix((bucket.astype(W.U64) << W.U64(32)) | fragment.astype(W.U64))
+
+
+def frequent_pairs(texts: DataFrame, frequent: np.ndarray, buckets: int, least: int) -> np.ndarray:
+    """A ``bitmap`` of word pairs, each that occurs ``least`` times among them. Only hash
+    fragments are sent, of a pair ``least`` from a slice at most; pairs that share one are
+    counted together, which lets more through and none less."""
+    common = texts.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, key, follows in _slices(batches):
+            good = passes(common.value, key)
+            at = np.flatnonzero(good[:-1] & good[1:] & follows[:-1])
+            if not len(at):
+                continue
+            bucket, fragment = (x[at] for x in _pairs(key, buckets))
+            coded, n = np.unique(bucket.astype(W.U64) << W.U64(32) | fragment, return_counts=True)
+            coded = np.repeat(coded, np.minimum(n, least))
+            own, fragment = (coded >> W.U64(32)).astype(np.int64), coded.astype(np.uint32)
+            cuts = np.flatnonzero(np.diff(own, prepend=-1, append=buckets + 1))
+            parts = [fragment[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(own[cuts[:-1]]), pa.array(parts, pa.binary())], names=["bucket", "fragments"])
+
+    def counted(bucket: pa.Table) -> pa.Table:
+        fragment, n = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in bucket.column("fragments")]), return_counts=True)
+        fragment = fragment[n >= least]
+        own = np.full(len(fragment), bucket.column("bucket")[0].as_py())
+        return pa.table({"hash": pa.array(_pair_key(own, fragment).view(np.int64))})
+
+    return bitmap(saved(texts.mapInArrow(run, "bucket bigint, fragments binary").groupBy("bucket").applyInArrow(counted, "hash bigint")))
+
+
+def routed(texts: DataFrame, frequent: np.ndarray, pairs: np.ndarray, hot: Prefixes, buckets: int) -> DataFrame:
     """(bucket, suffixes): suffix pointers with the words they lead to, by leading words.
 
-    A suffix is cut before the first word that is too rare. It is routed by its first word,
+    A suffix is cut before the first word, and within the first pair, that is too rare. It is routed by its first word,
     or by the fewest leading words that are no hot prefix; one that is hot in full is left
     out, as all its prefixes are counted. Equal suffixes of a slice are sent once, with
     their number (``packed``)."""
     spark = texts.sparkSession
-    common, prefixes = spark.sparkContext.broadcast(frequent), spark.sparkContext.broadcast(hot)
+    common, often, prefixes = (spark.sparkContext.broadcast(x) for x in (frequent, pairs, hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, key, follows in _slices(batches):
-            length = _runs(passes(common.value, key), follows)
+            good = passes(common.value, key)
+            near = np.flatnonzero(good[:-1] & good[1:] & follows[:-1])
+            linked = np.zeros(len(key), bool)
+            linked[near] = passes(often.value, _pair_key(*(x[near] for x in _pairs(key, buckets))))
+            length = _runs(good, linked)
             at = np.flatnonzero(length > 1)
             if not len(at):
                 continue
@@ -263,8 +306,9 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, text_col: s
     look one word further: of the phrases between the two, each occurs as often). The rest
     are ranked by score and a, descending, and by phrase in byte order.
 
-    Words are counted first. Suffix pointers are then routed by their leading words, cut
-    where no candidate can go on, and sorted per bucket (``sorted_counts``). Prefixes that
+    Words are counted first, then pairs of frequent ones. Suffix pointers are routed by their
+    leading words, cut where no candidate can go on, and sorted per bucket
+    (``sorted_counts``). Prefixes that
     hold a large share of all words are counted by aggregation, and their suffixes are
     routed by more words, so no bucket grows with a common word or passage.
 
@@ -279,8 +323,9 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, text_col: s
     bound = max(least, min(every >> HOT_SHIFT, HOT_MOST))
     hot_words = [x.key for x in common.where(F.col("n") >= bound).select("key").collect()]
     hot = hot_prefixes(texts, hot_words, bound)
-    suffixes = routed(texts, bitmap(common.select(F.col("key").alias("hash"))), Prefixes([(x,) for x in hot_words] + list(hot)),
-                      max(BUCKETS, every // BUCKET_WORDS))
+    frequent, buckets = bitmap(common.select(F.col("key").alias("hash"))), max(BUCKETS, every // BUCKET_WORDS)
+    pairs = frequent_pairs(texts, frequent, buckets, least)
+    suffixes = routed(texts, frequent, pairs, Prefixes([(x,) for x in hot_words] + list(hot)), buckets)
     counted = phrase_counts(suffixes, least)
     if hot:
         counted = counted.union(texts.sparkSession.createDataFrame([(list(k), v) for k, v in hot.items()], "words array<bigint>, a bigint"))
