@@ -39,8 +39,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(doc_id, of, at, first): windows whose very bytes stand elsewhere too, and whether this
     is the first place by id and line, which keeps them.
 
-    Hashes that occur once are dropped first; the rest are grouped by their digests, and the
-    bytes of a group are compared. A window that holds much of all lines is counted where it stands, and what is
+    Hashes that occur once are dropped first; the bytes of the rest are compared by their
+    SHA-256. A window that holds much of all lines is counted where it stands, and what is
     known of it meets its rows in ``DEAL`` parts. White space alone is never repeated."""
     rows = windows(docs, id_col, text_col)
     often = saved(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
@@ -49,12 +49,11 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     df = df.join(hit, ["doc_id", "of"]).select("doc_id", "of", "places", in_place(_split(F.col("text"))).alias("lines"))
     texts = df.select("doc_id", "of", F.explode(F.transform("places", lambda i: F.struct(
         i.alias("at"), F.array_join(F.slice("lines", i + 1, F.lit(WINDOW)), "\n").alias("chunk")))).alias("w")).select("doc_id", "of", "w.*")
-    texts = texts.where(F.col("chunk").rlike(r"[^\x20\x09-\x0D]")).withColumn("digest", F.unhex(F.sha2(F.col("chunk").cast("binary"), 256)))
+    texts = saved(texts.where(F.col("chunk").rlike(r"[^\x20\x09-\x0D]")).select(
+        "doc_id", "of", "at", F.unhex(F.sha2(F.col("chunk").cast("binary"), 256)).alias("digest")))
     own = F.struct("doc_id", "at", "of")
-    keepers = texts.groupBy("digest").agg(F.min(own).alias("keeper"), F.max(own).alias("last"), F.min("chunk").alias("x"), F.max("chunk").alias("y"))
-    same = F.when(F.col("x") == F.col("y"), F.col("keeper") != F.col("last")).otherwise(F.raise_error(F.lit("windows of one digest differ")).cast("boolean"))
-    keepers = saved(keepers.where(same).select("digest", "keeper"))
-    return _dealt(texts.drop("chunk"), "doc_id", "at").join(_to_all(keepers), ["digest", "deal"]).select(
+    keepers = texts.groupBy("digest").agg(F.min(own).alias("keeper"), F.max(own).alias("last")).where("keeper <> last").drop("last")
+    return _dealt(texts, "doc_id", "at").join(_to_all(keepers), ["digest", "deal"]).select(
         "doc_id", "of", "at", (own == F.col("keeper")).alias("first")).distinct()
 
 
