@@ -6,7 +6,7 @@ from datetime import date, datetime
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import named
@@ -45,13 +45,13 @@ def literal(value, text_quote: str = "'") -> str:
     return text_quote + str(value).replace(text_quote, text_quote * 2) + text_quote
 
 
-def _from(columns: list[str], low: tuple) -> str:
-    """Keys at or after ``low`` in the order of the columns."""
+def _from(columns: list[str], low: list[str]) -> str:
+    """Keys at or after ``low`` (SQL values) in the order of the columns."""
     parts = []
     for i, c in enumerate(columns):
-        same = [f"{x} = {literal(v)}" for x, v in zip(columns[:i], low[:i], strict=True)]
+        same = [f"{x} = {v}" for x, v in zip(columns[:i], low[:i], strict=True)]
         last = i == len(columns) - 1
-        parts.append("(" + " AND ".join([*same, f"{c} {'>=' if last else '>'} {literal(low[i])}"]) + ")")
+        parts.append("(" + " AND ".join([*same, f"{c} {'>=' if last else '>'} {low[i]}"]) + ")")
     return "(" + " OR ".join(parts) + ")"
 
 
@@ -61,7 +61,7 @@ def range_predicates(ranges: DataFrame, key: list[str], quote: str = '"') -> lis
     read gets partitions."""
     columns = [sql_column(k, quote) for k in key]
     lows = [tuple(r["low"]) for r in ranges.orderBy("ordinal").select("low").collect()]
-    known = [x for x in lows[1:] if None not in x]
+    known = [[literal(v) for v in x] for x in lows[1:] if None not in x]
     if len(known) < len(lows) - 1:
         raise ValueError("more null keys than a range holds")
     missing = " OR ".join(f"{c} IS NULL" for c in columns)
@@ -76,5 +76,40 @@ def range_predicates(ranges: DataFrame, key: list[str], quote: str = '"') -> lis
 
 
 def read_ranges(df: DataFrame, predicates: list[str]) -> DataFrame:
-    """``df`` as the union of its ranges, as a reader by predicates sees it."""
+    """``df`` as the union of its ranges, as a reader by predicates sees it: a scan for each,
+    so for few ranges; ``in_ranges`` reads any number in one."""
     return reduce(DataFrame.unionByName, [df.where(p) for p in predicates])
+
+
+#: Places that a task of ``in_ranges`` takes.
+CHUNK = 1 << 16
+
+
+def in_ranges(df: DataFrame, ranges: DataFrame, key: list[str]) -> DataFrame:
+    """``df`` with ``ordinal``, the place (from 0) of the predicate of ``range_predicates``
+    that a row meets; a row that meets none is left out.
+
+    One scan for any number of ranges: rows and the ranges' bounds take their places in the
+    order of the keys, a row belongs to the last bound at or before it, and is held to that
+    range's predicate, whose values come from the bounds. Rows with a null in their key are
+    in the first range."""
+    if clash := {"ordinal", "overall", "place", "group_size"} & set(df.columns):
+        raise ValueError(f"columns already exist: {sorted(clash)}")
+    own = F.struct(*[named(k).alias(f"k{i}") for i, k in enumerate(key)])
+    rows = df.select(own.alias("key"), F.struct(*[named(c) for c in df.columns]).alias("row"))
+    # keys that repeat leave gaps in the ranges' own ordinals
+    ranges = places(ranges.select("low", F.col("ordinal").alias("at")), [F.col("at")]).select("low", F.col("overall").alias("ordinal"))
+    bounds = ranges.where("ordinal > 0").select("ordinal", F.col("low").alias("key"))
+    both = places(rows.unionByName(bounds, allowMissingColumns=True), [F.col("key"), F.col("ordinal").asc_nulls_last()])
+    both = both.withColumn("chunk", F.expr(f"overall div {CHUNK}"))
+    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    tops = both.groupBy("chunk").agg(F.max("ordinal").alias("top")).select("chunk", F.coalesce(F.max("top").over(before), F.lit(0)).alias("before"))
+    last = F.max("ordinal").over(Window.partitionBy("chunk").orderBy("overall"))
+    values = [f"key.k{i}" for i in range(len(key))]
+    missing = " OR ".join(f"{v} IS NULL" for v in values)
+    found = (both.withColumn("last", last).where("row IS NOT NULL").join(tops, "chunk")
+             .select("key", "row", F.expr(f"CASE WHEN {missing} THEN 0 ELSE coalesce(last, before) END").alias("ordinal")))
+    ends = ranges.select("ordinal", "low").join(bounds.select((F.col("ordinal") - 1).alias("ordinal"), F.col("key").alias("next")), "ordinal", "left")
+    low, end = (_from(values, [f"{x}.k{i}" for i in range(len(key))]) for x in ("low", "next"))
+    within = f"(ordinal = 0 OR {low}) AND (next IS NULL OR NOT {end})"
+    return found.join(ends, "ordinal").where(f"(ordinal = 0 AND ({missing})) OR ({within})").select("row.*", "ordinal")

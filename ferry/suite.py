@@ -434,11 +434,9 @@ def read_by_ranges(spark, sf_dir):
     """Orders read range by range through the predicates of their uuid key: rows a range."""
     orders = raw_tables(spark, sf_dir, ["orders"])["orders"]
     orders = orders.withColumn("guid", guid_from_le_bytes(F.unhex(F.md5(F.col("o_orderkey").cast("string")))))
-    predicates = ranges.range_predicates(ranges.key_ranges(orders, ["guid"], 500), ["guid"], quote="`")
-    parts = [orders.where(p).select(F.lit(i).cast("bigint").alias("ordinal"), "o_orderkey") for i, p in enumerate(predicates)]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.union(p)
+    parts = ranges.key_ranges(orders, ["guid"], 500).checkpoint()
+    predicates = ranges.range_predicates(parts, ["guid"], quote="`")
+    rows = ranges.in_ranges(orders.select("guid", "o_orderkey"), parts, ["guid"]).where(F.col("ordinal") < len(predicates))
     return rows.groupBy("ordinal").agg(F.count("*").alias("n_rows"), F.sum("o_orderkey").alias("keys"))
 
 

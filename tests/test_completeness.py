@@ -15,7 +15,7 @@ from ferry.operators.parity import string_parity
 from ferry.operators.subset import closed_subset
 from ferry.plans.validation import build_plan
 from ferry.session import fresh_dir
-from ferry.sources.ranges import key_ranges, range_predicates, read_ranges
+from ferry.sources.ranges import in_ranges, key_ranges, range_predicates, read_ranges
 
 TEXT, LONG = T.StringType(), T.LongType()
 
@@ -96,6 +96,28 @@ def test_ranges_cover_every_row_once(spark, kind):
     assert sorted(map(repr, map(tuple, read_ranges(df, predicates).collect()))) == sorted(map(repr, rows))
 
 
+def test_rows_find_their_range_in_one_scan(spark):
+    """The range of a row is the one whose predicate holds, nulls and repeated keys included,
+    and the plan doesn't grow with the ranges."""
+    r = random.Random(1)
+    rows = [(None if k < 40 else 1 + min(k % 7, 2), None if k == 50 else r.choice(["", "it's", "é", str(r.random())]), k) for k in range(600)]
+    df = spark.createDataFrame(rows, "a int, b string, c int")
+    for key, batch in ((["c", "b"], 60), (["a"], 50)):
+        parts = key_ranges(df, key, batch)
+        predicates = range_predicates(parts, key, quote="`")
+        want = sorted((x.c, i) for i, p in enumerate(predicates) for x in df.where(p).collect())
+        assert sorted((x.c, x.ordinal) for x in in_ranges(df, parts, key).collect()) == want and len(want) == 600
+    plans = [in_ranges(df, key_ranges(df, ["c"], n), ["c"])._jdf.queryExecution().optimizedPlan().toString().count("\n") for n in (300, 3)]
+    assert plans[0] == plans[1]
+
+
+def test_a_read_by_many_ranges_scans_once(spark):
+    """The registered read holds no scan a range."""
+    from ferry.suite import read_by_ranges
+    plan = read_by_ranges(spark, "/root/testdata/sf0.01")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("\n") < 100
+
+
 def test_ranges_of_no_rows(spark):
     df = spark.createDataFrame([], "a bigint")
     assert key_ranges(df, ["a"], 10).collect() == [] and range_predicates(key_ranges(df, ["a"], 10), ["a"]) == ["1 = 1"]
