@@ -224,35 +224,30 @@ def guid_from_le_bytes(c) -> Column:
     Null stays null; any other length raises, as a bad GUID must not pass.
     """
     c = _col(c)
-    h = F.lower(F.hex(c))
-
-    def part(start: int, length: int = 2) -> Column:
-        return F.substring(h, start, length)
-
-    text = F.concat(
-        part(7), part(5), part(3), part(1), F.lit("-"),
-        part(11), part(9), F.lit("-"),
-        part(15), part(13), F.lit("-"),
-        part(17, 4), F.lit("-"),
-        part(21, 12),
-    )
+    text = F.regexp_replace(F.lower(F.hex(c)), "^" + "(..)" * 8 + "(.{4})(.{12})$", "$4$3$2$1-$6$5-$8$7-$9-$10")
     return (F.when(c.isNull(), F.lit(None).cast("string"))
             .when(F.octet_length(c) == 16, text)
             .otherwise(F.raise_error(F.lit("GUID must have 16 bytes")).cast("string")))
 
 
+_GROUPS = ("([0-9a-f]{8})", "([0-9a-f]{4})", "([0-9a-f]{4})", "([0-9a-f]{4})", "([0-9a-f]{12})")
+#: A uuid with or without hyphens and braces; 32 digits, and the line end that ``$`` takes too.
+_PLAIN_UUID = r"^\{*" + "-?".join(_GROUPS) + r"\}*\z"
+_BARE_UUID = "^" + "".join(_GROUPS) + r"(?:\r\n|[\n\r\u0085\u2028\u2029])?\z"
+
+
 def guid_from_text(c) -> Column:
     """Text uuid in any accepted spelling (braces, urn:uuid: prefix, no
     hyphens, upper case) -> canonical lower-case 8-4-4-4-12 text."""
-    c = _col(c)
+    c, spaced = _col(c), "$1-$2-$3-$4-$5"
     bare = F.regexp_replace(F.regexp_replace(c, r"urn:|uuid:", ""), r"^\{+|\}+$|-", "")
-    bare = F.lower(bare)
-    text = F.concat_ws("-", F.substring(bare, 1, 8), F.substring(bare, 9, 4),
-                       F.substring(bare, 13, 4), F.substring(bare, 17, 4),
-                       F.substring(bare, 21, 12))
+    failed = F.raise_error(F.concat(F.lit("badly formed uuid: "), c)).cast("string")
+    # computed once, in a lambda's argument; hyphens are back only where the whole text is a uuid
+    other = F.transform(F.array(F.regexp_replace(F.lower(bare), _BARE_UUID, spaced)),
+                        lambda text: F.when(F.contains(text, F.lit("-")), text).otherwise(failed))[0]
     return (F.when(c.isNull(), F.lit(None).cast("string"))
-            .when(bare.rlike("^[0-9a-f]{32}$"), text)
-            .otherwise(F.raise_error(F.concat(F.lit("badly formed uuid: "), c)).cast("string")))
+            .when(F.lower(c).rlike(_PLAIN_UUID), F.regexp_replace(F.lower(c), _PLAIN_UUID, spaced))
+            .otherwise(other))
 
 
 def canonical_uuid(c, data_type) -> Column:

@@ -36,6 +36,19 @@ def test_guid_text_forms_and_bad_input(spark):
         spark.createDataFrame([(bytearray(b"short"),)], "g binary").select(guid_from_le_bytes("g")).collect()
 
 
+def test_guid_is_spelled_once(spark):
+    """The conversion doesn't repeat its input's reading, however the text is spelled."""
+    u = str(uuid.uuid4())
+    odd = ["{{" + u + "}}\n", u[:9] + u[9:].replace("-", ""), "uuid:{" + u + "}", u.replace("-", "") + "\r\n", "-" + u[0] + "-" + u[1:]]
+    df = spark.createDataFrame([(x,) for x in odd] + [(None,)], "g string")
+    assert [r[0] for r in df.select(guid_from_text("g")).collect()] == [u] * 3 + [u, u, None]
+    for bad in ("", "{}", u + "\n\n", "x" + u, u[1:], "-{" + u):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "g string").select(guid_from_text("g")).collect()
+    plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in (df.select(guid_from_text("g")), df.select(guid_from_le_bytes(F.col("g").cast("binary"))))]
+    assert plans[0].count("urn:|uuid:") == 1 and plans[1].count("hex(") == 1
+
+
 def test_key_audit_with_hot_duplicate_and_nulls(spark):
     rows = [(1, 1)] * 300 + [(2, 1), (3, None), (3, None), (4, 2), (4, 2)]
     df = spark.createDataFrame(rows, "a int, b int")
