@@ -21,6 +21,8 @@ DEPTHS = (2, 3, 4, 5, 6, 8)
 HASHES = TREES * LABEL
 #: A region of more documents is divided at the next depth.
 REGION = 64
+#: Documents of either side that a task's unit of a family compares.
+UNIT = 512
 #: Agreement of signatures below which a candidate is not compared: at similarity 0.75
 #: agreement has a standard error of 0.038, so this lies four of them below.
 LEAST_AGREEMENT = 0.60
@@ -115,13 +117,13 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def rare_regions(crowded: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(region, rep, label, n, tree): for the documents in ``crowded``, a region for each
-    shingle that 2 to ``REGION`` of them hold.
+    """(region, rep, label, n, tree, holders): for the documents in ``crowded``, a region for
+    each shingle among their rarest that another of them holds.
 
     Two linked sets share a shingle among the rarest ``n`` - ceil(n * percent / 100) + 1 of
-    each, so a document enters the regions of so many of its rarest shingles at most. That
-    finds every link between crowded documents but those whose shared ones among these
-    shingles all stand in more than ``REGION`` of them."""
+    each, in the order of how many documents hold them; those that no other holds come
+    first and take places, but need no region. So every link between crowded documents
+    stands in some region, however many documents it has."""
     shared = crowded.sparkSession.sparkContext.broadcast(id_bitmap(crowded))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,13 +134,77 @@ def rare_regions(crowded: DataFrame, classes: DataFrame, texts: DataFrame, size:
                 rows = np.repeat(np.arange(first, end), [len(x) for x in sets])
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(np.concatenate(sets).view(np.int64))], names=["rep", "h"])
 
-    rows = saved(texts.mapInArrow(run, "rep bigint, h bigint"))
-    some = rows.groupBy("h").agg(F.count("*").alias("holders")).where(F.col("holders").between(2, REGION))
-    own = classes.select("rep", "n", F.substring("sig", 1, 4 * LABEL).alias("label")).dropDuplicates(["rep"])
+    rows = texts.mapInArrow(run, "rep bigint, h bigint")
+    some = rows.groupBy("h").agg(F.count("*").alias("holders")).where("holders > 1")
+    own = classes.select("rep", "n").dropDuplicates(["rep"])
     held = rows.join(some, "h").groupBy("rep").agg(F.array_sort(F.collect_set(F.struct("holders", "h"))).alias("rarest")).join(own, "rep")
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return held.select("rep", "label", "n", F.explode(F.slice("rarest", F.lit(1), prefix.cast("int"))).alias("s")).select(
-        F.xxhash64(F.lit("rare"), "s.h").alias("region"), "rep", "n", F.lit(TREES).alias("tree"), "label")
+    prefix = F.greatest(F.size("rarest") - F.ceil(F.col("n") * percent / 100) + 1, F.lit(0))
+    return held.select("rep", "n", F.explode(F.slice("rarest", F.lit(1), prefix.cast("int"))).alias("s")).select(
+        F.xxhash64(F.lit("rare"), "s.h").alias("region"), "rep", F.expr("X''").alias("label"), "n", F.lit(TREES).alias("tree"), "s.holders")
+
+
+def families(large: DataFrame, named: DataFrame) -> DataFrame:
+    """(region, rep): units that every two documents of ``large`` (region, rep) which share a
+    region there, and are in different components of ``named`` (rep, component), meet in.
+
+    Components that share a region are a family. In it the documents outside its most
+    frequent component are dealt against all of it, so no unit grows with the family and
+    the documents that are connected already don't meet."""
+    tagged = large.join(named, "rep")
+    live = tagged.groupBy("region").agg(F.min("component").alias("b"), F.max("component").alias("x")).where("b <> x").select("region", "b")
+    edges = saved(tagged.select("region", F.col("component").alias("a")).distinct().join(live, "region").where("a <> b").select("a", "b").distinct())
+    family = components(edges).select(F.col("id").alias("component"), F.col("component_id").alias("family"))
+    members = saved(tagged.select("rep", "component").distinct().join(family, "component"))
+    sizes = members.groupBy("family", "component").agg(F.count("*").alias("n")).groupBy("family").agg(
+        F.sum("n").alias("m"), F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("of_main"))
+    parts = [F.ceil(F.col(c) / UNIT).cast("long").alias(name) for c, name in (("m", "rights"), ("others", "lefts"))]
+    dealt = members.join(sizes.withColumn("others", F.expr("m - of_main")).select("family", "main", *parts), "family")
+    right = dealt.select("family", "rep", F.explode(F.expr("sequence(0, lefts - 1)")).alias("i"), F.expr("pmod(xxhash64(rep), rights)").alias("j"))
+    left = dealt.where("component <> main").select("family", "rep", F.expr("pmod(xxhash64(rep, 1), lefts)").alias("i"), F.explode(F.expr("sequence(0, rights - 1)")).alias("j"))
+    return right.union(left).select(F.xxhash64("family", "i", "j").alias("region"), "rep").distinct()
+
+
+def linked(units: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) that connect, in each unit (region, rep), all components which
+    links between its documents connect; ``classes`` are (rep, sketch, component), ``sets``
+    (id, shingles). A pair whose components a link of the unit connects is not compared."""
+    rows = units.join(classes, "rep").join(sets.withColumnRenamed("id", "rep"), "rep").select("region", "rep", "component", "sketch", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            part = pa.concat_tables([held, pa.Table.from_batches([batch])]) if held else pa.Table.from_batches([batch])
+            region = part.column(0).to_numpy()
+            cuts = np.flatnonzero(np.r_[True, region[1:] != region[:-1]]) if len(region) else [0]
+            for first, end in zip(cuts[:-1], cuts[1:], strict=True):
+                yield links(part.slice(first, end - first))
+            held = part.slice(cuts[-1]).combine_chunks()
+        if held:
+            yield links(held)
+
+    def links(unit: pa.Table) -> pa.RecordBatch:
+        rep, component = unit.column(1).to_numpy(), unit.column(2).to_numpy()
+        sketch = np.frombuffer(b"".join(unit.column(3).to_pylist()), np.uint8).reshape(-1, HASHES)
+        shingles = [np.frombuffer(x, W.U64) for x in unit.column(4).to_pylist()]
+        n = np.array([len(x) for x in shingles])
+        at = np.arange(len(rep))
+        names = np.unique(component, return_inverse=True)[1]
+        found = []
+        for i in range(len(rep)):
+            small, large = np.minimum(n[i], n[i + 1 :]), np.maximum(n[i], n[i + 1 :])
+            j = at[i + 1 :][(100 * small >= percent * large) & (names[i + 1 :] != names[i])]
+            same = (sketch[j] == sketch[i]).mean(1)
+            j, same = j[same >= LEAST_AGREEMENT], same[same >= LEAST_AGREEMENT]
+            for k in j[np.argsort(-same, kind="stable")]:
+                if names[i] == names[k]:
+                    continue
+                both = len(np.intersect1d(shingles[i], shingles[k], assume_unique=True))
+                if 100 * both >= percent * (n[i] + n[k] - both):
+                    found.append((min(rep[i], rep[k]), max(rep[i], rep[k])))
+                    names[names == names[k]] = names[i]
+        return pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)], names=["a", "b"])
+
+    return rows.repartition("region").sortWithinPartitions("region", "rep").mapInArrow(run, "a bigint, b bigint")
 
 
 def neighbours(regions: DataFrame, classes: DataFrame, threshold: float, spanning: bool) -> DataFrame:
@@ -244,12 +310,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     Documents of equal sets become one class. Each class gets a MinHash signature, which
     the trees of an LSH forest sort in different orders; classes that share the longest
     label prefixes are candidates, at a depth that adapts to how crowded the region is.
-    Classes of crowded regions are candidates of those they share rare shingles with too.
+    Classes of crowded regions are candidates of all those they share one of their rarest
+    shingles with too, so that dividing a region loses none of its links.
 
     Candidates are confirmed on full sets, in two rounds. Each region first offers a
     spanning forest of its candidates by agreement, fewer than a row a document, and every
     class's most agreeing smaller partner among these is compared. Then every region
-    offers its candidates whose ends are in different components. So each candidate pair is
+    offers its candidates whose ends are in different components; of a shingle that more
+    than ``REGION`` hold they are dealt over units and compared there. So each candidate pair is
     either compared or connected by compared links, and a family's pairs are never all
     written.
 
@@ -272,7 +340,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     low = F.expr("aggregate(sequence(4, %d, 4), cast('' as binary), (x, i) -> concat(x, substring(sig, i, 1)))" % (4 * HASHES))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     every, crowded = _regions(classes)
-    every = every.union(saved(rare_regions(crowded, classes, texts, size, percent).select(every.columns))) if crowded.head(1) else every
+    rare = saved(rare_regions(crowded, classes, texts, size, percent)) if crowded.head(1) else None
+    every = every.union(rare.where(F.col("holders") <= REGION).select(every.columns)) if rare is not None else every
     sketches = classes.select("rep", low.alias("sketch"))
     found = neighbours(every, sketches.withColumn("component", F.col("rep")), percent / 100, True)
 
@@ -296,8 +365,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     named = saved(classes.select("rep").join(known.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component_id", "rep").alias("component")))
     live = every.select("region", "rep").join(named, "rep").groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("region")
     last = saved(neighbours(every.join(live, "region"), sketches.join(named, "rep"), percent / 100, False).select("a", "b").join(best, ["a", "b"], "left_anti"))
-    if last.head(1):
-        more = saved(confirmed(last, sets_of(last), percent))
+    more = confirmed(last, sets_of(last), percent).select("a", "b") if last.head(1) else None
+    large = rare.where(F.col("holders") > REGION).select("region", "rep") if rare is not None else None
+    if large is not None and large.head(1):
+        units = saved(families(large, named))
+        pairs = units.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+        rest = linked(units, sketches.join(named, "rep"), sets_of(pairs), percent)
+        more = more.union(rest) if more is not None else rest
+    if more is not None:
+        more = saved(more)
         known = components(links.union(more)) if more.head(1) else known
     member = classes.select("digest", "rep").join(known.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("component_id", "rep").alias("component_id"))

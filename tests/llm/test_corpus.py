@@ -71,6 +71,26 @@ def test_near_duplicates_match_brute_force(spark, docs, no_docs):
     assert near_duplicates(no_docs).collect() == []
 
 
+def test_crowded_regions_lose_no_link(spark, monkeypatch):
+    """Where hardly two documents fit a region, links are found all the same: shingles of
+    any number of documents bring them together."""
+    from ferry.llm import neardup
+
+    monkeypatch.setattr(neardup, "REGION", 2)
+    monkeypatch.setattr(neardup, "UNIT", 16)
+    r, rows = random.Random(8), []
+    for family in range(3):
+        base = invented(r, 90)
+        for k in range(60):  # within reach of few others
+            words = list(base)
+            for at in r.sample(range(90), r.randrange(1, 4)):
+                words[at] = "x" + str(r.randrange(10**6))
+            rows.append((1000 * family + k, " ".join(words)))
+    want = brute_components(dict(rows))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {g.doc_id: (g.n_shingles, g.component_id) for g in got} == want
+
+
 def test_region_parts_stay_small(spark):
     """Thousands of almost equal signatures never meet in one region."""
     from pyspark.sql import functions as F
