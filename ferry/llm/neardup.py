@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,10 @@ HASHES = TREES * LABEL
 REGION = 64
 #: Documents of either side that a task's unit of a family compares.
 UNIT = 512
+#: Hash slots in which shingles are counted to order them by rarity (a byte each).
+SLOTS = 1 << 22
+#: Documents' rows that a partition of what is kept between steps holds.
+PART = 10_000
 #: Agreement of signatures below which a candidate is not compared: at similarity 0.75
 #: agreement has a standard error of 0.038, so this lies four of them below.
 LEAST_AGREEMENT = 0.60
@@ -89,6 +94,7 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts by a hash of the id, each with the region's smallest id in it, so that no part
     grows with the region; every tree deals in another way.
     """
+    parts = classes.rdd.getNumPartitions()
     rows = saved(classes.select("rep", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)),
                  lambda t: F.substring(F.col("sig"), t * (4 * LABEL) + 1, F.lit(4 * LABEL)))).alias("tree", "label")))
     out = []
@@ -98,14 +104,14 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         counts = keyed.groupBy("region").agg(F.count("*").alias("held"), F.min("rep").alias("lead")).where("held > 1")
         found = keyed.join(counts, "region")
         if depth != DEPTHS[-1]:
-            found = saved(found)
+            found = saved(found.coalesce(parts))
             out.append(found.where(F.col("held") <= REGION).drop("held", "lead"))
             rows = found.where(F.col("held") > REGION).drop("region", "lead")
             if depth == DEPTHS[0]:
-                crowded = rows.select("rep").distinct()
+                crowded = saved(rows.select("rep").distinct().coalesce(parts))
     part = F.when(F.col("held") <= REGION, F.lit(0)).otherwise(
         F.pmod(F.xxhash64("rep", "tree"), F.ceil(F.col("held") / (REGION // 2)).cast("long")))
-    dealt = saved(found.withColumn("region", F.xxhash64("region", part)))
+    dealt = saved(found.withColumn("region", F.xxhash64("region", part)).coalesce(parts))
     leads = (dealt.where(F.col("held") > REGION).select("region", "lead").distinct().alias("x")
              .join(dealt.alias("y"), F.col("x.lead") == F.col("y.rep"))
              .select("x.region", "y.rep", "y.n", "y.tree", "y.label").dropDuplicates(["region", "rep"]))
@@ -116,31 +122,63 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return every, crowded
 
 
-def rare_regions(crowded: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(region, rep, label, n, tree, holders): for the documents in ``crowded``, a region for
-    each shingle among their rarest that another of them holds.
+def rarity(texts: DataFrame, shared: Broadcast, size: int) -> np.ndarray:
+    """For each of ``SLOTS`` hash slots a level that ascends with the number of shingles that
+    the documents in ``shared``'s bitmap have in it: 0 for one at most. Its size is fixed
+    whatever the table's; a fuller one orders less finely."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(passes(shared.value, id_hash(batch.column(0).to_numpy()))))
+            for _, _, data, bounds in text_slices(batch.column(1)):
+                taken, n = np.unique(slots(np.concatenate(shingle_sets(data, bounds, size))), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(taken.astype(np.int32)), pa.array(n)], names=["slot", "n"])
+
+    sums = texts.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1")
+    # whole numbers up to 100, from there on some ten a power of two
+    level = F.when(F.col("n") <= 100, F.col("n")).otherwise(F.least(100 + F.floor(10 * F.log2(F.col("n") / 100)), F.lit(255)))
+    found = sums.select("slot", level.cast("short").alias("level")).toArrow()
+    out = np.zeros(SLOTS, np.uint8)
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return out
+
+
+def slots(shingles: np.ndarray) -> np.ndarray:
+    return (W.mix(shingles) >> W.U64(65 - SLOTS.bit_length())).astype(np.int64)
+
+
+def rarest(shingles: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
+    """Of a set's ``n`` shingles the first ``n`` - ceil(n * percent / 100) + 1 by level, then
+    hash, without those of level 0, which no other set holds."""
+    level = levels[slots(shingles)]
+    first = np.lexsort((shingles, level))[: len(shingles) * (100 - percent) // 100 + 1]
+    return shingles[first[level[first] > 0]]
+
+
+def rare_regions(crowded: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(region, rep, holders): for the documents in ``crowded``, a region for each shingle
+    among their rarest that another of them has among its own.
 
     Two linked sets share a shingle among the rarest ``n`` - ceil(n * percent / 100) + 1 of
-    each, in the order of how many documents hold them; those that no other holds come
-    first and take places, but need no region. So every link between crowded documents
-    stands in some region, however many documents it has."""
-    shared = crowded.sparkSession.sparkContext.broadcast(id_bitmap(crowded))
+    each, in any one order of all shingles; here they ascend by ``rarity``. Those that no
+    other holds come first and take places, but need no region. So every link between
+    crowded documents stands in some region, however many documents it has, and only the
+    rarest shingles, about a quarter, are written and joined."""
+    context = crowded.sparkSession.sparkContext
+    shared = context.broadcast(id_bitmap(crowded, crowded.rdd.getNumPartitions()))
+    levels = context.broadcast(rarity(texts, shared, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(passes(shared.value, id_hash(batch.column(0).to_numpy()))))
             for first, end, data, bounds in text_slices(batch.column(1)):
-                sets = shingle_sets(data, bounds, size)
-                rows = np.repeat(np.arange(first, end), [len(x) for x in sets])
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(np.concatenate(sets).view(np.int64))], names=["rep", "h"])
+                own = [rarest(x, levels.value, percent) for x in shingle_sets(data, bounds, size)]
+                rows = np.repeat(np.arange(first, end), [len(x) for x in own])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(np.concatenate(own).view(np.int64))], names=["rep", "h"])
 
-    rows = texts.mapInArrow(run, "rep bigint, h bigint")
+    rows = saved(texts.mapInArrow(run, "rep bigint, h bigint").distinct())
     some = rows.groupBy("h").agg(F.count("*").alias("holders")).where("holders > 1")
-    own = classes.select("rep", "n").dropDuplicates(["rep"])
-    held = rows.join(some, "h").groupBy("rep").agg(F.array_sort(F.collect_set(F.struct("holders", "h"))).alias("rarest")).join(own, "rep")
-    prefix = F.greatest(F.size("rarest") - F.ceil(F.col("n") * percent / 100) + 1, F.lit(0))
-    return held.select("rep", "n", F.explode(F.slice("rarest", F.lit(1), prefix.cast("int"))).alias("s")).select(
-        F.xxhash64(F.lit("rare"), "s.h").alias("region"), "rep", F.expr("X''").alias("label"), "n", F.lit(TREES).alias("tree"), "s.holders")
+    return rows.join(some, "h").select(F.xxhash64(F.lit("rare"), "h").alias("region"), "rep", "holders")
 
 
 def families(large: DataFrame, named: DataFrame) -> DataFrame:
@@ -150,15 +188,16 @@ def families(large: DataFrame, named: DataFrame) -> DataFrame:
     Components that share a region are a family. In it the documents outside its most
     frequent component are dealt against all of it, so no unit grows with the family and
     the documents that are connected already don't meet."""
-    tagged = large.join(named, "rep")
+    parts = named.rdd.getNumPartitions()
+    tagged = saved(large.join(named, "rep").coalesce(parts))
     live = tagged.groupBy("region").agg(F.min("component").alias("b"), F.max("component").alias("x")).where("b <> x").select("region", "b")
-    edges = saved(tagged.select("region", F.col("component").alias("a")).distinct().join(live, "region").where("a <> b").select("a", "b").distinct())
+    edges = saved(tagged.select("region", F.col("component").alias("a")).distinct().join(live, "region").where("a <> b").select("a", "b").distinct().coalesce(parts))
     family = components(edges).select(F.col("id").alias("component"), F.col("component_id").alias("family"))
-    members = saved(tagged.select("rep", "component").distinct().join(family, "component"))
+    members = saved(tagged.select("rep", "component").distinct().join(family, "component").coalesce(parts))
     sizes = members.groupBy("family", "component").agg(F.count("*").alias("n")).groupBy("family").agg(
         F.sum("n").alias("m"), F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("of_main"))
-    parts = [F.ceil(F.col(c) / UNIT).cast("long").alias(name) for c, name in (("m", "rights"), ("others", "lefts"))]
-    dealt = members.join(sizes.withColumn("others", F.expr("m - of_main")).select("family", "main", *parts), "family")
+    cuts = [F.ceil(F.col(c) / UNIT).cast("long").alias(name) for c, name in (("m", "rights"), ("others", "lefts"))]
+    dealt = members.join(sizes.withColumn("others", F.expr("m - of_main")).select("family", "main", *cuts), "family")
     right = dealt.select("family", "rep", F.explode(F.expr("sequence(0, lefts - 1)")).alias("i"), F.expr("pmod(xxhash64(rep), rights)").alias("j"))
     left = dealt.where("component <> main").select("family", "rep", F.expr("pmod(xxhash64(rep, 1), lefts)").alias("i"), F.explode(F.expr("sequence(0, rights - 1)")).alias("j"))
     return right.union(left).select(F.xxhash64("family", "i", "j").alias("region"), "rep").distinct()
@@ -209,19 +248,19 @@ def linked(units: DataFrame, classes: DataFrame, sets: DataFrame, percent: int)
 
 def neighbours(regions: DataFrame, classes: DataFrame, threshold: float, spanning: bool) -> DataFrame:
     """(a, b, agreement) with a < b: documents of different ``component`` that meet in a
-    region of some tree's sorted order, whose set sizes allow the threshold and whose
+    region, whose set sizes allow the threshold and whose
     signatures agree enough. ``spanning``: of each region only the pairs of a greatest
     spanning forest by agreement, fewer than its documents; else all of them.
 
-    ``classes`` are (rep, sketch, component)."""
-    rows = regions.join(classes, "rep").select("region", "label", "rep", "n", "component", "sketch")
-    rows = rows.repartition("region").sortWithinPartitions("region", "label", "rep")
+    ``classes`` are (rep, n, sketch, component)."""
+    rows = regions.join(classes, "rep").select("region", "rep", "n", "component", "sketch")
+    rows = rows.repartition("region").sortWithinPartitions("region", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            now = tuple(batch.column(i).to_numpy() for i in (0, 2, 3, 4)) + (
-                np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, HASHES),)
+            now = tuple(batch.column(i).to_numpy() for i in (0, 1, 2, 3)) + (
+                np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, HASHES),)
             part = tuple(np.concatenate(x) for x in zip(held, now, strict=True)) if held else now
             keep = np.flatnonzero(part[0] == part[0][-1])[0] if len(part[0]) else 0
             yield from pairs(*(x[:keep] for x in part))
@@ -331,47 +370,61 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     # ids of several sets stand for one of them
     several = saved(all_docs.groupBy("id").agg(F.min("digest").alias("own"), F.max("digest").alias("most"), F.count("*").alias("n"), F.count("digest").alias("m"))
                     .where("n > 1 and (own <> most or (m > 0 and m < n))").select("id", "own"))
+    parts = max(1, -(-all_docs.count() // PART))
     kept = all_docs.where("digest is not null")
     repeated = bool(several.head(1))
     if repeated:
         kept = kept.join(several, "id", "left").where("own is null or own = digest").drop("own")
-    classes = saved(kept.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
+    classes = saved(kept.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")).coalesce(parts))
     # the low byte of each hash
     low = F.expr("aggregate(sequence(4, %d, 4), cast('' as binary), (x, i) -> concat(x, substring(sig, i, 1)))" % (4 * HASHES))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     every, crowded = _regions(classes)
-    rare = saved(rare_regions(crowded, classes, texts, size, percent)) if crowded.head(1) else None
+    every = every.select("region", "rep")
+    rare = saved(rare_regions(crowded, texts, size, percent).coalesce(parts)) if crowded.head(1) else None
     every = every.union(rare.where(F.col("holders") <= REGION).select(every.columns)) if rare is not None else every
-    sketches = classes.select("rep", low.alias("sketch"))
+    every = saved(every.coalesce(parts))
+    sketches = classes.select("rep", "n", low.alias("sketch"))
     found = neighbours(every, sketches.withColumn("component", F.col("rep")), percent / 100, True)
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """(id, shingles) of the classes in ``pairs``, read from the rows they stand for."""
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """(id, shingles) of the classes in ``ids`` (id), read from the rows they stand for."""
+        chosen = ids.sparkSession.sparkContext.broadcast(id_bitmap(ids, parts))
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                batch = batch.filter(pa.array(passes(chosen.value, id_hash(batch.column(0).to_numpy()))))
                 for first, end, data, bounds in text_slices(batch.column(1)):
                     sets = shingle_sets(data, bounds, size)
-                    good = [hashlib.blake2b(x, digest_size=16).digest() == d for x, d in zip(sets, batch.column(2)[first:end].to_pylist(), strict=True)]
-                    part = pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "shingles"])
-                    yield part.filter(pa.array(good, pa.bool_()))
-
-        wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct().join(classes.select("rep", "digest"), "rep")
-        return texts.join(wanted.withColumnRenamed("rep", "id"), "id").mapInArrow(run, "id bigint, shingles binary").dropDuplicates(["id"])
-
-    best = saved(found.groupBy("b").agg(F.max_by("a", F.struct("agreement", F.negate("a"))).alias("a")).select("a", "b"))
-    links = saved(confirmed(best, sets_of(best), percent))
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).slice(first, end - first),
+                        pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in sets], pa.binary()),
+                        pa.array([x.tobytes() for x in sets], pa.binary()),
+                    ], names=["id", "digest", "shingles"])
+
+        wanted = ids.distinct().join(classes.select(F.col("rep").alias("id"), F.col("digest").alias("own")), "id")
+        # no equality, which Spark would deal the rows by as well
+        return (texts.mapInArrow(run, "id bigint, digest binary, shingles binary").join(wanted, "id")
+                .where("digest >= own and digest <= own").select("id", "shingles").dropDuplicates(["id"]))
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+
+    best = saved(found.groupBy("b").agg(F.max_by("a", F.struct("agreement", F.negate("a"))).alias("a")).select("a", "b").coalesce(parts))
+    links = saved(confirmed(best, sets_of(ends(best)), percent))
     known = components(links)
     # a region whose documents are all connected has nothing more to offer
-    named = saved(classes.select("rep").join(known.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component_id", "rep").alias("component")))
-    live = every.select("region", "rep").join(named, "rep").groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("region")
-    last = saved(neighbours(every.join(live, "region"), sketches.join(named, "rep"), percent / 100, False).select("a", "b").join(best, ["a", "b"], "left_anti"))
-    more = confirmed(last, sets_of(last), percent).select("a", "b") if last.head(1) else None
+    named = saved(classes.select("rep").join(known.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component_id", "rep").alias("component")).coalesce(parts))
+    live = every.join(named, "rep").groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("region")
+    last = saved(neighbours(every.join(live, "region"), sketches.join(named, "rep"), percent / 100, False).select("a", "b").join(best, ["a", "b"], "left_anti").coalesce(parts))
     large = rare.where(F.col("holders") > REGION).select("region", "rep") if rare is not None else None
-    if large is not None and large.head(1):
-        units = saved(families(large, named))
-        pairs = units.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
-        rest = linked(units, sketches.join(named, "rep"), sets_of(pairs), percent)
-        more = more.union(rest) if more is not None else rest
+    units = saved(families(large, named).coalesce(parts)) if large is not None and large.head(1) else None
+    ids = ends(last).union(units.select("rep")) if units is not None else ends(last)
+    more = None
+    if ids.head(1):
+        sets = sets_of(ids)
+        more = confirmed(last, sets, percent)
+        more = more.union(linked(units, sketches.join(named, "rep"), sets, percent)) if units is not None else more
     if more is not None:
         more = saved(more)
         known = components(links.union(more)) if more.head(1) else known

@@ -91,6 +91,47 @@ def test_crowded_regions_lose_no_link(spark, monkeypatch):
     assert {g.doc_id: (g.n_shingles, g.component_id) for g in got} == want
 
 
+def test_crowded_documents_join_by_their_rarest_shingles(spark, monkeypatch):
+    """Of documents that share a passage, and of near copies, only a quarter of the shingles
+    meets other documents', and what is kept for them lies in few partitions."""
+    from ferry.llm import neardup
+    from ferry.llm.common import saved
+
+    kept = []
+    monkeypatch.setattr(neardup, "REGION", 2)
+    monkeypatch.setattr(neardup, "saved", lambda df: kept.append(saved(df)) or kept[-1])
+    r, rows = random.Random(31), []
+    passage, base = invented(r, 40), invented(r, 90)
+    for k in range(60):
+        rows.append((k, " ".join(passage + invented(r, 60))))
+        rows.append((1000 + k, " ".join(base[:k] + ["x" + str(k)] + base[k + 1 :])))
+    want = brute_components(dict(rows))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {g.doc_id: (g.n_shingles, g.component_id) for g in got} == want
+    joined = [x for x in kept if x.columns == ["rep", "h"]]
+    assert len(joined) == 1 and 0 < joined[0].count() <= sum(n // 4 + 1 for n, _ in want.values())
+    assert {x.rdd.getNumPartitions() for x in kept if "region" in x.columns} == {1}
+
+
+def test_linked_sets_share_a_rarest_shingle():
+    """In whatever order the levels put shingles, two sets that are linked share one of the
+    first of each, and no more than those are taken."""
+    from ferry.llm.neardup import SLOTS, rarest, slots
+
+    r = np.random.default_rng(32)
+    levels, tried = r.integers(0, 4, SLOTS).astype(np.uint8), 0
+    for _ in range(400):
+        x = np.unique(r.integers(0, 1 << 63, int(r.integers(1, 40))).astype(np.uint64))
+        y = np.unique(np.concatenate([x[r.random(len(x)) < 0.9], r.integers(0, 1 << 63, int(r.integers(0, 4))).astype(np.uint64)]))
+        levels[slots(np.intersect1d(x, y))] |= 1  # what two sets hold is never of level 0
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 75 * (len(x) + len(y) - both):
+            first = [rarest(s, levels, 75) for s in (x, y)]
+            assert len(np.intersect1d(*first)) and all(len(f) <= len(s) // 4 + 1 for f, s in zip(first, (x, y)))
+            tried += 1
+    assert tried > 50
+
+
 def test_region_parts_stay_small(spark):
     """Thousands of almost equal signatures never meet in one region."""
     from pyspark.sql import functions as F
